@@ -7,6 +7,11 @@ from pyspark.sql import Column, functions as F
 REPLY_TYPE = "array<struct<title:string,artist:string,reason:string>>"
 
 
+def stripped(text: Column) -> Column:
+    """Text without white space at either end; ``trim`` would leave line breaks."""
+    return F.regexp_replace(text, r"^\s+|\s+$", "")
+
+
 def json_scalar(document: Column, path: str) -> Column:
     """Scalar at ``path`` as text; NULL when missing, JSON null, or an object or array."""
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(document), path, "variant"))
@@ -16,7 +21,7 @@ def json_scalar(document: Column, path: str) -> Column:
 
 def json_array(document: Column, element: str = "string") -> Column:
     """Root array; NULL when the root is anything else (a lone object is not wrapped)."""
-    is_array = F.ltrim(document).startswith("[")
+    is_array = document.rlike(r"^\s*\[")
     return F.when(is_array, F.from_json(document, f"array<{element}>"))
 
 
@@ -54,12 +59,12 @@ def unfenced(reply: Column) -> Column:
     """Text inside the first code fence (a ``json`` fence wins over a bare one), else the text itself."""
     def inside(opening: str) -> Column:
         after = F.element_at(F.split(reply, opening, 2), 2)
-        return F.trim(F.element_at(F.split(after, "```", 2), 1))
+        return stripped(F.element_at(F.split(after, "```", 2), 1))
 
     return (
         F.when(reply.contains("```json"), inside("```json"))
         .when(reply.contains("```"), inside("```"))
-        .otherwise(F.trim(reply))
+        .otherwise(stripped(reply))
     )
 
 
@@ -72,7 +77,7 @@ def reply_rows(reply: Column) -> Column:
     body = unfenced(reply)
     parsed = F.when(F.try_parse_json(body).isNotNull() & body.startswith("["), F.from_json(body, REPLY_TYPE))
     return F.when(
-        F.coalesce(F.trim(reply), F.lit("")) == "", problem("Error", "No response")
+        F.coalesce(stripped(reply), F.lit("")) == "", problem("Error", "No response")
     ).otherwise(F.coalesce(parsed, problem("Parsing Error", "Could not parse response")))
 
 
