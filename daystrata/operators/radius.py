@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from daystrata.functions.geo import distance_km, sphere_distance_km
+from daystrata.functions.geo import unit_vector, vector_distance_km, vector_sphere_km
 
 # A degree of latitude is never shorter than this, nor a degree of arc longer than the second value.
 _MIN_DEGREE_KM = 110.5
@@ -20,61 +20,71 @@ def radius_filter(df: DataFrame, distance: Column, limit: Column) -> DataFrame:
     return df.filter(distance <= limit)
 
 
-def _level(radius: Column) -> Column:
-    """Grid level whose cells are at least as wide as the radius."""
-    return F.greatest(F.lit(0), F.ceil(F.log2(radius / F.lit(_BASE_KM)))).cast("int")
+def _band_sql(lat: str, level: str) -> str:
+    """Latitude band whose height is at least the cell size of the level."""
+    return f"floor(({lat} + 90) / ({_BASE_KM / _MIN_DEGREE_KM!r}D * pow(2, {level})))"
 
 
-def _band(lat: Column, level: Column) -> Column:
-    height = F.lit(_BASE_KM / _MIN_DEGREE_KM) * F.pow(F.lit(2.0), level)
-    return F.floor((lat + 90) / height)
+def _around_sql(band: str, level: str) -> str:
+    """How many cells go around the globe in a band, wide enough for the band and both neighbours."""
+    size = f"({_BASE_KM!r}D * pow(2, {level}))"
+    edge = f"{size} / {_MIN_DEGREE_KM!r}D"
+    worst = f"least(90D, greatest(abs(({band} - 1) * {edge} - 90), abs(({band} + 2) * {edge} - 90)))"
+    ratio = f"sin(least(pi() / 2, {size} * 1.01D / 12712D)) / greatest(cos(radians({worst})), 1e-9D)"
+    return f"cast(greatest(1, floor(360D / (2 * degrees(asin(least(1D, {ratio})))))) as bigint)"
 
 
-def _columns_of_band(band: Column, level: Column) -> Column:
-    """How many cells go around the globe in a band, wide enough for the band and both neighbours."""
-    size = F.lit(_BASE_KM) * F.pow(F.lit(2.0), level)
-    height = size / F.lit(_MIN_DEGREE_KM)
-    worst = F.least(F.lit(90.0), F.greatest(F.abs((band - 1) * height - 90), F.abs((band + 2) * height - 90)))
-    ratio = F.sin(F.least(F.lit(math.pi / 2), size * 1.01 / (2 * 6356.0))) / F.greatest(F.cos(F.radians(worst)), F.lit(1e-9))
-    width = F.lit(2.0) * F.degrees(F.asin(F.least(F.lit(1.0), ratio)))
-    return F.greatest(F.lit(1), F.floor(F.lit(360.0) / width)).cast("bigint")
+def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, max_radius_km: float, salt: int):
+    """Both sides with their grid columns, and the join condition (cells equal, then exact distance).
 
+    A cell is a level (size doubling from the base), a latitude band and a longitude cell of that band.
+    """
+    levels = max(0, math.ceil(math.log2(max_radius_km / _BASE_KM)))
+    checked = F.when(
+        radius > F.lit(_BASE_KM * 2.0**levels), F.raise_error(F.lit("radius above max_radius_km")).cast("double")
+    ).otherwise(radius.cast("double"))
+    level = f"cast(greatest(0, ceil(log2(greatest(_radius, 1e-6D) / {_BASE_KM!r}D))) as int)"
+    left = users.select(
+        "*", checked.alias("_radius"), F.expr(f"cast(pmod(xxhash64({', '.join(keys)}), {salt}) as int)").alias("_salt"),
+        *[c.alias(n) for n, c in unit_vector("home_lat", "home_lon", "_u").items()],
+    )
+    left = left.selectExpr("*", f"{level} as _level").selectExpr("*", f"{_band_sql('home_lat', '_level')} as _band")
+    left = left.selectExpr("*", f"{_around_sql('_band', '_level')} as _around")
+    left = left.selectExpr("*", "pmod(floor((home_lon + 180) / 360 * _around), _around) as _cell")
 
-def _cell(lon: Column, around: Column) -> Column:
-    return F.pmod(F.floor((lon + 180) / 360 * around), around)
+    right = places.select(
+        "*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()],
+        F.expr(f"explode(sequence(0, {levels}))").alias("_p_level"),
+    )
+    right = right.selectExpr("*", f"explode(transform(array(-1, 0, 1), i -> {_band_sql('lat', '_p_level')} + i)) as _p_band")
+    right = right.selectExpr("*", f"{_around_sql('_p_band', '_p_level')} as _p_around")
+    near = "array_distinct(transform(array(-1, 0, 1), i -> pmod(floor((lon + 180) / 360 * _p_around) + i, _p_around)))"
+    right = right.selectExpr("*", f"explode({near}) as _p_cell")
+    right = right.selectExpr("*", f"explode(sequence(0, {salt - 1})) as _p_salt")
+
+    cells = " and ".join(f"_{name} = _p_{name}" for name in ("level", "band", "cell", "salt"))
+    return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius"))
 
 
 def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str], max_radius_km: float = 40.0,
                 salt: int = 8) -> DataFrame:
     """All user x place pairs within the user's radius (inclusive), with ``distance_km``.
 
-    ``users`` has keys, home_lat, home_lon; ``places`` has lat, lon and no column of that name.
-    An equi-join on grid cells finds candidates: a user sits in one cell, a place is copied to the nine
-    cells around it, on each grid level up to ``max_radius_km``.  Users are salted, so a city that
-    holds a third of them is spread over ``salt`` partitions.  Distances filter the candidates.
+    ``users`` has keys, home_lat, home_lon; ``places`` has lat, lon and no column of the same name as
+    one of ``users``.  An equi-join on grid cells finds candidates: a user sits in one cell, a place is
+    copied to the nine cells around it, on each grid level up to ``max_radius_km``.  Users are salted,
+    so a city that holds a third of them is spread over ``salt`` partitions.
     """
-    levels = max(0, math.ceil(math.log2(max_radius_km / _BASE_KM)))
-    checked = F.when(
-        radius > F.lit(_BASE_KM * 2.0**levels), F.raise_error(F.lit("radius above max_radius_km")).cast("double")
-    ).otherwise(radius.cast("double"))
-    left = users.withColumn("_radius", checked).filter(F.col("_radius") >= 0)
-    left = left.withColumn("_level", _level(F.greatest(F.col("_radius"), F.lit(1e-6))))
-    left = left.withColumn("_band", _band(F.col("home_lat"), F.col("_level")))
-    left = left.withColumn("_cell", _cell(F.col("home_lon"), _columns_of_band(F.col("_band"), F.col("_level"))))
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salt)).cast("int"))
-
-    right = places.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-    right = right.withColumn("_band", F.explode(F.array(*[_band(F.col("lat"), F.col("_level")) + i for i in (-1, 0, 1)])))
-    around = _columns_of_band(F.col("_band"), F.col("_level"))
-    own = F.floor((F.col("lon") + 180) / 360 * around)
-    near = F.array_distinct(F.array(*[F.pmod(own + i, around) for i in (-1, 0, 1)]))
-    right = right.withColumn("_cell", F.explode(near))
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-
-    pairs = left.join(right, ["_level", "_band", "_cell", "_salt"])
-    pairs = pairs.withColumn("distance_km", distance_km(F.col("home_lat"), F.col("home_lon"), F.col("lat"), F.col("lon")))
-    near_enough = radius_filter(pairs, F.col("distance_km"), F.col("_radius"))
-    return near_enough.drop("_level", "_band", "_cell", "_salt", "_radius")
+    left, right, condition = _gridded(users, places, radius, keys, max_radius_km, salt)
+    pairs = left.join(right, condition).withColumn("distance_km", vector_distance_km("_u", "_v"))
+    return pairs.select(*users.columns, *places.columns, "distance_km")
+
+
+def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str], max_radius_km: float = 40.0,
+                  salt: int = 8) -> DataFrame:
+    """Users who have no place within their radius: an anti-join that stops at the first match."""
+    left, right, condition = _gridded(users, places, radius, keys, max_radius_km, salt)
+    return left.join(right, condition, "left_anti").select(*users.columns)
 
 
 def nsmallest(df: DataFrame, n: int, order: Sequence[Column], *, keys: Sequence[str] = ()) -> DataFrame:
@@ -86,52 +96,57 @@ def nsmallest(df: DataFrame, n: int, order: Sequence[Column], *, keys: Sequence[
 
 
 def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequence[str], place_id: str = "place_id",
-                   depth: int = 12, stride: int = 2) -> DataFrame:
+                   depth: int = 12, stride: int = 3) -> DataFrame:
     """The n nearest places of every user, however far, ties by ``place_id``.
 
     Descends a latitude/longitude quad grid: per user only cells that can still hold one of the n
     nearest places survive a level (their lower distance bound must not exceed the smallest upper
     bound that already covers n places).  Of places at one spot, n are enough for any user.
     """
-    spot = places.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+    spot = places.filter("lat is not null and lon is not null")
     spot = nsmallest(spot, n, [F.col(place_id)], keys=["lat", "lon"])
-    top = (1 << depth) - 1
-    leaf = spot.withColumns({
-        "_y": F.least(F.floor((F.col("lat") + 90) / 180 * (1 << depth)), F.lit(top)),
-        "_x": F.least(F.floor((F.col("lon") + 180) / 360 * (1 << depth)), F.lit(top)),
-    })
+    size, top = 1 << depth, (1 << depth) - 1
+    leaf = spot.select(
+        "*", F.expr(f"least(floor((lat + 90) / 180 * {size}), {top})").alias("_y"),
+        F.expr(f"least(floor((lon + 180) / 360 * {size}), {top})").alias("_x"),
+        *[c.alias(name) for name, c in unit_vector("lat", "lon", "_v").items()],
+    )
     counts = leaf.groupBy("_y", "_x").agg(F.count(F.lit(1)).alias("_n"))
-
-    frontier = users.filter(F.col("home_lat").isNotNull() & F.col("home_lon").isNotNull()).withColumns(
-        {"_y": F.lit(0).cast("bigint"), "_x": F.lit(0).cast("bigint")}
+    vectors = {**unit_vector("home_lat", "home_lon", "_u"), **unit_vector("home_lat", "home_lon", "_s", reduced=False)}
+    frontier = users.filter("home_lat is not null and home_lon is not null").select(
+        "*", *[c.alias(name) for name, c in vectors.items()], F.expr("0L").alias("_y"), F.expr("0L").alias("_x")
     )
-    lat, lon = F.col("home_lat"), F.col("home_lon")
+    carried = [*users.columns, *vectors]
+    by_user, parts = ", ".join(keys), 1 << stride
     for z in range(stride, depth + 1, stride):
-        cells = counts.groupBy(
-            F.shiftright("_y", depth - z).alias("_y"), F.shiftright("_x", depth - z).alias("_x")
-        ).agg(F.sum("_n").alias("_n"))
-        parts = 1 << stride
-        child = F.explode(F.sequence(F.lit(0), F.lit(parts * parts - 1)))
-        frontier = frontier.withColumn("_child", child).withColumns({
-            "_y": F.col("_y") * parts + F.floor(F.col("_child") / parts), "_x": F.col("_x") * parts + F.col("_child") % parts
-        }).drop("_child").join(cells, ["_y", "_x"])
+        cells = counts.groupBy(F.expr(f"shiftright(_y, {depth - z}) as _y"), F.expr(f"shiftright(_x, {depth - z}) as _x")).agg(
+            F.sum("_n").alias("_n")
+        )
+        children = (
+            f"inline(transform(sequence(0, {parts * parts - 1}), c -> named_struct("
+            f"'_y', _y * {parts} + c div {parts}, '_x', _x * {parts} + c % {parts})))"
+        )
         height, width = 180.0 / (1 << z), 360.0 / (1 << z)
-        middle_lat, middle_lon = (F.col("_y") + 0.5) * height - 90, (F.col("_x") + 0.5) * width - 180
-        widest = F.cos(F.radians(F.greatest(F.lit(0.0), F.abs(middle_lat) - height / 2)))
-        reach = F.lit(_MAX_DEGREE_KM / 2) * (F.lit(height) + F.lit(width) * widest)
+        lat, lon = f"((_y + 0.5D) * {height!r}D - 90)", f"((_x + 0.5D) * {width!r}D - 180)"
+        # No point of a cell is farther from its centre than along the meridian, then the parallel.
+        reach = f"{_MAX_DEGREE_KM / 2!r}D * ({height!r}D + {width!r}D * cos(radians(greatest(0D, abs({lat}) - {height / 2!r}D))))"
+        found = frontier.selectExpr(*carried, children).join(cells, ["_y", "_x"]).select(
+            *carried, "_y", "_x", "_n", F.expr(reach).alias("_reach"),
+            *[c.alias(name) for name, c in unit_vector(lat, lon, "_m", reduced=False).items()],
+        )
         # The sphere is within 0.6 % of the ellipsoid, so the bounds hold for the exact distance.
-        middle = sphere_distance_km(lat, lon, middle_lat, middle_lon)
-        frontier = frontier.withColumns({"_low": middle * 0.994 - reach - 0.1, "_high": middle * 1.006 + reach + 0.1})
-        nearest_first = Window.partitionBy(*keys).orderBy("_high", "_y", "_x").rowsBetween(Window.unboundedPreceding, 0)
-        frontier = frontier.withColumn("_covered", F.sum("_n").over(nearest_first))
-        bound = F.coalesce(
-            F.min(F.when(F.col("_covered") >= n, F.col("_high"))).over(Window.partitionBy(*keys)), F.lit(float("inf"))
+        bounded = found.select(*carried, "_y", "_x", "_n", "_reach", vector_sphere_km("_s", "_m").alias("_middle")).selectExpr(
+            *carried, "_y", "_x", "_n", "_middle * 0.994D - _reach - 0.1D as _low", "_middle * 1.006D + _reach + 0.1D as _high"
+        )
+        covered = bounded.selectExpr(
+            "*", f"sum(_n) over (partition by {by_user} order by _high, _y, _x rows unbounded preceding) as _covered"
         )
-        frontier = frontier.withColumn("_bound", bound).filter(F.col("_low") <= F.col("_bound")).drop(
-            "_low", "_high", "_covered", "_bound", "_n"
+        enough = f"min(case when _covered >= {n} then _high end) over (partition by {by_user})"
+        frontier = covered.selectExpr(*carried, "_y", "_x", "_low", f"coalesce({enough}, double('infinity')) as _bound").filter(
+            "_low <= _bound"
         )
-    found = frontier.join(leaf, ["_y", "_x"]).drop("_y", "_x")
-    found = found.withColumn("distance_km", distance_km(lat, lon, F.col("lat"), F.col("lon")))
+    found = frontier.select(*carried, "_y", "_x").join(leaf, ["_y", "_x"])
+    found = found.select(*users.columns, *places.columns, vector_distance_km("_u", "_v").alias("distance_km"))
     return nsmallest(found, n, [F.col("distance_km"), F.col(place_id)], keys=keys)
 
 
@@ -139,6 +154,6 @@ def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: in
                       max_radius_km: float = 40.0, place_id: str = "place_id") -> DataFrame:
     """Places within the radius; for users who have none, the n nearest of all."""
     near = radius_join(users, places, radius, keys=keys, max_radius_km=max_radius_km)
-    lonely = users.join(near.select(*keys).distinct(), list(keys), "left_anti")
+    lonely = without_place(users, places, radius, keys=keys, max_radius_km=max_radius_km)
     far = nearest_places(lonely, places, n, keys=keys, place_id=place_id)
     return near.unionByName(far.select(near.columns))

@@ -98,6 +98,27 @@ def score_lookup(df: DataFrame, scores: DataFrame, *, on: Sequence[str]) -> Data
     return joined.withColumn("confidence", F.coalesce("confidence", F.lit(0.0)))
 
 
+def with_chances(places: DataFrame, scores: DataFrame) -> DataFrame:
+    """Add ``chances``: mood to class probability of the place, at most one entry per mood.
+
+    Attached to the places, the probabilities ride along with the radius join and the many candidate
+    rows need no join of their own.
+    """
+    entry = F.struct("mood", "probability")
+    per_name = scores.groupBy("name").agg(F.map_from_entries(F.collect_set(entry)).alias("chances"))
+    return places.join(per_name, "name", "left")
+
+
+def confidence(chances: Column, mood_name: Column) -> Column:
+    return F.coalesce(F.try_element_at(chances, mood_name) * 100, F.lit(0.0))
+
+
+def recent_visits(history: DataFrame, as_of: Column, *, keys: Sequence[str] = ()) -> DataFrame:
+    """Latest visit per name, kept only where it still costs something."""
+    latest = last_visits(history, keys=keys).withColumn("history_penalty", history_penalty(F.col("last_visit"), as_of))
+    return latest.filter(F.col("history_penalty") > 0).select(*keys, "name", "history_penalty")
+
+
 def history_penalty(last_visit: Column, as_of: Column) -> Column:
     """Percent taken off for a recent visit; unreadable and future dates take nothing off."""
     age = D.days_ago(D.parse_date(F.substring(last_visit, 1, 10)), as_of)
@@ -140,13 +161,13 @@ def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame, hi
     ]))
     given = F.lit(max_distance_km).cast("double")
     radius = dynamic_radius(given, F.col("stress"), F.col("precipitation"))
-    located = places.select("place_id", "name", "lat", "lon")
+    located = with_chances(places.select("place_id", "name", "lat", "lon"), scores)
     candidates = radius_or_nearest(
         people.select(*keys, "home_lat", "home_lon", "stress", "precipitation", "mood"), located, radius, top_n,
         keys=keys, max_radius_km=max(max_radius_km, max_distance_km or 0.0),
-    ).select(*keys, "mood", "place_id", "name", "distance_km")
-    candidates = score_lookup(candidates, scores, on=["mood", "name"])
-    candidates = history_join(candidates, history, as_of=day, keys=keys)
+    ).select(*keys, "place_id", "name", "distance_km", confidence(F.col("chances"), F.col("mood")).alias("confidence"))
+    visited = candidates.join(recent_visits(history, day, keys=keys), [*keys, "name"], "left")
+    candidates = visited.withColumn("history_penalty", F.coalesce("history_penalty", F.lit(0.0)))
     # One user's candidates are bounded by the places around one home.
     farthest = F.max("distance_km").over(Window.partitionBy(*keys))
     noise = daily_jitter(day, *[F.col(k) for k in keys], F.col("name")) if jitter else F.lit(0.0)

@@ -987,7 +987,9 @@ def order_by_key(spark, folder):
 def _scored(spark, folder, **options):
     spots = X.places(spark, folder)
     given = dict(as_of=X.AS_OF, keys=K, max_distance_km=None, top_n=3, jitter=False, max_radius_km=40.0)
-    return REC.scored_candidates(X.people(spark, folder), spots, X.class_scores(spots), X.history(spark, folder, spots), **{**given, **options})
+    # Users feed both the radius join and the fallback, so they are computed once.
+    users = session.checkpointed(X.people(spark, folder))
+    return REC.scored_candidates(users, spots, X.class_scores(spots), X.history(spark, folder, spots), **{**given, **options})
 
 
 @query("topn_by_score")
@@ -1162,7 +1164,8 @@ def daily_jitter(spark, folder):
 def _recommend(spark, folder, **options):
     spots = X.places(spark, folder)
     return REC.recommend_topn(
-        X.people(spark, folder), spots, X.class_scores(spots), X.history(spark, folder, spots), as_of=X.AS_OF, keys=K, **options
+        session.checkpointed(X.people(spark, folder)), spots, X.class_scores(spots), X.history(spark, folder, spots),
+        as_of=X.AS_OF, keys=K, **options,
     )
 
 

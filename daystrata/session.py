@@ -22,6 +22,8 @@ def local_session(cores: str = "8", memory: str = "8g", app: str = "daystrata")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every column expression dominates short queries.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
