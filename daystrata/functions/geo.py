@@ -36,7 +36,7 @@ def _lambert(h: Column, z1: Column, z2: Column) -> Column:
     return (
         F.when(h <= 0, F.lit(0.0))
         .when(h < near_antipode, F.lit(EQUATOR_KM) * (angle - F.lit(FLATTENING / 2) * (x + y)))
-        .otherwise(F.lit(EQUATOR_KM) * angle)
+        .when(h.isNotNull(), F.lit(EQUATOR_KM) * angle)  # ``least`` skips NULL, so it is ruled out here
     )
 
 

@@ -42,9 +42,16 @@ def sparse_profile(df: DataFrame, limit: float = 50.0) -> DataFrame:
     return profile.filter(F.col("_ratio") * 100 > limit).drop("_ratio").orderBy(F.desc("missing"), "column")
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over complete pairs; NULL for a constant side, where ``corr`` would raise."""
+    both = x.isNotNull() & y.isNotNull()
+    a, b = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def pearson_corr(df: DataFrame, features: Sequence[str], target: str, *, keys: Sequence[str] = ()) -> DataFrame:
     """Correlation of each feature with the target and its reading."""
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.corr(f, target).alias("corr")) for f in features])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), correlation(F.col(f), F.col(target)).alias("corr")) for f in features])
     rows = df.groupBy(*keys).agg(pairs.alias("_rows")).select(*keys, F.inline("_rows"))
     return rows.withColumn("direction", C.direction(F.col("corr")))
 

@@ -140,7 +140,7 @@ def rf_importance(df: DataFrame, *, target: str = "avg_stress", wanted: Sequence
         vectors = assembled(data, names).select("features", F.col(target).cast("double").alias("label"))
         forest = RandomForestRegressor(numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed)
         model = forest.fit(vectors)
-        row = data.agg(*[F.corr(n, target).alias(n) for n in names]).head()
+        row = data.agg(*[stats.correlation(F.col(n), F.col(target)).alias(n) for n in names]).head()
     rows = [(n, float(v), row[n]) for n, v in zip(names, model.featureImportances.toArray())]
     table = spark.createDataFrame(rows, "feature string, importance double, corr double")
     return table.withColumn("direction", C.direction(F.col("corr")))
