@@ -19,7 +19,8 @@ def parse_date(text: Column, strict: bool = False) -> Column:
 
 
 def date_of_name(name: Column) -> Column:
-    return parse_date(date_text_in_name(name))
+    """Date in a file name; the pattern already fixed the format, so a plain cast is enough."""
+    return date_text_in_name(name).try_cast("date")
 
 
 def month_label(day: Column) -> Column:

@@ -5,17 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from daystrata import schemas as S
 from daystrata.functions import categories as C
+from daystrata.functions.dates import date_of_name
 from daystrata.operators.daily import parsed_documents
+from daystrata.sources.raw import metric_of_name
 
+# Numeric columns of each side.  The two labels (steps_quality, stress_category) follow from them and
+# are added after the aggregation, which keeps its buffers fixed-size and the aggregate hash-based.
 SIDE_COLUMNS = {
-    "steps": ("steps", "data_quality"),
+    "steps": ("steps_raw",),
     "body_battery": S.BODY_BATTERY_COLUMNS,
     "heart_rate": S.HEART_RATE_COLUMNS,
-    "stress": S.STRESS_COLUMNS,
+    "stress": ("avg_stress", "max_stress"),
     "sleep": ("sleep_hours", "deep_sleep_hours", "rem_sleep_hours", "sleep_body_battery_change", "avg_overnight_hrv"),
 }
 DUPLICATE = "more than one document for one key, day and metric; merge with form='chain'"
@@ -25,41 +29,55 @@ def _wide(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumn("has_steps_data", F.col("steps").isNotNull()).select(*keys, "date", *S.DAILY_COLUMNS)
 
 
-def _undated_group(day: Column) -> Column:
-    """NULL days never match each other in a join, so each such row forms a group of its own."""
-    return F.when(day.isNull(), F.monotonically_increasing_id())
+def _chained(sides: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    columns = {**SIDE_COLUMNS, "steps": ("steps", "data_quality"), "stress": S.STRESS_COLUMNS}
+    trimmed = [sides[side].select(*keys, "date", *names) for side, names in columns.items()]
+    merged = reduce(lambda left, right: left.join(right, [*keys, "date"], "full"), trimmed)
+    return _wide(merged.withColumnRenamed("data_quality", "steps_quality"), keys)
+
 
+def _grouped(rows: DataFrame, keys: Sequence[str], steps_parts: bool) -> DataFrame:
+    """Rows tagged with ``_side`` to one row per key and date, in one hash aggregate.
 
-def _single(column: str, present: Column) -> Column:
-    """The only value of a side; raises while the query runs when a side has two rows for the group."""
-    value = F.first(F.when(present, F.col(column)), ignorenulls=True)
-    return F.when(F.count_if(present) > 1, F.raise_error(F.lit(DUPLICATE))).otherwise(value)
+    A side has at most one row per group (steps may come in parts), so its maximum is its value.
+    NULL days never match each other in a join, so each undated row forms a group of its own.  A
+    second row of a side stops the query.
+    """
+    is_side = {side: F.col("_side") == side for side in SIDE_COLUMNS}
+    alone = F.col("date").isNull() & (~is_side["steps"] if steps_parts else F.lit(True))
+    total = F.sum("steps_raw") if steps_parts else F.max("steps_raw")
+    seen = {side: F.count_if(present).alias(f"_{side}") for side, present in is_side.items()}
+    if steps_parts:
+        # An empty steps document contributes no interval and therefore no day.
+        seen["steps"] = F.coalesce(F.sum("intervals"), F.lit(0)).alias("_steps")
+    values = [F.max(c).alias(c) for side, columns in SIDE_COLUMNS.items() if side != "steps" for c in columns]
+    merged = rows.withColumn("_undated", F.when(alone, F.monotonically_increasing_id())).groupBy(
+        *keys, "date", "_undated").agg(total.alias("_total"), *seen.values(), *values)
+    single = [F.col(f"_{side}") for side in SIDE_COLUMNS if not (steps_parts and side == "steps")]
+    any_row = F.greatest(*[F.col(f"_{side}") for side in SIDE_COLUMNS]) > 0
+    checked = F.when(F.greatest(*single) > 1, F.raise_error(F.lit(DUPLICATE)).cast("boolean")).otherwise(any_row)
+    labelled = merged.filter(checked).withColumns({
+        "steps": C.zero_to_null(F.col("_total")),
+        "steps_quality": F.when(F.col("_steps") > 0, C.steps_quality(F.col("_total"))),
+        "stress_category": F.when(F.col("_stress") > 0, C.stress_category(F.col("avg_stress"))),
+    })
+    return _wide(labelled, keys)
 
 
 def merge_daily(sides: dict[str, DataFrame], *, keys: Sequence[str] = (), form: str = "grouped") -> DataFrame:
-    """FULL OUTER merge of the relations in ``SIDE_COLUMNS`` on keys and date.
+    """FULL OUTER merge of the five daily relations on keys and date.
 
     ``grouped``: tag, union, one group-by: a single exchange with partial aggregation.  Exact while
-    each side has one row per key and day, which is checked inside the aggregation.
+    each side has one row per key and day, which is checked behind the aggregation.
     ``chain``: four full outer joins; duplicates multiply as in any join.  Undated rows stay unmatched
     in both forms.
     """
-    trimmed = {side: sides[side].select(*keys, "date", *columns) for side, columns in SIDE_COLUMNS.items()}
     if form == "chain":
-        merged = reduce(lambda left, right: left.join(right, [*keys, "date"], "full"), trimmed.values())
-        return _wide(merged.withColumnRenamed("data_quality", "steps_quality"), keys)
+        return _chained(sides, keys)
     if form != "grouped":
         raise ValueError(f"unknown form {form!r}")
-    tagged = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        (df.withColumn("_side", F.lit(side)) for side, df in trimmed.items()),
-    ).withColumn("_undated", _undated_group(F.col("date")))
-    picked = [
-        _single(column, F.col("_side") == side).alias(column)
-        for side, columns in SIDE_COLUMNS.items() for column in columns
-    ]
-    merged = tagged.groupBy(*keys, "date", "_undated").agg(*picked)
-    return _wide(merged.withColumnRenamed("data_quality", "steps_quality"), keys)
+    tagged = [sides[side].select(*keys, "date", F.lit(side).alias("_side"), *columns) for side, columns in SIDE_COLUMNS.items()]
+    return _grouped(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), keys, steps_parts=False)
 
 
 def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False) -> DataFrame:
@@ -68,31 +86,12 @@ def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = Fa
     Several steps documents of one day add up; for the other metrics a second document of the same
     key and day raises (see :func:`merge_daily`).
     """
-    rows = parsed_documents(raw, keys=keys, strict=strict)
-    is_steps = F.col("metric") == "steps"
-    # An empty steps document contributes no interval and therefore no day.
-    rows = rows.filter(~is_steps | (F.col("intervals") > 0))
-    # Undated steps documents of one key fall into one group, all others stay single.
-    undated = F.when(F.col("date").isNull() & ~is_steps, F.monotonically_increasing_id())
-    picked = [
-        _single(column, F.col("metric") == side).alias(column)
-        for side, columns in SIDE_COLUMNS.items() if side != "steps" for column in columns
-    ]
-    merged = rows.withColumn("_undated", undated).groupBy(*keys, "date", "_undated").agg(
-        F.sum("steps_raw").alias("_total"), F.count_if(is_steps).alias("_documents"), *picked
-    )
-    merged = merged.withColumns({
-        "steps": C.zero_to_null(F.col("_total")),
-        "steps_quality": F.when(F.col("_documents") > 0, C.steps_quality(F.col("_total"))),
-    })
-    return _wide(merged, keys)
+    rows = parsed_documents(raw, keys=keys, strict=strict).withColumnRenamed("metric", "_side")
+    return _grouped(rows, keys, steps_parts=True)
 
 
 def duplicate_documents(raw: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Key, day and metric that have more than one document (steps excepted): reads names only."""
-    from daystrata.functions.dates import date_of_name
-    from daystrata.sources.raw import metric_of_name
-
     named = raw.select(
         *keys, date_of_name(F.col("filename")).alias("date"), metric_of_name(F.col("filename")).alias("metric")
     )

@@ -132,25 +132,28 @@ def max_in_group(df: DataFrame, column: str, *, keys: Sequence[str] = (), name:
     return df.join(top, list(keys), "left")
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = (), bins: int = 64) -> DataFrame:
-    """Exact interpolated median per column as (keys, column, median).
+def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str] = (), bins: int = 1024,
+                  accuracy: int = 10000) -> DataFrame:
+    """Exact interpolated median per column as (keys, column, median); NULL and NaN do not count.
 
-    Values are counted first, so repeats collapse before the shuffle.  The distinct values are cut at
-    approximate quantiles, bin totals locate the bin of the middle ranks, and only that bin is sorted.
-    The approximation decides how even the bins are, not the result.
+    Three passes that shuffle little: a quantile sketch brackets the middle, counts below, above and in
+    ``bins`` slices of the bracket locate the slice of the middle ranks, and only the distinct values of
+    that slice are sorted.  The sketch decides how much is sorted, not the result.
     """
     group = [*keys, "column"]
-    typed = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    typed = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     values = typed.unpivot(list(keys), list(columns), "column", "value").filter(F.col("value").isNotNull())
-    counted = values.groupBy(*group, "value").agg(F.count(F.lit(1)).alias("n"))
-    steps = F.array(*[F.lit(i / bins) for i in range(1, bins)])
-    edges = counted.groupBy(*group).agg(
-        F.percentile_approx("value", steps, 10000).alias("_edges"), F.sum("n").alias("_total")
+    around = F.array(F.lit(0.5 - 2 / accuracy), F.lit(0.5 + 2 / accuracy))
+    bracket = values.groupBy(*group).agg(
+        F.percentile_approx("value", around, accuracy).alias("_ends"), F.count(F.lit(1)).alias("_total")
+    ).select(*group, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"), "_total")
+    inner = F.floor((F.col("value") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)) * bins)
+    slot = (
+        F.when(F.col("value") < F.col("_low"), F.lit(-1)).when(F.col("value") > F.col("_high"), F.lit(bins))
+        .otherwise(F.least(F.coalesce(inner, F.lit(0)), F.lit(bins - 1)))
     )
-    binned = _join_group(counted, edges, group).withColumn(
-        "_bin", F.size(F.filter("_edges", lambda edge: edge < F.col("value")))
-    ).drop("_edges")
-    sizes = binned.groupBy(*group, "_bin").agg(F.sum("n").alias("_size"), F.first("_total").alias("_total"))
+    binned = _join_group(values, bracket, group, small=not keys).select(*group, "value", "_total", slot.alias("_bin"))
+    sizes = binned.groupBy(*group, "_bin", "_total").agg(F.count(F.lit(1)).alias("_size"))
     running = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
     holding = (
@@ -158,9 +161,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
         .filter((F.col("_start") <= high) & (F.col("_start") + F.col("_size") > low))
         .select(*group, "_bin", "_start")
     )
-    inside = _join_group(binned, holding, [*group, "_bin"])
+    inside = _join_group(binned, holding, [*group, "_bin"], small=not keys)
+    counted = inside.groupBy(*group, "_bin", "_start", "_total", "value").agg(F.count(F.lit(1)).alias("n"))
     ordered = Window.partitionBy(*group, "_bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = inside.withColumn("_end", F.col("_start") + F.sum("n").over(ordered))
+    ranked = counted.withColumn("_end", F.col("_start") + F.sum("n").over(ordered))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_end") - F.col("n")) & (rank < F.col("_end")), F.col("value")))
@@ -168,12 +172,12 @@ def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
     return ranked.groupBy(*group).agg(((at(low) + at(high)) / 2).alias("median"))
 
 
-def _join_group(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Inner join that matches NULL keys with each other."""
+def _join_group(left: DataFrame, right: DataFrame, columns: Sequence[str], small: bool) -> DataFrame:
+    """Inner join that matches NULL keys.  ``small``: the right side has a few rows per column of the
+    relation and nothing else, so it is broadcast; otherwise Spark decides from measured sizes."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}") if c in columns else F.col(c) for c in right.columns])
     condition = F.lit(True)
     for c in columns:
         condition = condition & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return left.drop(*[c for c in right.columns if c not in columns]).join(renamed, condition).drop(
-        *[f"_r_{c}" for c in columns]
-    )
+    joined = left.join(F.broadcast(renamed) if small else renamed, condition)
+    return joined.drop(*[f"_r_{c}" for c in columns])

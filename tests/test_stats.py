@@ -15,15 +15,15 @@ def test_median_of_the_fixture(spark):
     assert sorted(r.x for r in FE.median_fill(df.selectExpr("double(x) x"), ["x"]).collect()) == [1, 2, 2.5, 3, 10]
 
 
-@pytest.mark.parametrize("bins", [2, 8, 64])
-def test_exact_medians_against_python(spark, bins):
+@pytest.mark.parametrize("bins,accuracy", [(1, 5), (8, 50), (1024, 10000)])
+def test_exact_medians_against_python(spark, bins, accuracy):
     random.seed(bins)
     rows = []
     for i in range(3000):
         key = ["hot", "hot", "b", "c", None][i % 5] if i < 2998 else "single"
         rows.append((key, random.choice([0.5, random.gauss(0, 1), random.expovariate(0.01)]), random.randrange(7) if i % 3 else None))
     df = spark.createDataFrame(rows, "k string, x double, y int")
-    got = {(r.k, r.column): r.median for r in stats.exact_medians(df, ["x", "y"], keys=["k"], bins=bins).collect()}
+    got = {(r.k, r.column): r.median for r in stats.exact_medians(df, ["x", "y"], keys=["k"], bins=bins, accuracy=accuracy).collect()}
     want = {}
     for key in {r[0] for r in rows}:
         for i, name in ((1, "x"), (2, "y")):
