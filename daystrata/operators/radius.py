@@ -12,7 +12,8 @@ from daystrata.functions.geo import unit_vector, vector_distance_km, vector_sphe
 # A degree of latitude is never shorter than this, nor a degree of arc longer than the second value.
 _MIN_DEGREE_KM = 110.5
 _MAX_DEGREE_KM = 111.7
-_BASE_KM = 5.0
+# Cell sizes for radii not known in advance.
+CELL_SIZES_KM = (5.0, 10.0, 20.0, 40.0)
 
 
 def radius_filter(df: DataFrame, distance: Column, limit: Column) -> DataFrame:
@@ -20,70 +21,72 @@ def radius_filter(df: DataFrame, distance: Column, limit: Column) -> DataFrame:
     return df.filter(distance <= limit)
 
 
-def _band_sql(lat: str, level: str) -> str:
-    """Latitude band whose height is at least the cell size of the level."""
-    return f"floor(({lat} + 90) / ({_BASE_KM / _MIN_DEGREE_KM!r}D * pow(2, {level})))"
+def _band_sql(lat: str, size: str) -> str:
+    """Latitude band at least as high as the cell size."""
+    return f"floor(({lat} + 90) / ({size} / {_MIN_DEGREE_KM!r}D))"
 
 
-def _around_sql(band: str, level: str) -> str:
+def _around_sql(band: str, size: str) -> str:
     """How many cells go around the globe in a band, wide enough for the band and both neighbours."""
-    size = f"({_BASE_KM!r}D * pow(2, {level}))"
     edge = f"{size} / {_MIN_DEGREE_KM!r}D"
-    worst = f"least(90D, greatest(abs(({band} - 1) * {edge} - 90), abs(({band} + 2) * {edge} - 90)))"
+    worst = f"least(90D, greatest(abs(({band} - 1) * ({edge}) - 90), abs(({band} + 2) * ({edge}) - 90)))"
     ratio = f"sin(least(pi() / 2, {size} * 1.01D / 12712D)) / greatest(cos(radians({worst})), 1e-9D)"
     return f"cast(greatest(1, floor(360D / (2 * degrees(asin(least(1D, {ratio})))))) as bigint)"
 
 
-def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, max_radius_km: float, salt: int):
+def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], salt: int):
     """Both sides with their grid columns, and the join condition (cells equal, then exact distance).
 
-    A cell is a level (size doubling from the base), a latitude band and a longitude cell of that band.
+    A user takes the smallest cell size that covers the radius.  A cell is that size, a latitude band
+    and a longitude cell of the band.
     """
-    levels = max(0, math.ceil(math.log2(max_radius_km / _BASE_KM)))
-    checked = F.when(
-        radius > F.lit(_BASE_KM * 2.0**levels), F.raise_error(F.lit("radius above max_radius_km")).cast("double")
-    ).otherwise(radius.cast("double"))
-    level = f"cast(greatest(0, ceil(log2(greatest(_radius, 1e-6D) / {_BASE_KM!r}D))) as int)"
+    sizes = sorted({float(s) for s in sizes_km})
+    size = F
+    for value in sizes:
+        size = size.when(radius <= value, F.lit(value))
+    size = size.when(radius > sizes[-1], F.raise_error(F.lit("radius above the largest cell size")).cast("double"))
     left = users.select(
-        "*", checked.alias("_radius"), F.expr(f"cast(pmod(xxhash64({', '.join(keys)}), {salt}) as int)").alias("_salt"),
+        "*", radius.cast("double").alias("_radius"), size.alias("_size"),
+        F.expr(f"cast(pmod(xxhash64({', '.join(keys)}), {salt}) as int)").alias("_salt"),
         *[c.alias(n) for n, c in unit_vector("home_lat", "home_lon", "_u").items()],
     )
-    left = left.selectExpr("*", f"{level} as _level").selectExpr("*", f"{_band_sql('home_lat', '_level')} as _band")
-    left = left.selectExpr("*", f"{_around_sql('_band', '_level')} as _around")
+    left = left.selectExpr("*", f"{_band_sql('home_lat', '_size')} as _band")
+    left = left.selectExpr("*", f"{_around_sql('_band', '_size')} as _around")
     left = left.selectExpr("*", "pmod(floor((home_lon + 180) / 360 * _around), _around) as _cell")
 
     right = places.select(
         "*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()],
-        F.expr(f"explode(sequence(0, {levels}))").alias("_p_level"),
+        F.explode(F.array(*[F.lit(s) for s in sizes])).alias("_p_size"),
     )
-    right = right.selectExpr("*", f"explode(transform(array(-1, 0, 1), i -> {_band_sql('lat', '_p_level')} + i)) as _p_band")
-    right = right.selectExpr("*", f"{_around_sql('_p_band', '_p_level')} as _p_around")
+    right = right.selectExpr("*", f"explode(transform(array(-1, 0, 1), i -> {_band_sql('lat', '_p_size')} + i)) as _p_band")
+    right = right.selectExpr("*", f"{_around_sql('_p_band', '_p_size')} as _p_around")
     near = "array_distinct(transform(array(-1, 0, 1), i -> pmod(floor((lon + 180) / 360 * _p_around) + i, _p_around)))"
-    right = right.selectExpr("*", f"explode({near}) as _p_cell")
-    right = right.selectExpr("*", f"explode(sequence(0, {salt - 1})) as _p_salt")
+    right = right.selectExpr("*", f"explode({near}) as _p_cell", f"sequence(0, {salt - 1}) as _p_salts")
+    right = right.selectExpr("*", "explode(_p_salts) as _p_salt")
 
-    cells = " and ".join(f"_{name} = _p_{name}" for name in ("level", "band", "cell", "salt"))
+    cells = " and ".join(f"_{name} = _p_{name}" for name in ("size", "band", "cell", "salt"))
     return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius"))
 
 
-def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str], max_radius_km: float = 40.0,
-                salt: int = 8) -> DataFrame:
+def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str],
+                sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
     """All user x place pairs within the user's radius (inclusive), with ``distance_km``.
 
     ``users`` has keys, home_lat, home_lon; ``places`` has lat, lon and no column of the same name as
     one of ``users``.  An equi-join on grid cells finds candidates: a user sits in one cell, a place is
-    copied to the nine cells around it, on each grid level up to ``max_radius_km``.  Users are salted,
-    so a city that holds a third of them is spread over ``salt`` partitions.
+    copied to the nine cells around it for each of ``sizes_km``; when the radii are known, pass them
+    as sizes.  Users are salted, so a city that holds a third of them is spread over ``salt``
+    partitions, and the adaptive skew join can split further.
     """
-    left, right, condition = _gridded(users, places, radius, keys, max_radius_km, salt)
+    left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
     pairs = left.join(right, condition).withColumn("distance_km", vector_distance_km("_u", "_v"))
     return pairs.select(*users.columns, *places.columns, "distance_km")
 
 
-def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str], max_radius_km: float = 40.0,
-                  salt: int = 8) -> DataFrame:
+def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str],
+                  sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
     """Users who have no place within their radius: an anti-join that stops at the first match."""
-    left, right, condition = _gridded(users, places, radius, keys, max_radius_km, salt)
+    left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
     return left.join(right, condition, "left_anti").select(*users.columns)
 
 
@@ -151,9 +154,9 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
 
 
 def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str],
-                      max_radius_km: float = 40.0, place_id: str = "place_id") -> DataFrame:
+                      sizes_km: Sequence[float] = CELL_SIZES_KM, place_id: str = "place_id") -> DataFrame:
     """Places within the radius; for users who have none, the n nearest of all."""
-    near = radius_join(users, places, radius, keys=keys, max_radius_km=max_radius_km)
-    lonely = without_place(users, places, radius, keys=keys, max_radius_km=max_radius_km)
+    near = radius_join(users, places, radius, keys=keys, sizes_km=sizes_km)
+    lonely = without_place(users, places, radius, keys=keys, sizes_km=sizes_km)
     far = nearest_places(lonely, places, n, keys=keys, place_id=place_id)
     return near.unionByName(far.select(near.columns))

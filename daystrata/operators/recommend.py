@@ -151,8 +151,7 @@ def final_score(balanced: Column, penalty: Column, jitter: Column) -> Column:
 
 
 def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame, history: DataFrame, *, as_of,
-                      keys: Sequence[str], max_distance_km: float | None, top_n: int, jitter: bool,
-                      max_radius_km: float) -> DataFrame:
+                      keys: Sequence[str], max_distance_km: float | None, top_n: int, jitter: bool) -> DataFrame:
     """All candidate places of every user with their partial and final scores."""
     day = F.lit(as_of).cast("date")
     people = with_weather_defaults(users)
@@ -164,7 +163,7 @@ def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame, hi
     located = with_chances(places.select("place_id", "name", "lat", "lon"), scores)
     candidates = radius_or_nearest(
         people.select(*keys, "home_lat", "home_lon", "stress", "precipitation", "mood"), located, radius, top_n,
-        keys=keys, max_radius_km=max(max_radius_km, max_distance_km or 0.0),
+        keys=keys, sizes_km=(max_distance_km,) if max_distance_km else (NEAR_KM, FAR_KM),
     ).select(*keys, "place_id", "name", "distance_km", confidence(F.col("chances"), F.col("mood")).alias("confidence"))
     visited = candidates.join(recent_visits(history, day, keys=keys), [*keys, "name"], "left")
     candidates = visited.withColumn("history_penalty", F.coalesce("history_penalty", F.lit(0.0)))
@@ -184,7 +183,7 @@ def topn_by_score(scored: DataFrame, n: int = 3, *, keys: Sequence[str] = ()) ->
 
 def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, history: DataFrame, *, as_of,
                    keys: Sequence[str] = ("user_id",), max_distance_km: float | None = None, top_n: int = 3,
-                   jitter: bool = True, max_radius_km: float = 40.0) -> DataFrame:
+                   jitter: bool = True) -> DataFrame:
     """Top-n places for every user with an explanation.
 
     ``users``: keys, stress, sleep_hours, net_battery, temperature, precipitation, home_lat, home_lon.
@@ -194,7 +193,7 @@ def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, histo
     """
     best = topn_by_score(
         scored_candidates(users, places, scores, history, as_of=as_of, keys=keys, max_distance_km=max_distance_km,
-                          top_n=top_n, jitter=jitter, max_radius_km=max_radius_km),
+                          top_n=top_n, jitter=jitter),
         top_n, keys=keys,
     ).select(*keys, "place_id", "rank", "distance_km", "confidence", "final_score")
     details = places.select(

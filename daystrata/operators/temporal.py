@@ -14,10 +14,6 @@ from daystrata.functions.text import fixed, relative_day_label
 from daystrata.operators.series import split_windows
 
 
-def _month_bucket() -> list[Column]:
-    return [F.trunc("date", "MONTH")]
-
-
 def lag_columns(window: WindowSpec) -> dict[str, Column]:
     return {
         "next_day_stress": F.lead("avg_stress", 1).over(window),
@@ -54,7 +50,7 @@ def _windowed(df, columns, keys, split, before, after):
     at most the days of the calendar per key.
     """
     if split:
-        return split_windows(df, columns, [F.col("date")], buckets=_month_bucket(), before=before, after=after,
+        return split_windows(df, columns, [F.col("date")], buckets=[F.trunc("date", "YEAR")], before=before, after=after,
                              keys=keys, chunk=split)
     return df.withColumns(columns(Window.partitionBy(*keys).orderBy("date")))
 

@@ -164,8 +164,8 @@ def case_of(mapping: dict[str, str], key: str, default: str) -> str:
 
 # ------------------------------------------------------------------ scans
 _PER_METRIC = "SELECT metric, date, {0} AS documents FROM docs {1} GROUP BY metric, date"
-add("scan_raw_documents", """SELECT 'bundle_' || date || '_' || (user_id // 50) || '_' || (event_id // 4096) AS filename, date,
-  COUNT(*) AS elements FROM ev WHERE event_type = 'click' GROUP BY date, user_id // 50, event_id // 4096""")
+add("scan_raw_documents", """SELECT 'bundle_' || date || '_' || (event_id // 65536) AS filename, date, COUNT(*) AS elements
+  FROM ev WHERE event_type = 'click' GROUP BY date, event_id // 65536""")
 for _name in ("raw_sink_overwrite", "schema_guard", "incremental_landing"):
     add(_name, _PER_METRIC.format("COUNT(*)", ""))
 add("raw_sink_append", _PER_METRIC.format("2 * COUNT(*)", ""))
@@ -190,7 +190,7 @@ add("missing_documents", """SELECT * FROM spine WHERE NOT EXISTS (SELECT 1 FROM
 _VISITS = """vis AS (SELECT user_id, 'place ' || (user_id // 60 * 40 + event_id % 40) AS name, CAST(date AS VARCHAR) AS visit_date, event_id
   FROM ev WHERE event_type = 'purchase')"""
 add("history_rows", "SELECT DISTINCT user_id, name, visit_date FROM vis", extra=_VISITS)
-add("history_upsert", """SELECT user_id, name, visit_date FROM vis WHERE event_id % 2 = 0 UNION
+add("history_upsert", """SELECT user_id, name, visit_date FROM vis WHERE visit_date < '2024-01-16' UNION
   SELECT user_id, name, CASE WHEN event_id % 7 <> 0 THEN visit_date ELSE '2024-01-31' END FROM vis""", extra=_VISITS)
 add("place_table", f"""SELECT place_id, name, display_name, address, {rnd('lat', 6)} AS lat, {rnd('lon', 6)} AS lon, {rnd('rating', 6)} AS rating,
   user_ratings_total, parks_count_1km, open_bars_count_500m FROM pl""", "base", "places")

@@ -54,14 +54,13 @@ def raw_per_metric(df: DataFrame) -> DataFrame:
 
 @query("scan_raw_documents")
 def scan_raw_documents(spark, folder):
-    """Documents bundled into one file per day and block of users, read back one file per row."""
-    bundle = F.floor(F.col("user_id") / 50).alias("block")
-    docs = X.event_values(spark, folder).filter("event_type = 'click'").select("user_id", "date", bundle, "event_id", "k", "v")
-    part = F.floor(F.col("event_id") / X.IDS_PER_DOCUMENT).alias("part")
+    """Documents bundled into files of one day and 65,536 event ids, read back one file per row."""
+    docs = X.event_values(spark, folder).filter("event_type = 'click'")
+    bundle = F.floor(F.col("event_id") / 65536).alias("bundle")
     element = F.struct((F.col("v") % 101).alias("charged"), F.col("k").alias("drained"))
-    files = docs.groupBy("date", "block", part).agg(F.to_json(F.collect_list(element)).alias("value"))
+    files = docs.groupBy("date", bundle).agg(F.to_json(F.collect_list(element)).alias("value"))
     path = session.new_folder(spark, "raw")
-    label = F.concat_ws("_", F.lit("bundle"), "date", F.col("block").cast("string"), F.col("part").cast("string"))
+    label = F.concat_ws("_", F.lit("bundle"), "date", F.col("bundle").cast("string"))
     # One partition folder per file name, then one wholetext read over all of them.
     files.select("value", label.alias("file")).write.partitionBy("file").option("compression", "none").text(path)
     read = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=True)
@@ -155,12 +154,13 @@ def missing_documents(spark, folder):
 
 @query("incremental_landing")
 def incremental_landing(spark, folder):
-    """Half of the users land, then the rest, then a run with nothing new."""
+    """The first half of the month lands, then the rest, then a run with nothing new."""
     source, target, mark = (session.new_folder(spark, n) for n in ("incoming", "landed", "checkpoint"))
     raw = X.raw_documents(spark, folder)
-    for part in (0, 1, None):
+    early = D.date_of_name(F.col("filename")) < F.lit("2024-01-16").cast("date")
+    for part in (early, ~early, None):
         if part is not None:
-            raw.filter(F.col("user_id") % 2 == part).write.mode("append").json(source)
+            raw.filter(part).write.mode("append").json(source)
         landing.land_new_files(spark, source, target, mark, "user_id bigint, filename string, raw_json string")
     return raw_per_metric(landing.landed(spark, target))
 
@@ -179,9 +179,9 @@ def history_rows(spark, folder):
 
 @query("history_upsert")
 def history_upsert(spark, folder):
-    """Visits of even ids are on record; all visits come in again, those of every seventh id without date."""
+    """Visits up to the middle of the month are on record; all visits come in again, some without date."""
     rows = X.visits(spark, folder).withColumn("name", F.concat(F.lit("place "), F.col("place_id").cast("string")))
-    old = rows.filter("event_id % 2 = 0").select("user_id", "name", "visit_date").distinct()
+    old = rows.filter("visit_date < '2024-01-16'").select("user_id", "name", "visit_date").distinct()
     new = rows.withColumn("visit_date", F.when(F.col("event_id") % 7 != 0, F.col("visit_date")))
     return H.history_upsert(old, new, keys=K, as_of=X.AS_OF)
 
@@ -647,13 +647,13 @@ def _spots(spark, folder):
 
 @query("radius_join")
 def radius_join(spark, folder):
-    pairs = R.radius_join(_homes(spark, folder), _spots(spark, folder), F.lit(10.0), keys=K)
+    pairs = R.radius_join(_homes(spark, folder), _spots(spark, folder), F.lit(10.0), keys=K, sizes_km=[10.0])
     return pairs.select("user_id", "place_id", F.round("distance_km", 5).alias("distance_km"))
 
 
 @query("radius_fallback")
 def radius_fallback(spark, folder):
-    pairs = R.radius_or_nearest(_homes(spark, folder), _spots(spark, folder), F.lit(4.0), 3, keys=K)
+    pairs = R.radius_or_nearest(_homes(spark, folder), _spots(spark, folder), F.lit(4.0), 3, keys=K, sizes_km=[4.0])
     return pairs.select("user_id", "place_id", F.round("distance_km", 4).alias("distance_km"))
 
 
@@ -986,7 +986,7 @@ def order_by_key(spark, folder):
 
 def _scored(spark, folder, **options):
     spots = X.places(spark, folder)
-    given = dict(as_of=X.AS_OF, keys=K, max_distance_km=None, top_n=3, jitter=False, max_radius_km=40.0)
+    given = dict(as_of=X.AS_OF, keys=K, max_distance_km=None, top_n=3, jitter=False)
     # Users feed both the radius join and the fallback, so they are computed once.
     users = session.checkpointed(X.people(spark, folder))
     return REC.scored_candidates(users, spots, X.class_scores(spots), X.history(spark, folder, spots), **{**given, **options})

@@ -86,13 +86,13 @@ def _all_pairs(spark, u, p):
     return [(r.user_id, r.place_id, r.d) for r in pairs.collect()]
 
 
-@pytest.mark.parametrize("radius", [0.5, 5.0, 9.7, 25.0, 40.0])
-def test_radius_join_equals_brute_force(spark, radius):
+@pytest.mark.parametrize("radius,sizes,salt", [(0.5, R.CELL_SIZES_KM, 4), (9.7, (10, 25), 1), (25.0, (25,), 3), (40.0, R.CELL_SIZES_KM, 4)])
+def test_radius_join_equals_brute_force(spark, radius, sizes, salt):
     u, p = _frames(spark, _clouds(1, 80), _clouds(2, 90))
     want = {(a, b) for a, b, d in _all_pairs(spark, u, p) if d <= radius}
-    got = [(r.user_id, r.place_id) for r in R.radius_join(u, p, F.lit(radius), keys=["user_id"]).collect()]
+    got = [(r.user_id, r.place_id) for r in R.radius_join(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, salt=salt).collect()]
     assert len(got) == len(set(got)) and set(got) == want
-    lonely = {r.user_id for r in R.without_place(u, p, F.lit(radius), keys=["user_id"]).collect()}
+    lonely = {r.user_id for r in R.without_place(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, salt=salt).collect()}
     assert lonely == set(range(80)) - {a for a, _ in want}
 
 
@@ -101,7 +101,7 @@ def test_radius_is_inclusive_and_bounded(spark):
     exact = R.radius_join(u, p, F.lit(30.0), keys=["user_id"]).first().distance_km
     assert R.radius_join(u, p, F.lit(exact), keys=["user_id"]).count() == 1
     assert R.radius_join(u, p, F.lit(exact - 1e-9), keys=["user_id"]).count() == 0
-    with pytest.raises(Exception, match="max_radius_km"):
+    with pytest.raises(Exception, match="largest cell size"):
         R.radius_join(u, p, F.lit(99.0), keys=["user_id"]).collect()
 
 
