@@ -24,6 +24,15 @@ def _ladder(tests, default) -> Column:
     return chain.otherwise(default)
 
 
+def half_up(value: Column, digits: int) -> Column:
+    """Round half away from zero, the same whatever order the rows were added up in.
+
+    Sums of doubles differ in their last bits with the order of rows, which would flip exact ties from
+    run to run; rounding to nine digits first removes that noise.
+    """
+    return F.round(F.round(value.cast("double"), 9), digits)
+
+
 def to_number(text: Column, kind: str = "bigint", strict: bool = False) -> Column:
     return text.cast(kind) if strict else text.try_cast(kind)
 
@@ -66,7 +75,7 @@ def high_stress_label(level: Column) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
-    return F.round(F.try_divide(part.cast("double"), whole.cast("double")) * 100, digits)
+    return half_up(F.try_divide(part.cast("double"), whole.cast("double")) * 100, digits)
 
 
 def direction(correlation: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from daystrata.functions import dates as D
+from daystrata.functions.categories import half_up
 from daystrata.functions.text import prompt_text, reason_text, weather_text
 from daystrata.operators.radius import nsmallest, radius_or_nearest
 from daystrata.sources.history import last_visits
@@ -216,8 +217,8 @@ def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, histo
         *keys, unless_empty(1, F.col("rank")).cast("bigint").alias("rank"),
         unless_empty("No cafés available", F.col("display_name")).alias("place_name"),
         unless_empty("N/A", F.col("address")).alias("address"),
-        unless_empty(0.0, F.round("distance_km", 1)).alias("distance_km"),
-        unless_empty(0.0, F.round("confidence", 1)).alias("confidence"),
+        unless_empty(0.0, half_up(F.col("distance_km"), 1)).alias("distance_km"),
+        unless_empty(0.0, half_up(F.col("confidence"), 1)).alias("confidence"),
         "mood", unless_empty("Could not load café data", reason).alias("reason"), "rating",
         F.col("temperature").alias("weather_temp"), F.col("precipitation").alias("weather_precip"),
     )

@@ -15,7 +15,7 @@ def count_if(condition: Column, name: str) -> Column:
 
 def mean(column: str, digits: int, name: str, where: Column | None = None) -> Column:
     value = F.col(column) if where is None else F.when(where, F.col(column))
-    return F.round(F.avg(value), digits).alias(name)
+    return C.half_up(F.avg(value), digits).alias(name)
 
 
 def share(condition: Column, name: str, digits: int = 1) -> Column:
@@ -25,7 +25,7 @@ def share(condition: Column, name: str, digits: int = 1) -> Column:
 def dashboard_daily(daily: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Daily relation with labels and categories; one projection."""
     day = F.col("date")
-    hours = [F.round(c, 1).alias(c) for c in ("sleep_hours", "deep_sleep_hours", "rem_sleep_hours")]
+    hours = [C.half_up(F.col(c), 1).alias(c) for c in ("sleep_hours", "deep_sleep_hours", "rem_sleep_hours")]
     return daily.select(
         *keys, "date", D.month_label(day).alias("month"), D.weekday_name(day).alias("day_of_week"),
         D.weekday_number(day).alias("day_num"), "avg_stress", "max_stress", "stress_category",
@@ -73,7 +73,7 @@ def dashboard_monthly(daily: DataFrame, *, keys: Sequence[str] = ()) -> DataFram
     rolled = months.agg(
         F.count(F.lit(1)).alias("days_in_month"),
         mean("avg_stress", 1, "avg_stress"),
-        F.round(F.stddev_samp("avg_stress"), 1).alias("stress_stddev"),
+        C.half_up(F.stddev_samp("avg_stress"), 1).alias("stress_stddev"),
         F.max("max_stress").alias("max_stress_peak"),
         count_if(high, "high_stress_days"),
         share(high, "high_stress_pct"),

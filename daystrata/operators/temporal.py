@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from daystrata.functions import dates as D
+from daystrata.functions.categories import half_up
 from daystrata.functions.text import fixed, relative_day_label
 from daystrata.operators.series import split_windows
 
@@ -33,7 +34,7 @@ def rolling_columns(window: WindowSpec) -> dict[str, Column]:
         ("sleep_hours", "sleep_7d_avg", 1),
         ("net_battery", "net_battery_7d_avg", 1),
     )
-    return {name: F.round(F.avg(source).over(week), digits) for source, name, digits in spec}
+    return {name: half_up(F.avg(source).over(week), digits) for source, name, digits in spec}
 
 
 def change_columns(window: WindowSpec) -> dict[str, Column]:

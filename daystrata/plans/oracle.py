@@ -15,7 +15,7 @@ ORACLE: dict[str, str] = {}
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(38, 12)), {n}) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({x} AS DECIMAL(38, 9)), {n}) AS DOUBLE)"
 
 
 def big(x: str) -> str:

@@ -38,7 +38,7 @@ def query(name: str):
 
 def r6(column, name: str | None = None):
     column = F.col(column) if isinstance(column, str) else column
-    rounded = F.round(column, 6)
+    rounded = C.half_up(column, 6)
     return rounded.alias(name) if name else rounded
 
 
@@ -450,7 +450,7 @@ _on_daily("activity_level", activity_level=lambda: C.activity_level(F.col("steps
 _on_daily("presence_flag", has_steps_data=lambda: F.col("steps").isNotNull())
 _on_daily("binary_label", high_stress=lambda: C.high_stress_label(F.col("avg_stress")))
 _on_daily("net_difference", net_battery=lambda: F.col("charged") - F.col("drained"))
-_on_daily("round_n", one=lambda: F.round("sleep_hours", 1), two=lambda: F.round("sleep_hours", 2), whole=lambda: F.round(F.col("net_battery") / 2, 0))
+_on_daily("round_n", one=lambda: C.half_up(F.col("sleep_hours"), 1), two=lambda: C.half_up(F.col("sleep_hours"), 2), whole=lambda: C.half_up(F.col("net_battery") / 2, 0))
 _on_daily("coalesce_key", any_value=lambda: F.coalesce("steps", "charged", "resting_hr", "avg_stress"))
 _on_daily("axis_scaling", drained_down=lambda: -F.col("drained"), sleep_scaled=lambda: r6(F.col("sleep_hours") * 5))
 _on_steps("zero_to_null", steps=lambda: C.zero_to_null(F.col("steps_raw")))
@@ -503,14 +503,14 @@ def _visit_points(spark, folder):
 @query("geo_distance_km")
 def geo_distance_km(spark, folder):
     d = geo.distance_km(*[F.col(c) for c in ("home_lat", "home_lon", "lat", "lon")])
-    return _visit_points(spark, folder).select("event_id", "place_id", F.round(d, 5).alias("distance_km"))
+    return _visit_points(spark, folder).select("event_id", "place_id", C.half_up(d, 5).alias("distance_km"))
 
 
 @query("radius_filter")
 def radius_filter(spark, folder):
     d = geo.distance_km(*[F.col(c) for c in ("home_lat", "home_lon", "lat", "lon")])
     near = R.radius_filter(_visit_points(spark, folder).withColumn("distance_km", d), F.col("distance_km"), F.lit(10.0))
-    return near.select("event_id", F.round("distance_km", 5).alias("distance_km"))
+    return near.select("event_id", C.half_up(F.col("distance_km"), 5).alias("distance_km"))
 
 
 # ------------------------------------------------------------------ projections and filters
@@ -648,20 +648,20 @@ def _spots(spark, folder):
 @query("radius_join")
 def radius_join(spark, folder):
     pairs = R.radius_join(_homes(spark, folder), _spots(spark, folder), F.lit(10.0), keys=K, sizes_km=[10.0])
-    return pairs.select("user_id", "place_id", F.round("distance_km", 5).alias("distance_km"))
+    return pairs.select("user_id", "place_id", C.half_up(F.col("distance_km"), 5).alias("distance_km"))
 
 
 @query("radius_fallback")
 def radius_fallback(spark, folder):
     pairs = R.radius_or_nearest(_homes(spark, folder), _spots(spark, folder), F.lit(4.0), 3, keys=K, sizes_km=[4.0])
-    return pairs.select("user_id", "place_id", F.round("distance_km", 4).alias("distance_km"))
+    return pairs.select("user_id", "place_id", C.half_up(F.col("distance_km"), 4).alias("distance_km"))
 
 
 @query("nsmallest")
 def nsmallest(spark, folder):
     """The five nearest places of every user."""
     near = R.nearest_places(_homes(spark, folder), _spots(spark, folder), 5, keys=K)
-    return near.select("user_id", "place_id", F.round("distance_km", 4).alias("distance_km"))
+    return near.select("user_id", "place_id", C.half_up(F.col("distance_km"), 4).alias("distance_km"))
 
 
 @query("spine_cross")
@@ -862,7 +862,7 @@ def positive_rate(spark, folder):
 def regression_metrics(spark, folder):
     """Quantity x mean price as a naive prediction of the line price."""
     lines = X.table(spark, folder, "lineitem").withColumn("guess", F.col("l_quantity") * 1500.0)
-    return stats.regression_metrics(lines, "guess", "l_extendedprice").select(r6("r2", "r2"), F.round("rmse", 3).alias("rmse"), F.round("mae", 3).alias("mae"))
+    return stats.regression_metrics(lines, "guess", "l_extendedprice").select(r6("r2", "r2"), C.half_up(F.col("rmse"), 3).alias("rmse"), C.half_up(F.col("mae"), 3).alias("mae"))
 
 
 @query("accuracy")
@@ -995,7 +995,7 @@ def _scored(spark, folder, **options):
 @query("topn_by_score")
 def topn_by_score(spark, folder):
     best = REC.topn_by_score(_scored(spark, folder), 3, keys=K)
-    return best.select("user_id", "rank", "place_id", F.round("final_score", 4).alias("final_score"))
+    return best.select("user_id", "rank", "place_id", C.half_up(F.col("final_score"), 4).alias("final_score"))
 
 
 @query("daily_sample")
@@ -1147,7 +1147,7 @@ def dynamic_radius(spark, folder):
 
 def _score_column(name, digits=4):
     def run(spark, folder):
-        return _scored(spark, folder).select("user_id", "place_id", F.round(name, digits).alias(name))
+        return _scored(spark, folder).select("user_id", "place_id", C.half_up(F.col(name), digits).alias(name))
     QUERIES[name] = run
 
 
