@@ -57,7 +57,7 @@ def split_windows(df: DataFrame, columns: Callable[[WindowSpec], dict[str, Colum
     if max(before, after) > chunk:
         raise ValueError("chunk must be at least as long as the frame")
     placed = with_position(df, order, buckets=buckets, keys=keys, position="_position")
-    home = F.floor(F.col("_position") / chunk)
+    home = F.expr(f"_position div {int(chunk)}")
     inside = F.pmod(F.col("_position"), F.lit(chunk))
     targets = F.array_compact(F.array(
         home,

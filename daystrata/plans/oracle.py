@@ -285,7 +285,7 @@ add("date_sequence", "SELECT user_id, CAST(unnest(generate_series(MIN(date), MAX
 ORACLE["cast_numeric"] = """SELECT o_orderkey, TRY_CAST(o_orderpriority AS BIGINT) AS bad, CAST(substr(o_orderpriority, 1, 1) AS BIGINT) AS good,
   o_totalprice AS price FROM orders"""
 _DAILY = {
-    "stress_level_num": "CASE WHEN avg_stress <= 25 THEN 1 WHEN avg_stress <= 50 THEN 2 WHEN avg_stress <= 75 THEN 3 ELSE 4 END AS stress_level_num",
+    "stress_level_num": "CAST(CASE WHEN avg_stress <= 25 THEN 1 WHEN avg_stress <= 50 THEN 2 WHEN avg_stress <= 75 THEN 3 ELSE 4 END AS BIGINT) AS stress_level_num",
     "recovery_status": """CASE WHEN net_battery > 20 THEN 'Great Recovery' WHEN net_battery > 0 THEN 'Good Recovery'
       WHEN net_battery > -20 THEN 'Slight Drain' ELSE 'Heavy Drain' END AS recovery_status""",
     "activity_level": """CASE WHEN steps IS NULL THEN 'No Data' WHEN steps < 5000 THEN 'Sedentary' WHEN steps < 7500 THEN 'Low Active'
@@ -362,7 +362,7 @@ add("spine_cross", f"""SELECT CAST(d AS DATE) AS date, metric FROM (SELECT unnes
   (VALUES {', '.join(f"('{m}')" for m in METRICS)}) m(metric)""")
 add("anti_existing", "SELECT DISTINCT user_id, date FROM ev EXCEPT SELECT user_id, date FROM ss_d")
 ORACLE["profile_join"] = f"""WITH prof AS (SELECT * FROM (VALUES {', '.join(f"('{m}', {p}, {b}, {l}, {n}::DOUBLE)" for m, (p, b, l, n) in MOOD_PROFILES.items())})
-  t(mood, parks, bars, nightlight, ndvi)) SELECT mood, p_partkey, parks, bars, nightlight, ndvi
+  t(mood, parks, bars, nightlight, ndvi)) SELECT mood, p_partkey, parks::BIGINT AS parks, bars::BIGINT AS bars, nightlight::BIGINT AS nightlight, ndvi
   FROM (SELECT p_partkey, {_PART_MOOD} AS mood FROM part) LEFT JOIN prof USING (mood)"""
 
 # ------------------------------------------------------------------ aggregations

@@ -57,6 +57,6 @@ def checkpointed(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     spark = df.sparkSession
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daystrata.functions.dates import date_of_name
@@ -67,10 +68,10 @@ def write_raw(raw: DataFrame, path: str, reset: bool = True) -> None:
         raise ValueError(f"raw documents lack {lacking}")
     if reset:
         return _write(raw, path, "overwrite")
-    spark = raw.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-    rebuild = exists and missing_columns(spark.read.parquet(path))
+    try:
+        rebuild = bool(missing_columns(raw.sparkSession.read.parquet(path)))
+    except AnalysisException:  # no table yet
+        rebuild = False
     _write(raw, path, "overwrite" if rebuild else "append")
 
 
