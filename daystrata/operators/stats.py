@@ -81,12 +81,16 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     index = F.when(width == 0, F.lit(0)).otherwise(
         F.least(F.floor(F.try_divide(F.col("v") - F.col("b.low"), width)), F.lit(bins - 1))
     )
-    counted = ranged.select(index.cast("int").alias("bin"), "b").groupBy("bin").agg(F.count(F.lit(1)).alias("days"))
-    edges = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), bounds.scalar().alias("b"))
-    edges = edges.filter("b.low is not null").select(
-        "bin", (F.col("b.low") + F.col("bin") * width).alias("low"), (F.col("b.low") + (F.col("bin") + 1) * width).alias("high")
+    counted = ranged.select(index.cast("int").alias("bin"), "b").groupBy("bin").agg(
+        F.count(F.lit(1)).alias("days"), F.first("b").alias("b")
+    )
+    # At most one entry per bin meets in the last task, where empty bins are filled in.
+    whole = counted.agg(F.map_from_entries(F.collect_list(F.struct("bin", "days"))).alias("m"), F.first("b").alias("b"))
+    filled = whole.filter("b is not null").select("m", "b", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return filled.select(
+        "bin", (F.col("b.low") + F.col("bin") * width).alias("low"), (F.col("b.low") + (F.col("bin") + 1) * width).alias("high"),
+        F.coalesce(F.try_element_at("m", F.col("bin")), F.lit(0)).cast("bigint").alias("days"),
     )
-    return edges.join(counted, "bin", "left").withColumn("days", F.coalesce("days", F.lit(0).cast("bigint")))
 
 
 def positive_rate(df: DataFrame, label: str, *, keys: Sequence[str] = ()) -> DataFrame:

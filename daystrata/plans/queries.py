@@ -984,12 +984,18 @@ def order_by_key(spark, folder):
     return views.ordered_view(rollup.data_quality_summary(X.order_days(spark, folder)), ["month"])
 
 
-def _scored(spark, folder, **options):
-    spots = X.places(spark, folder)
-    given = dict(as_of=X.AS_OF, keys=K, max_distance_km=None, top_n=3, jitter=False)
-    # Users feed both the radius join and the fallback, so they are computed once.
+def _inputs(spark, folder):
+    """Users, places, class scores and history.  Users and places are read many times by the recommender,
+    so their derivation is cut off with a checkpoint; stored tables would need none."""
+    spots = session.checkpointed(X.places(spark, folder))
     users = session.checkpointed(X.people(spark, folder))
-    return REC.scored_candidates(users, spots, X.class_scores(spots), X.history(spark, folder, spots), **{**given, **options})
+    return users, spots, X.class_scores(spots), X.history(spark, folder, spots)
+
+
+def _scored(spark, folder):
+    return REC.scored_candidates(
+        *_inputs(spark, folder), as_of=X.AS_OF, keys=K, max_distance_km=None, top_n=3, jitter=False
+    )
 
 
 @query("topn_by_score")
@@ -1162,11 +1168,7 @@ def daily_jitter(spark, folder):
 
 
 def _recommend(spark, folder, **options):
-    spots = X.places(spark, folder)
-    return REC.recommend_topn(
-        session.checkpointed(X.people(spark, folder)), spots, X.class_scores(spots), X.history(spark, folder, spots),
-        as_of=X.AS_OF, keys=K, **options,
-    )
+    return REC.recommend_topn(*_inputs(spark, folder), as_of=X.AS_OF, keys=K, **options)
 
 
 @query("recommend_topn")
