@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from daystrata.functions import categories as C
-from daystrata.functions.dates import date_of_name
 from daystrata.functions.documents import json_array
 from daystrata import schemas as S
 from daystrata.schemas import ARRAY_DOCUMENT, OBJECT_DOCUMENT
-from daystrata.sources.raw import metric_of_name, scan_metric
+from daystrata.sources.raw import date_column, metric_column, scan_metric
 
 _ELEMENT = ARRAY_DOCUMENT[len("array<"):-1]
 
@@ -19,7 +18,7 @@ _ELEMENT = ARRAY_DOCUMENT[len("array<"):-1]
 def unnest_intervals(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False) -> DataFrame:
     """One row per interval of the steps documents; empty or missing arrays give no row."""
     documents = scan_metric(raw, "steps").select(
-        *keys, date_of_name(F.col("filename")).alias("date"),
+        *keys, date_column(raw).alias("date"),
         F.explode(json_array(F.col("raw_json"), _ELEMENT)).alias("interval"),
     )
     return documents.select(
@@ -90,7 +89,7 @@ def _sleep(doc: Column, strict: bool) -> list[Column]:
 
 def _typed(raw: DataFrame, metric: str, parsed: Column, columns, keys, strict: bool) -> DataFrame:
     """Parse each document once, then project from the parsed value."""
-    documents = scan_metric(raw, metric).select(*keys, date_of_name(F.col("filename")).alias("date"), parsed.alias("_doc"))
+    documents = scan_metric(raw, metric).select(*keys, date_column(raw).alias("date"), parsed.alias("_doc"))
     return documents.select(*keys, "date", *columns(F.col("_doc"), strict))
 
 
@@ -112,19 +111,19 @@ def sleep_daily(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = Fals
 
 
 def parsed_documents(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False) -> DataFrame:
-    """All five metrics in one pass: one typed row per document, columns of other metrics NULL.
+    """All five metrics in one pass: one typed row per document, columns of other metrics NULL;
+    ``undated`` is the file name of a document without date.
 
     Every document goes through exactly one JSON parse, chosen by its metric; the step array is folded
     inside its row, so no interval rows are shuffled.
     """
-    name, text = F.col("filename"), F.col("raw_json")
-    metric = F.col("metric") if "metric" in raw.columns else metric_of_name(name)
-    documents = raw.select(*keys, metric.alias("metric"), date_of_name(name).alias("date"), "raw_json").filter(
-        F.col("metric").isNotNull()
-    )
+    text = F.col("raw_json")
+    documents = raw.select(
+        *keys, metric_column(raw).alias("metric"), date_column(raw).alias("date"), "filename", "raw_json"
+    ).filter(F.col("metric").isNotNull())
     in_array = F.col("metric").isin("steps", "body_battery")
     parsed = documents.select(
-        *keys, "date", "metric",
+        *keys, "date", "metric", F.when(F.col("date").isNull(), F.col("filename")).alias("undated"),
         F.when(in_array, json_array(text, _ELEMENT)).alias("_array"),
         F.when(~in_array, F.from_json(text, OBJECT_DOCUMENT)).alias("_object"),
     )
@@ -147,7 +146,7 @@ def parsed_documents(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool =
     ):
         built = builder(doc, strict)
         columns += only(metric_name, built, _names(metric_name))
-    return parsed.select(*keys, "date", "metric", *columns)
+    return parsed.select(*keys, "date", "metric", "undated", *columns)
 
 
 def _names(metric: str) -> list[str]:

@@ -9,9 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from daystrata import schemas as S
 from daystrata.functions import categories as C
-from daystrata.functions.dates import date_of_name
 from daystrata.operators.daily import parsed_documents
-from daystrata.sources.raw import metric_of_name
+from daystrata.sources.raw import date_column, metric_column
 
 # Numeric columns of each side.  The two labels (steps_quality, stress_category) follow from them and
 # are added after the aggregation, which keeps its buffers fixed-size and the aggregate hash-based.
@@ -37,22 +36,20 @@ def _chained(sides: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
 
 
 def _grouped(rows: DataFrame, keys: Sequence[str], steps_parts: bool) -> DataFrame:
-    """Rows tagged with ``_side`` to one row per key and date, in one hash aggregate.
+    """Rows tagged with ``_side`` to one row per key, date and ``_undated``, in one hash aggregate.
 
     A side has at most one row per group (steps may come in parts), so its maximum is its value.
-    NULL days never match each other in a join, so each undated row forms a group of its own.  A
-    second row of a side stops the query.
+    NULL days never match each other in a join; ``_undated`` keeps rows without date apart.  A second
+    row of a side stops the query.
     """
     is_side = {side: F.col("_side") == side for side in SIDE_COLUMNS}
-    alone = F.col("date").isNull() & (~is_side["steps"] if steps_parts else F.lit(True))
     total = F.sum("steps_raw") if steps_parts else F.max("steps_raw")
     seen = {side: F.count_if(present).alias(f"_{side}") for side, present in is_side.items()}
     if steps_parts:
         # An empty steps document contributes no interval and therefore no day.
         seen["steps"] = F.coalesce(F.sum("intervals"), F.lit(0)).alias("_steps")
     values = [F.max(c).alias(c) for side, columns in SIDE_COLUMNS.items() if side != "steps" for c in columns]
-    merged = rows.withColumn("_undated", F.when(alone, F.monotonically_increasing_id())).groupBy(
-        *keys, "date", "_undated").agg(total.alias("_total"), *seen.values(), *values)
+    merged = rows.groupBy(*keys, "date", "_undated").agg(total.alias("_total"), *seen.values(), *values)
     single = [F.col(f"_{side}") for side in SIDE_COLUMNS if not (steps_parts and side == "steps")]
     any_row = F.greatest(*[F.col(f"_{side}") for side in SIDE_COLUMNS]) > 0
     checked = F.when(F.greatest(*single) > 1, F.raise_error(F.lit(DUPLICATE)).cast("boolean")).otherwise(any_row)
@@ -77,7 +74,9 @@ def merge_daily(sides: dict[str, DataFrame], *, keys: Sequence[str] = (), form:
     if form != "grouped":
         raise ValueError(f"unknown form {form!r}")
     tagged = [sides[side].select(*keys, "date", F.lit(side).alias("_side"), *columns) for side, columns in SIDE_COLUMNS.items()]
-    return _grouped(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged), keys, steps_parts=False)
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    alone = F.when(F.col("date").isNull(), F.monotonically_increasing_id())
+    return _grouped(united.withColumn("_undated", alone), keys, steps_parts=False)
 
 
 def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False) -> DataFrame:
@@ -87,13 +86,16 @@ def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = Fa
     key and day raises (see :func:`merge_daily`).
     """
     rows = parsed_documents(raw, keys=keys, strict=strict).withColumnRenamed("metric", "_side")
+    # The file name tells undated documents apart; undated steps of one key add up.  Unlike a row id it
+    # is deterministic, so filters on key and date still reach the scan.
+    rows = rows.withColumn("_undated", F.when(F.col("_side") != "steps", F.col("undated")))
     return _grouped(rows, keys, steps_parts=True)
 
 
 def duplicate_documents(raw: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Key, day and metric that have more than one document (steps excepted): reads names only."""
     named = raw.select(
-        *keys, date_of_name(F.col("filename")).alias("date"), metric_of_name(F.col("filename")).alias("metric")
+        *keys, date_column(raw).alias("date"), metric_column(raw).alias("metric")
     )
     grouped = named.filter(F.col("date").isNotNull() & (F.col("metric") != "steps")).groupBy(*keys, "date", "metric")
     return grouped.agg(F.count(F.lit(1)).alias("documents")).filter(F.col("documents") > 1)

@@ -20,6 +20,16 @@ def metric_of_name(name: Column) -> Column:
     return found.otherwise(F.lit(None).cast("string"))
 
 
+def metric_column(raw: DataFrame) -> Column:
+    """Metric of a document: the landed column where there is one, so that filters reach the scan."""
+    return F.col("metric") if "metric" in raw.columns else metric_of_name(F.col("filename"))
+
+
+def date_column(raw: DataFrame) -> Column:
+    """Day of a document, likewise."""
+    return F.col("date") if "date" in raw.columns else date_of_name(F.col("filename"))
+
+
 def scan_raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     """One row per ``*.json`` file directly in the folder; files that are not JSON are dropped.
 

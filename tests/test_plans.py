@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from daystrata.operators import daily as parse, merge, rollup, temporal
 from daystrata.plans import sample as X
 from daystrata.plans.views import build_views
+from daystrata.sources import raw as RAW
 
 
 def plan(df) -> str:
@@ -42,6 +43,16 @@ def test_windows_share_one_sort(landed):
     assert text.count("Exchange") == 2 and text.count("Sort [") == 1
 
 
+def test_filters_on_key_and_day_reach_the_scan(spark, folder, tmp_path):
+    RAW.write_raw(X.raw_documents(spark, folder), str(tmp_path / "lake"))
+    days = merge.daily_metrics(spark.read.parquet(str(tmp_path / "lake")), keys=X.KEYS)
+    some = days.filter("user_id = 3 and date between date'2024-01-05' and date'2024-01-09'")
+    scan = [line for line in plan(some).splitlines() if "FileScan" in line][0]
+    pushed = scan[scan.index("PushedFilters"):]
+    assert "EqualTo(user_id,3)" in pushed and "GreaterThanOrEqual(date" in pushed
+    assert lines(some) == lines(X.daily(spark, folder).filter("user_id = 3 and date between date'2024-01-05' and date'2024-01-09'"))
+
+
 def test_unused_columns_are_not_read(landed):
     text = plan(merge.duplicate_documents(landed, keys=X.KEYS))
     assert "raw_json" not in text
