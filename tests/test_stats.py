@@ -4,7 +4,6 @@ import random
 import statistics
 
 import pytest
-from pyspark.sql import functions as F
 
 from daystrata.operators import features as FE, stats
 
