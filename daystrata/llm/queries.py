@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daystrata import session
-from daystrata.llm import packing, piece_bpe, wavelet
+from daystrata.llm import chat, common, packing, piece_bpe, rules, sharding, token_counts, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,6 +31,44 @@ def op1_wavelet_tokens(spark, folder):
     return wavelet.read_documents(spark, path, ids=False, crc=True)
 
 
+@query
+def op2_rule_cascade(spark, folder):
+    """Measures and verdict of every document."""
+    judged = rules.cascade(table(spark, folder, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op3_prefix_target_chat(spark, folder):
+    """Examples of all conversations and of one that holds the template's own marks, written and read back."""
+    odd = "\\### Assistant: </turn> ok"
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(odd).alias("text"),
+    )
+    rows = common.columns(table(spark, folder, "conversations"), conv_id="bigint", turn="bigint", role="string", text="string").unionByName(more)
+    return chat.summaries(common.stored(chat.examples(rows), "chat"))
+
+
+@query
+def op4_delta_token_counts(spark, folder):
+    """Totals after three batches: all documents inserted; exact copies deleted; the counts of the rest revised
+    for a version that adds an end token.  The first two are sent twice, as after a failure, and the batches are
+    folded in between."""
+    counts = common.stored(token_counts.counted(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "byte_bpe_50k"), "counts")
+    first = counts.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
+    both = counts.join(first, counts["text_hash"].eqNullSafe(first["text_hash"])).drop(first["text_hash"])
+    copies, rest = both.filter("doc_id <> first_id"), both.filter("doc_id = first_id")
+    rollup = token_counts.Rollup(spark, session.new_folder(spark, "rollup"))
+    for _ in range(2):
+        rollup.commit("load", token_counts.signed(counts, 1))
+        rollup.commit("copies", token_counts.signed(copies, -1))
+        rollup.fold()
+    revised = token_counts.signed(rest, -1).unionByName(token_counts.signed(rest, 1, F.col("n_tokens") + 1, "byte_bpe_50k_end"))
+    rollup.commit("revision", revised)
+    return rollup.totals()
+
+
 @query
 def op5_best_fit_packing(spark, folder):
     """Sequences of at most 4096 tokens; the ids stay in the tasks, as the digest needs only their checksum."""
@@ -40,3 +78,9 @@ def op5_best_fit_packing(spark, folder):
 @query
 def op8_prefix_table_pieces(spark, folder):
     return piece_bpe.digest_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op9_extendible_shards(spark, folder):
+    """Shards of at most 16 MiB of text, written and read back."""
+    return sharding.sharded(table(spark, folder, "documents"), 16 << 20)

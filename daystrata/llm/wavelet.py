@@ -117,16 +117,15 @@ class WaveletMatrix:
 
     def tokens(self) -> np.ndarray:
         """All ids in order: the deals undone plane by plane, without rank."""
-        # Value bits above, place below; after the last plane one scatter puts the values back.
-        pairs = np.arange(self.n, dtype=np.uint64)
-        for level in range(self.bits):
-            ones = np.unpackbits(self.plane(level)[0], count=self.n).view(bool)
-            high = np.compress(ones, pairs)
-            high |= np.uint64(1 << (32 + self.bits - 1 - level))
-            pairs = np.concatenate((np.compress(~ones, pairs), high))
-        found = np.empty(self.n, "<u4")
-        found[pairs & np.uint64(0xFFFFFFFF)] = pairs >> np.uint64(32)
-        return found
+        kind = np.uint16 if self.bits <= 16 else np.uint32
+        current = np.zeros(self.n, kind)
+        for level in reversed(range(self.bits)):
+            ones, zeros = np.unpackbits(self.plane(level)[0], count=self.n).view(bool), self.zeros[level]
+            back = np.empty(self.n, kind)
+            back[np.flatnonzero(~ones)] = current[:zeros]
+            back[np.flatnonzero(ones)] = current[zeros:] | kind(1 << (self.bits - 1 - level))
+            current = back
+        return current.astype("<u4")
 
 
 def build(ids: np.ndarray, bits: int) -> tuple[list[bytes], list[bytes], list[int]]:
@@ -186,7 +185,7 @@ class TokenFile:
         self.matrix = WaveletMatrix(header["n"], bits, lambda level: (section(3 + level, "u1"), section(3 + bits + level, "<u4")), header["zeros"])
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard_tokens: int = 1 << 20, files: int | None = None) -> None:
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, shard_tokens: int = 1 << 18, files: int | None = None) -> None:
     """Encode every whole text and write the ids, with ``end_id`` after each document, as token files.
 
     The documents are dealt out by ranges of ``doc_id`` and sorted inside, so files and shards follow it.
