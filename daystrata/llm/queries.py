@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daystrata import session
-from daystrata.llm import chat, common, packing, piece_bpe, rules, sharding, token_counts, wavelet
+from daystrata.llm import chat, common, hnsw, language, packing, piece_bpe, probminhash, rules, sharding, token_counts, wavelet
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -75,6 +75,18 @@ def op5_best_fit_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
+@query
+def op6_probminhash_classes(spark, folder):
+    """Class of near-duplicates of every document: 24 bands of 6 slots, similarity 0.8."""
+    return probminhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op7_kneser_ney_language(spark, folder):
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 @query
 def op8_prefix_table_pieces(spark, folder):
     return piece_bpe.digest_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -84,3 +96,9 @@ def op8_prefix_table_pieces(spark, folder):
 def op9_extendible_shards(spark, folder):
     """Shards of at most 16 MiB of text, written and read back."""
     return sharding.sharded(table(spark, folder, "documents"), 16 << 20)
+
+
+@query
+def op10_hnsw_vectors(spark, folder):
+    """Links and components of all vectors of one label at cosine 0.98."""
+    return hnsw.near_vectors(table(spark, folder, "embeddings"))
