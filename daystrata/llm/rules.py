@@ -126,4 +126,8 @@ def cascade(docs: DataFrame, rules=RULES, sample_rows: int = 500) -> DataFrame:
     for rule in reversed(order):
         first = F.when(F.expr(rule.rejects), F.lit(rule.name)).otherwise(first)
     judged = with_measures(plain).withColumn("base_failed", F.expr(BASE_FAILED)).withColumn("rejected_by", first)
-    return judged.withColumn("kept", F.col("rejected_by").isNull()).drop("words")
+    judged = judged.withColumn("kept", F.col("rejected_by").isNull())
+    # A filter on the verdict would be pushed down by writing every measure out in it, again and again; it can't
+    # pass a generator, so each measure is computed once.
+    results = F.explode(F.array(F.struct(*[c for c in judged.columns if c in added - {"words"}]))).alias("_judged")
+    return judged.select(*plain.columns, results).select(*plain.columns, "_judged.*")
