@@ -25,7 +25,7 @@ THRESHOLD = 0.8
 #: of 144 slots below the threshold.
 ESTIMATE = 0.66
 #: Rows of a block when the rest of a large bucket is compared in blocks.
-BLOCK = 1024
+BLOCK = 512
 _WORD_LIMIT = 1_000_000
 _U = np.uint64
 
@@ -165,32 +165,74 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     return common.map_batches(full, check, "a bigint, b bigint")
 
 
-def _rest(buckets: DataFrame, reps: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) of one bucket but different classes so far whose slots agree often enough.
+def _rest(buckets: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between members of one bucket that are in different classes so far.
 
-    The members of such a bucket are dealt into blocks, and every two blocks meet in a task of their own.
+    The members of such a bucket are dealt into blocks, and every two blocks meet in a task of their own.  A pair is
+    looked at in the first band that both share, if their slots agree often enough.  A first pass finds by slots alone
+    which members have such a partner; only their texts then go to the second, which compares pairs exactly from the
+    likeliest on and skips those that are in one class by then.  So a task gives fewer links than it has members.
     """
     of = found.select(F.col("id").alias("rep_id"), "class_id")
-    members = buckets.join(of, "rep_id", "left").withColumn("class_id", F.coalesce("class_id", "rep_id"))
-    open_ = members.groupBy("band", "value").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"), F.count(F.lit(1)).alias("n"))
-    open_ = open_.filter("low <> high").select("band", "value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(open_, ["band", "value"]).join(reps.select("rep_id", "slots"), "rep_id")
-    dealt = rows.withColumn("block", F.expr("cast(pmod(xxhash64(rep_id), blocks) as int)")).withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    met = dealt.select("band", "value", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep_id", "class_id", "slots")
+    members = buckets.select("band", "value", "rep_id").join(of, "rep_id", "left").withColumn("class_id", F.coalesce("class_id", "rep_id"))
+    open_ = members.groupBy("band", "value").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).filter("low <> high")
+    rows = members.join(open_.select("band", "value"), ["band", "value"]).join(reps.select("rep_id", "slots"), "rep_id")
+
+    def met(rows: DataFrame) -> DataFrame:
+        blocks = rows.groupBy("band", "value").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        dealt = rows.join(blocks, ["band", "value"]).withColumn("block", F.expr("cast(pmod(xxhash64(rep_id), blocks) as int)"))
+        dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).drop("blocks")
+        return dealt.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")}).groupBy("band", "value", "i", "j")
+
+    def near(rows: pd.DataFrame):
+        """(left, right, agreement) numbers of the pairs to look at."""
+        slots = np.frombuffer(b"".join(rows["slots"]), "<u2").reshape(len(rows), BANDS, ROWS)
+        groups, block, band = rows["class_id"].to_numpy(), rows["block"].to_numpy(), int(rows["band"].iloc[0])
+        left, right = np.flatnonzero(block == rows["i"].iloc[0]), np.flatnonzero(block == rows["j"].iloc[0])
+        for k in left:
+            other = right[(groups[right] != groups[k]) & ((right > k) | (block[right] != block[k]))]
+            same = slots[other] == slots[k]
+            share = same.mean(axis=(1, 2))
+            other, same, share = other[share >= ESTIMATE], same[share >= ESTIMATE], share[share >= ESTIMATE]
+            # Slots are kept in 16 bits; a chance agreement moves a pair to a band where it may not meet, so the
+            # bands before count only with certainty enough: all six slots.
+            first = same[:, :band].all(axis=2).any(axis=1) if band else np.zeros(len(other), bool)
+            for r, x in zip(other[~first], share[~first]):
+                yield k, r, x
+
+    def flag(rows: pd.DataFrame) -> pd.DataFrame:
+        hit = sorted({n for k, r, _ in near(rows) for n in (k, r)}) if rows["class_id"].nunique() > 1 else []
+        return rows.iloc[hit][["band", "value", "rep_id"]]
+
+    flagged = common.stored(met(rows).applyInPandas(flag, "band int, value bigint, rep_id bigint").distinct(), "flagged")
+    needed = common.stored(flagged.select(F.col("rep_id").alias("doc_id")).distinct(), "needed")
+    few = needed.count() <= 500_000
+    texts = common.columns(docs, doc_id="bigint", text="string").join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
+    texts = common.stored(texts.groupBy(F.col("doc_id").alias("rep_id")).agg(F.min("text").alias("text")), "texts")
+    full = rows.join(flagged, ["band", "value", "rep_id"]).join(texts, "rep_id")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        if rows["class_id"].nunique() < 2:
-            return pd.DataFrame({"a": [], "b": []}).astype("int64")
-        left, right = rows[rows["block"] == rows["i"]], rows[rows["block"] == rows["j"]]
-        slots = [np.frombuffer(b"".join(x["slots"]), "<u2").reshape(len(x), -1) for x in (left, right)]
-        ids, groups = [x["rep_id"].to_numpy() for x in (left, right)], [x["class_id"].to_numpy() for x in (left, right)]
-        pairs = []
-        for k in range(len(left)):
-            near = ((slots[1] == slots[0][k]).mean(axis=1) >= ESTIMATE) & (groups[1] != groups[0][k])
-            pairs += [(min(ids[0][k], b), max(ids[0][k], b)) for b in ids[1][near]]
-        return pd.DataFrame(sorted(set(pairs)), columns=["a", "b"]).astype("int64")
+        pairs = sorted(near(rows), key=lambda x: -x[2]) if rows["class_id"].nunique() > 1 else []
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        ids, groups, texts, read, linked = rows["rep_id"].to_numpy(), rows["class_id"].to_numpy(), rows["text"].to_numpy(), {}, []
+        for k, r, _ in pairs:
+            a, b = root(groups[k]), root(groups[r])
+            if a != b:
+                for n in (k, r):
+                    if n not in read:
+                        read[n] = shingles(texts[n])
+                if probability_jaccard(read[k], read[r]) >= threshold:
+                    parent[max(a, b)] = min(a, b)
+                    linked.append((ids[k], ids[r]))
+        return pd.DataFrame(linked, columns=["a", "b"]).astype("int64")
 
-    return met.groupBy("band", "value", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
+    return met(full).applyInPandas(compare, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -198,7 +240,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``copy_of`` is the least doc_id with the same text, ``class_id`` the least one reached by links; a document is
     kept when it is its own class.  Documents of the same text are one node, and rows with one doc_id are one
-    document.  A bucket is first compared with its least member; where that leaves several classes in it, all its
+    document.  A bucket is first compared with its most central member; where that leaves several classes in it, all its
     members of different classes meet in blocks.  So no bucket is cut, and pairs are only left out inside a class.
     Null and wordless texts and null ids are alone in their class (null ids have a null class and are kept); other
     columns are ignored; an empty table gives no rows.
@@ -217,15 +259,18 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     reps = common.stored(made.join(least.select(F.col("rep_id").alias("doc_id"), "text_hash"), ["doc_id", "text_hash"], "left_semi").select(
         F.col("doc_id").alias("rep_id"), "bands", "slots").dropDuplicates(["rep_id"]), "representatives")
     rows = reps.select("rep_id", F.posexplode("bands").alias("band", "value"))
-    hubs = rows.groupBy("band", "value").agg(F.min("rep_id").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    buckets = common.stored(rows.join(hubs, ["band", "value"]).select("band", "value", "rep_id", "hub"), "buckets")
+    # The member that shares most buckets over all bands is the likeliest centre of its near copies, so it is the hub.
+    shared = rows.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    crowded = common.stored(rows.join(shared, ["band", "value"]), "crowded")
+    central = crowded.groupBy("rep_id").agg(F.sum(F.col("n") - 1).alias("mates"))
+    weighed = crowded.join(central, "rep_id")
+    hubs = weighed.groupBy("band", "value").agg(F.max(F.struct("mates", (-F.col("rep_id")).alias("id"))).alias("top"))
+    buckets = common.stored(crowded.join(hubs, ["band", "value"]).select("band", "value", "rep_id", (-F.col("top.id")).alias("hub")), "buckets")
     stars = common.stored(buckets.filter("hub <> rep_id").select(F.col("hub").alias("a"), F.col("rep_id").alias("b")).distinct(), "stars")
     linked = common.stored(verified(stars, docs, threshold), "linked")
     sure = copies.filter("doc_id <> copy_of").select(F.col("copy_of").alias("a"), F.col("doc_id").alias("b"))
     found = common.stored(links.classes(linked), "classes")
-    more = common.stored(_rest(buckets, reps, found).join(stars, ["a", "b"], "left_anti"), "rest")
-    if not more.isEmpty():
-        linked = linked.unionByName(common.stored(verified(more, docs, threshold), "linked"))
+    linked = linked.unionByName(common.stored(_rest(buckets, reps, found, docs, threshold), "rest"))
     # Rows with one doc_id and several texts can join texts, so copies take part in the last round.
     found = links.classes(linked.unionByName(sure))
     return ship_rows.select("doc_id").join(copies, "doc_id", "left").join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(

@@ -27,7 +27,7 @@ _TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTAL
 #: Characters encoded together; bounds what is held at once beside the memory of units.
 CHUNK = 1_000_000
 #: Units remembered per worker; at the limit the memory starts anew.
-LIMIT = 700_000
+LIMIT = 1_200_000
 
 
 class UnitIds:
