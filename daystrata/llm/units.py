@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
-import numpy as np
-
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 _ODD_ASCII = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
@@ -30,6 +30,14 @@ CHUNK = 1_000_000
 LIMIT = 1_200_000
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
 class UnitIds:
     """``encode`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -49,15 +57,15 @@ class UnitIds:
         raise NotImplementedError
 
     def whole(self, text: str) -> bytes:
-        return np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return packed(self.library.encode(text, add_special_tokens=False).ids)
 
     def learn(self, needed: set[str]) -> None:
         cuts = {unit: self.cut(unit) for unit in needed}
         new = [part for part in set(chain.from_iterable(cuts.values())) if part not in self.parts]
         for part, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.parts[part] = np.asarray(found.ids, "<u4").tobytes()
+            self.parts[part] = packed(found.ids)
         for unit, cut in cuts.items():
-            self.units[unit] = b"".join([self.parts[part] for part in cut])
+            self.units[unit] = self.parts[cut[0]] if len(cut) == 1 else b"".join([self.parts[part] for part in cut])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """A null text is an empty one."""
