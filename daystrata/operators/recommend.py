@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from daystrata.functions import dates as D
 from daystrata.functions.categories import half_up
-from daystrata.functions.text import prompt_text, reason_text, weather_text
+from daystrata.functions.text import COLD, RAIN, prompt_text, reason_text, weather_text
 from daystrata.operators.radius import nsmallest, radius_or_nearest
 from daystrata.sources.history import last_visits
 
@@ -21,8 +21,7 @@ MOOD_PROFILES = {
     "cozy_recharge": (10, 4, 28, 0.55),
     "balanced": (8, 10, 40, 0.50),
 }
-# Thresholds of the rules, in degrees Celsius, mm, and km.
-COLD, RAIN = 5, 5
+# Thresholds of the rules in km; those of the weather stand with its words.
 NEAR_KM, FAR_KM = 10.0, 25.0
 # Weather used when none is known.
 DEFAULT_TEMPERATURE, DEFAULT_PRECIPITATION = 10.0, 0.0
@@ -105,8 +104,9 @@ def with_chances(places: DataFrame, scores: DataFrame) -> DataFrame:
     Attached to the places, the probabilities ride along with the radius join and the many candidate
     rows need no join of their own.
     """
-    entry = F.struct("mood", "probability")
-    per_name = scores.groupBy("name").agg(F.map_from_entries(F.collect_set(entry)).alias("chances"))
+    # Of several scores for one mood and name the highest counts.
+    single = scores.groupBy("name", "mood").agg(F.max("probability").alias("probability"))
+    per_name = single.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("mood", "probability"))).alias("chances"))
     return places.join(per_name, "name", "left")
 
 
@@ -122,7 +122,9 @@ def recent_visits(history: DataFrame, as_of: Column, *, keys: Sequence[str] = ()
 
 def history_penalty(last_visit: Column, as_of: Column) -> Column:
     """Percent taken off for a recent visit; unreadable and future dates take nothing off."""
-    age = D.days_ago(D.parse_date(F.substring(last_visit, 1, 10)), as_of)
+    # A date alone or with a time behind it; other text can't be read.
+    readable = F.when(last_visit.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:.*)?$"), F.substring(last_visit, 1, 10))
+    age = D.days_ago(D.parse_date(readable), as_of)
     return F.when(age.between(0, 3), F.lit(30.0)).when(age.between(4, 7), F.lit(15.0)).otherwise(F.lit(0.0))
 
 

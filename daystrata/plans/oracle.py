@@ -165,7 +165,7 @@ def case_of(mapping: dict[str, str], key: str, default: str) -> str:
 # ------------------------------------------------------------------ scans
 _PER_METRIC = "SELECT metric, date, {0} AS documents FROM docs {1} GROUP BY metric, date"
 add("scan_raw_documents", """SELECT 'bundle_' || date || '_' || (event_id // 65536) AS filename, date, COUNT(*) AS elements
-  FROM ev WHERE event_type = 'click' GROUP BY date, event_id // 65536""")
+  FROM ev GROUP BY date, event_id // 65536""")
 for _name in ("raw_sink_overwrite", "schema_guard", "incremental_landing"):
     add(_name, _PER_METRIC.format("COUNT(*)", ""))
 add("raw_sink_append", _PER_METRIC.format("2 * COUNT(*)", ""))
@@ -180,7 +180,8 @@ _HEADERS = f"""SELECT o_orderkey AS activity_id, CASE WHEN o_orderkey % 5 <> 0 T
 ORACLE["scan_activities"] = f"""SELECT o_orderkey AS "activityId", o_totalprice / 10 AS duration,
   CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 7 <> 0 THEN {_KIND} END AS type_key FROM orders"""
 ORACLE["activity_headers"] = _HEADERS
-ORACLE["latest_activities"] = _HEADERS + " ORDER BY start_time DESC, activity_id DESC LIMIT 100"
+ORACLE["latest_activities"] = _HEADERS + """ ORDER BY TRY_CAST(replace(left(start_time, 19), 'T', ' ') AS TIMESTAMP) DESC NULLS LAST,
+  activity_id DESC LIMIT 100"""
 _SPINE = f"""spine AS (SELECT user_id, CAST(d AS DATE) AS date, metric, metric || '_' || CAST(CAST(d AS DATE) AS VARCHAR) || '.json' AS filename
   FROM (SELECT DISTINCT user_id FROM ev), generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) g(d),
   (VALUES {', '.join(f"('{m}')" for m in METRICS)}) m(metric))"""

@@ -55,7 +55,7 @@ def raw_per_metric(df: DataFrame) -> DataFrame:
 @query("scan_raw_documents")
 def scan_raw_documents(spark, folder):
     """Documents bundled into files of one day and 65,536 event ids, read back one file per row."""
-    docs = X.event_values(spark, folder).filter("event_type = 'click'")
+    docs = X.event_values(spark, folder)
     bundle = F.floor(F.col("event_id") / 65536).alias("bundle")
     element = F.struct((F.col("v") % 101).alias("charged"), F.col("k").alias("drained"))
     files = docs.groupBy("date", bundle).agg(F.to_json(F.collect_list(element)).alias("value"))
@@ -1129,7 +1129,7 @@ def _observations(spark, folder):
 
 @query("class_probabilities")
 def class_probabilities(spark, folder):
-    model = M.fit_place_classifier(_observations(spark, folder), REC.FEATURE_ORDER, trees=20, depth=6)
+    model = M.fit_place_classifier(_observations(spark, folder), REC.FEATURE_ORDER)
     contexts = REC.mood_features(_people(spark, folder), keys=K)
     return rounded(M.class_probabilities(model, contexts, keys=K), "probability")
 

@@ -29,5 +29,10 @@ def activity_headers(activities: DataFrame) -> DataFrame:
 
 
 def latest_activities(headers: DataFrame, n: int = 100) -> DataFrame:
-    """The n most recent activities; a top-n per task, merged once."""
-    return headers.orderBy(F.desc("start_time"), F.desc("activity_id")).limit(n)
+    """The n most recent activities; a top-n per task, merged once.
+
+    Starts are compared as times, as the two kinds of documents write them differently; a start that isn't a
+    time ranks last.
+    """
+    start = F.replace(F.substring("start_time", 1, 19), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    return headers.orderBy(F.desc_nulls_last(start), F.desc("activity_id")).limit(n)

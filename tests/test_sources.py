@@ -91,7 +91,7 @@ def test_activities(spark, tmp_path):
     heads = {r.activity_id: tuple(r)[1:] for r in A.activity_headers(read).collect()}
     assert heads == {
         1: ("Unnamed", "running", "2025-01-01T10:00:00.0"), 2: ("Tempo", "cycling", "2025-01-02 10:00:00"), 3: ("Unnamed", "unknown", "unknown")}
-    assert [r.activity_id for r in A.latest_activities(A.activity_headers(read).filter("start_time <> 'unknown'"), 1).collect()] == [2]
+    assert [r.activity_id for r in A.latest_activities(A.activity_headers(read), 3).collect()] == [2, 1, 3]
 
 
 def test_place_lookups_take_the_first_match_or_zero(spark):
