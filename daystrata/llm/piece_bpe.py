@@ -22,7 +22,7 @@ from daystrata.llm import common
 SPACE = "▁"
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 #: Entries remembered per worker and table; at the limit the memory starts anew.
-LIMIT = 500_000
+LIMIT = 1_000_000
 
 
 class PieceModel:
@@ -55,7 +55,7 @@ class PieceModel:
                 self.tokens.add_word(piece, (i, len(piece)))
         self.tokens.make_automaton()
         self._alone: dict[int, bool] = {}
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self._stretches: dict[str, tuple[int, ...]] = {}
         self.decimal: dict[str, str] = {}
         self.decoded: dict[str, str] = {}
@@ -80,20 +80,31 @@ class PieceModel:
         return self._alone[token]
 
     def compatible(self, left: int, right: int) -> bool:
-        if (left, right) not in self._pairs:
+        key = left << 32 | right
+        if key not in self._pairs:
             if len(self._pairs) >= LIMIT:
                 self._pairs.clear()
             a, b = self.piece[left], self.piece[right]
-            self._pairs[left, right] = self._merged(a + b) == [a, b]
-        return self._pairs[left, right]
+            # Two that merge into a token never stay apart.
+            self._pairs[key] = a + b not in self.rank and self._merged(a + b) == [a, b]
+        return self._pairs[key]
 
     def stretch(self, text: str) -> tuple[int, ...]:
         """Ids of a text in which spaces are already marked."""
         last: list[int] = [-1] * (len(text) + 1)
+        alone, pairs = self._alone, self._pairs
         for end, (token, length) in self.tokens.iter(text):
-            start = end + 1 - length
-            if last[end + 1] < 0 and self.alone(token) and (start == 0 or last[start] < 0 or self.compatible(last[start], token)):
-                last[end + 1] = token
+            if last[end + 1] >= 0:
+                continue
+            fits = alone.get(token)
+            if not (self.alone(token) if fits is None else fits):
+                continue
+            before = last[end + 1 - length] if length <= end else -1
+            if before >= 0:
+                fits = pairs.get(before << 32 | token)
+                if not (self.compatible(before, token) if fits is None else fits):
+                    continue
+            last[end + 1] = token
         ids, place = [], len(text)
         while place:
             token = last[place]
