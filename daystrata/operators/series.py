@@ -21,24 +21,38 @@ def _same(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
     return condition
 
 
+def _before(size: str, along: WindowSpec) -> Column:
+    return F.sum(size).over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col(size)
+
+
 def with_position(df: DataFrame, order: Sequence[Column], *, buckets: Sequence[Column], keys: Sequence[str] = (),
                   position: str = "position", total: str | None = None) -> DataFrame:
     """Add the 0-based position of each row in its series.
 
     ``buckets`` are expressions that do not decrease along ``order`` (the month of a date, then
-    ``id div 100000``): they fix how many rows one task has to sort.  ``total`` names an optional
-    column for the series length.
+    ``id div 100000``): they fix how many rows one task has to sort.  The first one should have a
+    bounded number of values, as days have: its totals are summed up in one task per series, the other
+    buckets within their first one.  ``total`` names an optional column for the series length.
     """
     names = [f"_bucket{i}" for i in range(len(buckets))]
     tagged = df.withColumns(dict(zip(names, buckets)))
     group = [*keys, *names]
     sizes = tagged.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-    along = Window.partitionBy(*keys).orderBy(*names)
-    offsets = sizes.select(
-        *[F.col(c).alias(f"_r_{c}") for c in group],
-        (F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_size")).alias("_offset"),
-        *([F.sum("_size").over(Window.partitionBy(*keys)).alias(total)] if total else []),
+    # Prefix sums at two levels: over the first bucket of the whole series, then inside each first bucket.
+    outer = [*keys, names[0]]
+    firsts = sizes.groupBy(*outer).agg(F.sum("_size").alias("_sum"))
+    firsts = firsts.select(
+        *[F.col(c).alias(f"_r_{c}") for c in outer],
+        _before("_sum", Window.partitionBy(*keys).orderBy(names[0])).alias("_outer"),
+        *([F.sum("_sum").over(Window.partitionBy(*keys)).alias(total)] if total else []),
     )
+    if len(names) > 1:
+        inner = sizes.withColumn("_inner", _before("_size", Window.partitionBy(*outer).orderBy(*names[1:])))
+        firsts = inner.join(firsts, _same(inner, firsts, outer), "inner")
+        offsets = firsts.select(
+            *[F.col(c).alias(f"_r_{c}") for c in group], (F.col("_outer") + F.col("_inner")).alias("_offset"), *([total] if total else []))
+    else:
+        offsets = firsts.withColumnRenamed("_outer", "_offset")
     local = Window.partitionBy(*group).orderBy(*order)
     numbered = tagged.withColumn("_local", F.row_number().over(local))
     joined = numbered.join(offsets, _same(numbered, offsets, group), "inner")

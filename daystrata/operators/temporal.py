@@ -114,8 +114,14 @@ def kpi_vs_mean(daily: DataFrame, column: str = "avg_stress", *, keys: Sequence[
 
 
 def kpi_cards(daily: DataFrame, *, as_of, keys: Sequence[str] = ()) -> DataFrame:
-    """(kpi, value text, note) rows of the latest complete day."""
-    latest = latest_complete_row(daily, keys=keys)
+    """(heading, kpi, value text, note) rows of the latest day with a stress value, beside the mean of all days.
+
+    A key without such a day gets cards without data and no heading.
+    """
+    rest = [c for c in daily.columns if c not in keys]
+    complete = F.when(F.col("avg_stress").isNotNull(), F.col("date"))
+    newest = daily.groupBy(*keys).agg(F.max_by(F.struct(*rest), complete).alias("_row"), F.avg("avg_stress").alias("_mean"))
+    latest = newest.select(*keys, "_row.*", "_mean")
 
     def card(name: str, column: str, digits: int, unit: str, missing: str, note: Column | None = None, **style):
         value = F.col(column)
@@ -127,10 +133,10 @@ def kpi_cards(daily: DataFrame, *, as_of, keys: Sequence[str] = ()) -> DataFrame
     heading = F.concat(D.long_date(F.col("date")), F.lit(" ("), relative_day_label(age), F.lit(")"))
     flow = F.when(F.col("net_battery") > 0, F.lit("Recovery")).otherwise(F.lit("Drain"))
     cards = F.array(
-        card("Avg Stress", "avg_stress", 0, "", "N/A", heading),
+        card("Avg Stress", "avg_stress", 0, "", "N/A", F.concat(fixed(F.col("avg_stress") - F.col("_mean"), 1), F.lit(" vs avg"))),
         card("Resting HR", "resting_hr", 0, " bpm", "N/A"),
         card("Sleep", "sleep_hours", 1, " hrs", "N/A"),
         card("Net Battery", "net_battery", 0, "", "N/A", flow),
         card("Steps", "steps", 0, "", "No data", thousands=True),
     )
-    return latest.select(*keys, F.inline(cards))
+    return latest.select(*keys, heading.alias("heading"), F.inline(cards))

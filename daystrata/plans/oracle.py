@@ -29,7 +29,7 @@ BASE = f"""
 ev AS (SELECT event_id, user_id, CAST(ts AS DATE) AS date, event_type,
   CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k,
   CAST(floor(value) AS BIGINT) AS v, CAST(floor(value * 100) AS BIGINT) AS c, value FROM events),
-fi AS (SELECT user_id, date, event_type, arg_min(k, event_id) AS k, arg_min(v, event_id) AS v, arg_min(c, event_id) AS c
+fi AS (SELECT user_id, date, event_type, {big('SUM(k) % 100')} AS k, {big('SUM(v)')} AS v, {big('SUM(c)')} AS c
   FROM ev GROUP BY user_id, date, event_type),
 iv AS (SELECT event_id, user_id, date, CASE WHEN k % 10 = 1 THEN NULL WHEN k % 10 = 0 THEN 0 ELSE c END AS steps,
   CASE k % 3 WHEN 0 THEN 'sedentary' WHEN 1 THEN 'active' ELSE 'highlyActive' END AS activity_level
@@ -91,8 +91,8 @@ pl0 AS (SELECT s_suppkey AS place_id, CASE WHEN s_suppkey % 17 = 16 THEN '' ELSE
   FROM supplier),
 pl AS (SELECT place_id, 'Cafe_' || street AS name, 'Cafe - ' || street AS display_name,
   CASE WHEN a0 = '' THEN 'Town' ELSE a0 END AS address, lat, lon,
-  CASE WHEN place_id % 7 <> 0 THEN 3.0::DOUBLE + (place_id % 20)::DOUBLE / 10 ELSE 4.5 END AS rating,
-  CASE WHEN place_id % 6 <> 0 THEN place_id * 13 % 500 ELSE 0 END AS user_ratings_total,
+  CASE WHEN place_id % 7 <> 0 THEN 3.0::DOUBLE + (place_id % 20)::DOUBLE / 10 END AS rating,
+  CASE WHEN place_id % 6 <> 0 THEN place_id * 13 % 500 END AS user_ratings_total,
   CASE WHEN place_id % 5 <> 0 AND a0 <> '' THEN place_id * 3 % 21 ELSE 0 END AS parks_count_1km,
   CASE WHEN place_id % 8 <> 0 AND a0 <> '' THEN place_id * 7 % 26 ELSE 0 END AS open_bars_count_500m FROM pl0),
 moods AS (SELECT * FROM (VALUES {', '.join(f"({i}, '{m}')" for i, m in enumerate(MOODS))}) t(m, mood)),
@@ -183,7 +183,7 @@ ORACLE["activity_headers"] = _HEADERS
 ORACLE["latest_activities"] = _HEADERS + """ ORDER BY TRY_CAST(replace(left(start_time, 19), 'T', ' ') AS TIMESTAMP) DESC NULLS LAST,
   activity_id DESC LIMIT 100"""
 _SPINE = f"""spine AS (SELECT user_id, CAST(d AS DATE) AS date, metric, metric || '_' || CAST(CAST(d AS DATE) AS VARCHAR) || '.json' AS filename
-  FROM (SELECT DISTINCT user_id FROM ev), generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) g(d),
+  FROM (SELECT DISTINCT user_id FROM ev), generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) g(d),
   (VALUES {', '.join(f"('{m}')" for m in METRICS)}) m(metric))"""
 add("expected_documents", "SELECT * FROM spine", extra=_SPINE)
 add("missing_documents", """SELECT * FROM spine WHERE NOT EXISTS (SELECT 1 FROM docs WHERE docs.user_id = spine.user_id
@@ -453,13 +453,18 @@ add("ols_trend", " UNION ALL ".join(
 add("kpi_vs_mean", f"""SELECT user_id, arg_max(avg_stress, date) FILTER (WHERE avg_stress IS NOT NULL) AS latest, {rnd('AVG(avg_stress)', 6)} AS mean,
   {rnd('arg_max(avg_stress, date) FILTER (WHERE avg_stress IS NOT NULL) - AVG(avg_stress)', 6)} AS delta FROM daily GROUP BY user_id""")
 _LATEST = "lt AS (SELECT * FROM daily WHERE avg_stress IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY date DESC) = 1)"
-add("kpi_cards", """SELECT user_id, 'Avg Stress' AS kpi, CAST(avg_stress AS VARCHAR) AS value, strftime(date, '%B %d, %Y') || ' (' || CASE DATE '2024-01-31' - date
-  WHEN 0 THEN 'Today''s data' WHEN 1 THEN 'Yesterday''s data' ELSE (DATE '2024-01-31' - date) || ' days old' END || ')' AS note FROM lt
-UNION ALL SELECT user_id, 'Resting HR', coalesce(resting_hr || ' bpm', 'N/A'), NULL FROM lt
-UNION ALL SELECT user_id, 'Sleep', coalesce(printf('%.1f', sleep_hours) || ' hrs', 'N/A'), NULL FROM lt
-UNION ALL SELECT user_id, 'Net Battery', coalesce(CAST(net_battery AS VARCHAR), 'N/A'),
-  CASE WHEN net_battery > 0 THEN 'Recovery' WHEN net_battery IS NOT NULL THEN 'Drain' END FROM lt
-UNION ALL SELECT user_id, 'Steps', coalesce(format('{:,}', steps), 'No data'), NULL FROM lt""", extra=_LATEST)
+_CARDS = _LATEST + """,
+av AS (SELECT user_id, AVG(avg_stress) AS mean FROM daily GROUP BY user_id),
+cd AS (SELECT av.user_id, mean, lt.* EXCLUDE (user_id), strftime(date, '%B %d, %Y') || ' (' || CASE DATE '2024-01-31' - date
+  WHEN 0 THEN 'Today''s data' WHEN 1 THEN 'Yesterday''s data' ELSE (DATE '2024-01-31' - date) || ' days old' END || ')' AS heading
+  FROM av LEFT JOIN lt ON av.user_id = lt.user_id)"""
+add("kpi_cards", """SELECT user_id, heading, 'Avg Stress' AS kpi, coalesce(CAST(avg_stress AS VARCHAR), 'N/A') AS value,
+  printf('%.1f', avg_stress - mean) || ' vs avg' AS note FROM cd
+UNION ALL SELECT user_id, heading, 'Resting HR', coalesce(resting_hr || ' bpm', 'N/A'), NULL FROM cd
+UNION ALL SELECT user_id, heading, 'Sleep', coalesce(printf('%.1f', sleep_hours) || ' hrs', 'N/A'), NULL FROM cd
+UNION ALL SELECT user_id, heading, 'Net Battery', coalesce(CAST(net_battery AS VARCHAR), 'N/A'),
+  CASE WHEN net_battery > 0 THEN 'Recovery' WHEN net_battery IS NOT NULL THEN 'Drain' END FROM cd
+UNION ALL SELECT user_id, heading, 'Steps', coalesce(format('{:,}', steps), 'No data'), NULL FROM cd""", extra=_CARDS)
 add("latest_complete_row", "SELECT user_id, date, avg_stress, steps, charged, resting_hr FROM lt", extra=_LATEST)
 add("recent_means", f"""SELECT user_id, {rnd('stress', 6)} AS stress, {rnd('sleep_hours', 6)} AS sleep_hours, {rnd('net_battery', 6)} AS net_battery,
   {rnd('resting_hr', 6)} AS resting_hr, days_used FROM pe0""", "base", "places", "people")

@@ -143,12 +143,12 @@ def _owners(spark, folder):
 
 @query("expected_documents")
 def expected_documents(spark, folder):
-    return spine.expected_documents(date(2024, 1, 1), date(2024, 1, 30), owners=_owners(spark, folder))
+    return spine.expected_documents(date(2024, 1, 1), X.AS_OF, owners=_owners(spark, folder))
 
 
 @query("missing_documents")
 def missing_documents(spark, folder):
-    expected = spine.expected_documents(date(2024, 1, 1), date(2024, 1, 30), owners=_owners(spark, folder))
+    expected = spine.expected_documents(date(2024, 1, 1), X.AS_OF, owners=_owners(spark, folder))
     return spine.missing_documents(expected, X.raw_documents(spark, folder), keys=K)
 
 

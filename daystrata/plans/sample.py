@@ -36,7 +36,7 @@ def event_values(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """(user_id, filename, raw_json): per user and day one document for each metric that has events."""
+    """(user_id, filename, raw_json): per user and day one document for each metric that has events, made of all of them."""
     events = event_values(spark, folder)
     view = F.col("event_type") == "view"
     k, v, c = F.col("k"), F.col("v"), F.col("c")
@@ -48,7 +48,7 @@ def raw_documents(spark: SparkSession, folder: str) -> DataFrame:
     part = F.when(view, F.floor(F.col("event_id") / IDS_PER_DOCUMENT)).otherwise(F.lit(0))
     grouped = events.groupBy("user_id", "date", "event_type", part.alias("part")).agg(
         F.collect_list(F.when(view, interval)).alias("intervals"),
-        F.min_by(F.struct("k", "v", "c"), "event_id").alias("f"),
+        F.struct((F.sum("k") % 100).alias("k"), F.sum("v").alias("v"), F.sum("c").alias("c")).alias("f"),
     )
     k, v, c = F.col("f.k"), F.col("f.v"), F.col("f.c")
     keep_null = {"ignoreNullFields": "false"}
@@ -207,12 +207,11 @@ def history(spark: SparkSession, folder: str, place_rows: DataFrame) -> DataFram
 
 
 def catalog(spark: SparkSession, folder: str) -> DataFrame:
-    """(mood, title, artist, reason) from parts; five moods, so one mood falls back."""
-    names = F.array(*[F.lit(m) for m in MOODS])
-    index = F.col("p_size") % 6
-    rows = table(spark, folder, "part").filter(index != 4)
+    """(mood, title, artist, reason) from all parts; five of the six moods, so one mood falls back."""
+    names = F.array(*[F.lit(m) for m in MOODS if m != "cozy_recharge"])
+    index = F.col("p_size") % 5
     title = F.concat_ws(" ", "p_name", F.col("p_partkey").cast("string"))
-    return rows.select(
+    return table(spark, folder, "part").select(
         F.element_at(names, (index + 1).cast("int")).alias("mood"), title.alias("title"), F.col("p_brand").alias("artist"),
         F.concat(F.lit("Made of "), F.col("p_type")).alias("reason"),
     )

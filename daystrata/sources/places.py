@@ -35,14 +35,15 @@ def place_table(places: DataFrame, parks: DataFrame, bars: DataFrame, *, positio
                 default_address: str, default_rating: float = 4.5) -> DataFrame:
     """Flat place relation with both counts.
 
-    ``parks`` and ``bars`` have columns address, count and ``ord`` (file order of the lookup).
+    ``parks`` and ``bars`` have columns address, count and ``ord`` (file order of the lookup).  Rating and number
+    of ratings have a default only where the column is absent; a null stays null.
     """
     named = named_places(places, position=position, prefix=prefix, label=label, default_address=default_address)
     counted = lookup_first_default(named, parks, key="address", value="parks_count_1km", order="ord")
     counted = lookup_first_default(counted, bars, key="address", value="open_bars_count_500m", order="ord")
     return counted.select(
         "place_id", "name", "display_name", F.col("shown_address").alias("address"), "lat", "lon",
-        F.coalesce("rating", F.lit(default_rating)).alias("rating"),
-        F.coalesce("user_ratings_total", F.lit(0)).cast("bigint").alias("user_ratings_total"),
+        F.col("rating") if "rating" in places.columns else F.lit(default_rating).alias("rating"),
+        (F.col("user_ratings_total") if "user_ratings_total" in places.columns else F.lit(0)).cast("bigint").alias("user_ratings_total"),
         "parks_count_1km", "open_bars_count_500m",
     )

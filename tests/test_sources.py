@@ -102,5 +102,7 @@ def test_place_lookups_take_the_first_match_or_zero(spark):
     bars = spark.createDataFrame([("Oak 9b, X", 3, 0)], "address string, open_bars_count_500m int, ord int")
     rows = P.place_table(base, parks, bars, position=F.col("place_id"), prefix="N_", label="N - ", default_address="Town").orderBy("place_id").collect()
     assert [tuple(r) for r in rows] == [
-        (1, "N_Elm", "N - Elm", "Elm 4, X", 1.0, 2.0, 4.5, 0, 5, 0), (2, "N_Oak 9b", "N - Oak 9b", "Oak 9b, X", 1.0, 2.0, 4.0, 7, 0, 3),
+        (1, "N_Elm", "N - Elm", "Elm 4, X", 1.0, 2.0, None, None, 5, 0), (2, "N_Oak 9b", "N - Oak 9b", "Oak 9b, X", 1.0, 2.0, 4.0, 7, 0, 3),
         (3, "N_Location3", "N - Location3", "Town", 0.0, 0.0, 1.0, 1, 0, 0)]
+    bare = P.place_table(base.drop("rating", "user_ratings_total"), parks, bars, position=F.col("place_id"), prefix="N_", label="N - ", default_address="Town")
+    assert {(r.rating, r.user_ratings_total) for r in bare.collect()} == {(4.5, 0)}
