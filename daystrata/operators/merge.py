@@ -21,7 +21,7 @@ SIDE_COLUMNS = {
     "stress": ("avg_stress", "max_stress"),
     "sleep": ("sleep_hours", "deep_sleep_hours", "rem_sleep_hours", "sleep_body_battery_change", "avg_overnight_hrv"),
 }
-DUPLICATE = "more than one document for one key, day and metric; merge with form='chain'"
+DUPLICATE = "more than one document for one key, day and metric; merge with form='lists'"
 
 
 def _wide(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -61,14 +61,32 @@ def _grouped(rows: DataFrame, keys: Sequence[str], steps_parts: bool) -> DataFra
     return _wide(labelled, keys)
 
 
+def _listed(sides: dict[str, DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rows of a side gathered into a list per key and date, then every list unfolded against the others.
+
+    All joins of the chain have the same keys, so its result is the product of the lists, with one empty row
+    for a side without any.  A list holds the documents of one key, day and metric, no more than the result has.
+    """
+    columns = {**SIDE_COLUMNS, "steps": ("steps", "data_quality"), "stress": S.STRESS_COLUMNS}
+    tagged = [sides[side].select(*keys, "date", F.struct(*names).alias(f"_{side}")) for side, names in columns.items()]
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    united = united.withColumn("_undated", F.when(F.col("date").isNull(), F.monotonically_increasing_id()))
+    rows = united.groupBy(*keys, "date", "_undated").agg(*[F.collect_list(f"_{side}").alias(f"_{side}") for side in columns])
+    for side in columns:
+        rows = rows.withColumn(f"_{side}", F.explode_outer(f"_{side}"))
+    return _wide(rows.select(*keys, "date", *[f"_{side}.*" for side in columns]).withColumnRenamed("data_quality", "steps_quality"), keys)
+
+
 def merge_daily(sides: dict[str, DataFrame], *, keys: Sequence[str] = (), form: str = "grouped") -> DataFrame:
     """FULL OUTER merge of the five daily relations on keys and date.
 
     ``grouped``: tag, union, one group-by: a single exchange with partial aggregation.  Exact while
     each side has one row per key and day, which is checked behind the aggregation.
-    ``chain``: four full outer joins; duplicates multiply as in any join.  Undated rows stay unmatched
-    in both forms.
+    ``lists``: duplicates multiply as in a join; still one exchange, of all rows.
+    ``chain``: four full outer joins; duplicates multiply.  Undated rows stay unmatched in every form.
     """
+    if form == "lists":
+        return _listed(sides, keys)
     if form == "chain":
         return _chained(sides, keys)
     if form != "grouped":

@@ -11,8 +11,11 @@ from daystrata.functions.geo import unit_vector, vector_distance_km, vector_sphe
 # A degree of latitude is never shorter than this, nor a degree of arc longer than the second value.
 _MIN_DEGREE_KM = 110.5
 _MAX_DEGREE_KM = 111.7
-# Cell sizes for radii not known in advance.
+# Cell sizes for radii not known in advance; larger ones double from the last up to half a turn of the globe.
 CELL_SIZES_KM = (5.0, 10.0, 20.0, 40.0)
+_HALF_TURN_KM = 20_100.0
+# Without keys every home is its own key.
+_HOME = ("home_lat", "home_lon")
 
 
 def radius_filter(df: DataFrame, distance: Column, limit: Column) -> DataFrame:
@@ -36,27 +39,31 @@ def _around_sql(band: str, size: str) -> str:
 def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], salt: int):
     """Both sides with their grid columns, and the join condition (cells equal, then exact distance).
 
-    A user takes the smallest cell size that covers the radius.  A cell is that size, a latitude band
-    and a longitude cell of the band.
+    A user takes the smallest cell size that covers the radius; the last size covers the globe, so it holds
+    any larger radius too.  A radius that is null or NaN reaches nothing.  A cell is that size, a latitude
+    band and a longitude cell of the band.
     """
     sizes = sorted({float(s) for s in sizes_km})
+    while sizes[-1] < _HALF_TURN_KM:
+        sizes.append(sizes[-1] * 2)
+    reach = F.nanvl(radius.cast("double"), F.lit(None).cast("double"))
     size = F
-    for value in sizes:
-        size = size.when(radius <= value, F.lit(value))
-    size = size.when(radius > sizes[-1], F.raise_error(F.lit("radius above the largest cell size")).cast("double"))
+    for value in sizes[:-1]:
+        size = size.when(reach <= value, F.lit(value))
+    size = size.when(reach.isNotNull(), F.lit(sizes[-1]))
     left = users.select(
-        "*", radius.cast("double").alias("_radius"), size.alias("_size"),
-        F.expr(f"cast(pmod(xxhash64({', '.join(keys)}), {salt}) as int)").alias("_salt"),
+        "*", reach.alias("_radius"), size.alias("_size"),
+        F.expr(f"cast(pmod(xxhash64({', '.join(keys or _HOME)}), {salt}) as int)").alias("_salt"),
         *[c.alias(n) for n, c in unit_vector("home_lat", "home_lon", "_u").items()],
     )
     left = left.selectExpr("*", f"{_band_sql('home_lat', '_size')} as _band")
     left = left.selectExpr("*", f"{_around_sql('_band', '_size')} as _around")
     left = left.selectExpr("*", "pmod(floor((home_lon + 180) / 360 * _around), _around) as _cell")
 
-    right = places.select(
-        "*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()],
-        F.explode(F.array(*[F.lit(s) for s in sizes])).alias("_p_size"),
-    )
+    # Places are copied for the sizes that users have; a set of at most as many values as there are sizes.
+    used = left.select(F.collect_set("_size"))
+    right = places.select("*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()], used.scalar().alias("_p_sizes"))
+    right = right.withColumn("_p_size", F.explode("_p_sizes")).drop("_p_sizes")
     right = right.selectExpr("*", f"explode(transform(array(-1, 0, 1), i -> {_band_sql('lat', '_p_size')} + i)) as _p_band")
     right = right.selectExpr("*", f"{_around_sql('_p_band', '_p_size')} as _p_around")
     near = "array_distinct(transform(array(-1, 0, 1), i -> pmod(floor((lon + 180) / 360 * _p_around) + i, _p_around)))"
@@ -67,22 +74,23 @@ def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km
     return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius"))
 
 
-def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str],
+def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str] = (),
                 sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
     """All user x place pairs within the user's radius (inclusive), with ``distance_km``.
 
     ``users`` has keys, home_lat, home_lon; ``places`` has lat, lon and no column of the same name as
     one of ``users``.  An equi-join on grid cells finds candidates: a user sits in one cell, a place is
-    copied to the nine cells around it for each of ``sizes_km``; when the radii are known, pass them
-    as sizes.  Users are salted, so a city that holds a third of them is spread over ``salt``
-    partitions, and the adaptive skew join can split further.
+    copied to the nine cells around it for each size that some user needs; when the radii are known, pass
+    them as sizes.  Larger radii get doubled sizes, up to the whole globe.  Users are salted, so a city
+    that holds a third of them is spread over ``salt`` partitions, and the adaptive skew join can split
+    further.  Without keys the rows of ``users`` are homes of one series.
     """
     left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
     pairs = left.join(right, condition).withColumn("distance_km", vector_distance_km("_u", "_v"))
     return pairs.select(*users.columns, *places.columns, "distance_km")
 
 
-def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str],
+def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str] = (),
                   sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
     """Users who have no place within their radius: an anti-join that stops at the first match."""
     left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
@@ -97,9 +105,9 @@ def nsmallest(df: DataFrame, n: int, order: Sequence[Column], *, keys: Sequence[
     return ranked.filter(F.col("_rank") <= n).drop("_rank")
 
 
-def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequence[str], place_id: str = "place_id",
+def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequence[str] = (), place_id: str = "place_id",
                    depth: int = 12, stride: int = 3) -> DataFrame:
-    """The n nearest places of every user, however far, ties by ``place_id``.
+    """The n nearest places of every user, however far, ties by ``place_id``; without keys, of every home.
 
     Descends a latitude/longitude quad grid: per user only cells that can still hold one of the n
     nearest places survive a level (their lower distance bound must not exceed the smallest upper
@@ -107,6 +115,7 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
     """
     spot = places.filter("lat is not null and lon is not null")
     spot = nsmallest(spot, n, [F.col(place_id)], keys=["lat", "lon"])
+    keys = list(keys) or list(_HOME)
     size, top = 1 << depth, (1 << depth) - 1
     leaf = spot.select(
         "*", F.expr(f"least(floor((lat + 90) / 180 * {size}), {top})").alias("_y"),
@@ -152,7 +161,7 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
     return nsmallest(found, n, [F.col("distance_km"), F.col(place_id)], keys=keys)
 
 
-def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str],
+def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str] = (),
                       sizes_km: Sequence[float] = CELL_SIZES_KM, place_id: str = "place_id") -> DataFrame:
     """Places within the radius; for users who have none, the n nearest of all."""
     near = radius_join(users, places, radius, keys=keys, sizes_km=sizes_km)

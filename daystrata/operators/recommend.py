@@ -192,7 +192,8 @@ def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, histo
     ``users``: keys, stress, sleep_hours, net_battery, temperature, precipitation, home_lat, home_lon.
     ``places``: see ``place_table``.  ``scores``: mood, name, probability.  ``history``: keys, name,
     visit_date.  Candidates carry only what the ranking needs; names, addresses and health values are
-    joined to the few winners.  Without any place each user gets one explaining row.
+    joined to the few winners.  Without any place each user gets one explaining row.  With ``keys=()``
+    ``users`` is the one row of a single person and ``history`` theirs.
     """
     best = topn_by_score(
         scored_candidates(users, places, scores, history, as_of=as_of, keys=keys, max_distance_km=max_distance_km,
@@ -206,7 +207,8 @@ def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, histo
     people = with_weather_defaults(users).withColumn("mood", mood(*[
         F.col(c) for c in ("stress", "sleep_hours", "net_battery", "temperature", "precipitation")
     ]))
-    full = profile_join(people).join(best.join(details, "place_id"), list(keys), "left")
+    # Without keys there is one row of ``users``; it meets its own n winners.
+    full = profile_join(people).join(best.join(details, "place_id"), list(keys) or F.lit(True), "left")
     empty = F.col("place_id").isNull()
     reason = reason_text(
         F.col("stress"), F.col("sleep_hours"), F.col("net_battery"), F.col("mood"), F.col("temperature"),

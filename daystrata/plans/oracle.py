@@ -344,6 +344,13 @@ _WIDE = f"""SELECT user_id, date, steps, steps_quality, charged, drained, net_ba
   max_stress, stress_category, {_H6}, sleep_body_battery_change, avg_overnight_hrv, has_steps_data FROM daily"""
 for _name in ("daily_metrics", "daily_metrics_chain", "daily_metrics_sides"):
     add(_name, _WIDE)
+add("daily_metrics_repeated", _WIDE.replace("FROM daily", "FROM daily_r"), extra="""
+bb_r AS (SELECT * FROM bb_d UNION ALL SELECT * FROM bb_d WHERE user_id % 3 = 0),
+sl_r AS (SELECT * FROM sl_d UNION ALL SELECT * FROM sl_d WHERE user_id % 3 = 0),
+ss_r AS (SELECT * FROM ss_d UNION ALL SELECT * FROM ss_d WHERE user_id % 3 = 1),
+daily_r AS (SELECT *, data_quality AS steps_quality, steps IS NOT NULL AS has_steps_data
+  FROM steps_d FULL JOIN bb_r USING (user_id, date) FULL JOIN hr_d USING (user_id, date)
+  FULL JOIN ss_r USING (user_id, date) FULL JOIN sl_r USING (user_id, date))""")
 add("unnest_cross", "SELECT user_id, date, COUNT(*) AS interval_count FROM iv GROUP BY 1, 2")
 add("lookup_first_default", "SELECT place_id, address, parks_count_1km FROM pl", "base", "places")
 add("score_lookup", f"""SELECT pl.place_id, moods.mood, {rnd('coalesce(probability * 100, 0)', 6)} AS confidence FROM pl CROSS JOIN moods
@@ -357,6 +364,10 @@ add("radius_join", f"SELECT user_id, place_id, {rnd('distance_km', 5)} AS distan
 add("radius_fallback", f"""SELECT user_id, place_id, {rnd('distance_km', 4)} AS distance_km FROM hg WHERE distance_km <= 4 UNION ALL
   SELECT user_id, place_id, {rnd('distance_km', 4)} FROM (SELECT * FROM hg WHERE user_id NOT IN (SELECT user_id FROM hg WHERE distance_km <= 4)
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY distance_km, place_id) <= 3)""", "base", "places", extra=_HG)
+add("radius_or_nearest_single", f"""SELECT place_id, {rnd('distance_km', 4)} AS distance_km FROM hg
+  QUALIFY distance_km <= 400 OR (MIN(distance_km) OVER () > 400 AND row_number() OVER (ORDER BY distance_km, place_id) <= 3)""",
+    "base", "places", extra="hm AS (SELECT MIN(home_lat) AS home_lat, MIN(home_lon) AS home_lon FROM homes), hp AS (SELECT hm.*, place_id, lat, lon FROM hm, pl),"
+    + geo("hp", "hg"))
 add("nsmallest", f"""SELECT user_id, place_id, {rnd('distance_km', 4)} AS distance_km FROM (SELECT * FROM hg
   QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY distance_km, place_id) <= 5)""", "base", "places", extra=_HG)
 add("spine_cross", f"""SELECT CAST(d AS DATE) AS date, metric FROM (SELECT unnest(generate_series(MIN(date), MAX(date), INTERVAL 1 DAY)) AS d FROM ev),

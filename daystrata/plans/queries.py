@@ -600,6 +600,15 @@ def daily_metrics_sides(spark, folder):
     return rounded(merge.merge_daily(_sides(spark, folder), keys=K), "sleep_hours", "deep_sleep_hours", "rem_sleep_hours")
 
 
+@query("daily_metrics_repeated")
+def daily_metrics_repeated(spark, folder):
+    """Some days with two documents of a metric or of two metrics: the rows multiply."""
+    sides = _sides(spark, folder)
+    for side, rest in (("body_battery", 0), ("sleep", 0), ("stress", 1)):
+        sides[side] = sides[side].unionByName(sides[side].filter(F.col("user_id") % 3 == rest))
+    return rounded(merge.merge_daily(sides, keys=K, form="lists"), "sleep_hours", "deep_sleep_hours", "rem_sleep_hours")
+
+
 @query("unnest_cross")
 def unnest_cross(spark, folder):
     rows = parse.unnest_intervals(X.raw_documents(spark, folder), keys=K)
@@ -657,6 +666,14 @@ def radius_fallback(spark, folder):
     return pairs.select("user_id", "place_id", C.half_up(F.col("distance_km"), 4).alias("distance_km"))
 
 
+@query("radius_or_nearest_single")
+def radius_or_nearest_single(spark, folder):
+    """One home at the south-west corner of all, without keys: places within 400 km, else the three nearest."""
+    home = _homes(spark, folder).agg(F.min("home_lat").alias("home_lat"), F.min("home_lon").alias("home_lon"))
+    pairs = R.radius_or_nearest(home, _spots(spark, folder), F.lit(400.0), 3)
+    return pairs.select("place_id", C.half_up(F.col("distance_km"), 4).alias("distance_km"))
+
+
 @query("nsmallest")
 def nsmallest(spark, folder):
     """The five nearest places of every user."""

@@ -99,12 +99,16 @@ def test_merge_forms_agree_and_keep_undated_rows_apart(spark):
     chain = ordered(merge.merge_daily(_sides(docs), form="chain"))
     assert len(chain) == 3 + 5
     assert ordered(merge.merge_daily(_sides(docs))) == chain
+    assert ordered(merge.merge_daily(_sides(docs), form="lists")) == chain
+    assert merge.merge_daily(_sides(docs.filter("false")), form="lists").count() == 0
     assert ordered(merge.daily_metrics(docs)) == chain
 
 
-def test_duplicates_multiply_in_the_chain_and_raise_in_the_group(spark):
+def test_duplicates_multiply_in_chain_and_lists_and_raise_in_the_group(spark):
+    docs = raw(spark, *_five("2025-01-01"), *_five("2025-01-01", 60)[1:4], *_five("2025-01-03")[:3], *_five("nodate"), *_five("nodate", 60)[2:3])
+    chain = ordered(merge.merge_daily(_sides(docs), form="chain"))
+    assert len(chain) == 8 + 1 + 6 and ordered(merge.merge_daily(_sides(docs), form="lists")) == chain
     docs = raw(spark, *_five("2025-01-01"), *_five("2025-01-01", 60)[1:4])
-    assert merge.merge_daily(_sides(docs), form="chain").count() == 8
     assert merge.duplicate_documents(docs).count() == 3
     for run in (lambda: merge.merge_daily(_sides(docs)), lambda: merge.daily_metrics(docs)):
         with pytest.raises(Exception, match="more than one document"):

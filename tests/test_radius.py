@@ -86,7 +86,10 @@ def _all_pairs(spark, u, p):
     return [(r.user_id, r.place_id, r.d) for r in pairs.collect()]
 
 
-@pytest.mark.parametrize("radius,sizes,salt", [(0.5, R.CELL_SIZES_KM, 4), (9.7, (10, 25), 1), (25.0, (25,), 3), (40.0, R.CELL_SIZES_KM, 4)])
+@pytest.mark.parametrize("radius,sizes,salt", [
+    (0.5, R.CELL_SIZES_KM, 4), (9.7, (10, 25), 1), (25.0, (25,), 3), (40.0, R.CELL_SIZES_KM, 4), (700.0, R.CELL_SIZES_KM, 2),
+    (9000.0, (5,), 4), (19500.0, R.CELL_SIZES_KM, 4), (1e6, (10,), 1),
+])
 def test_radius_join_equals_brute_force(spark, radius, sizes, salt):
     u, p = _frames(spark, _clouds(1, 80), _clouds(2, 90))
     want = {(a, b) for a, b, d in _all_pairs(spark, u, p) if d <= radius}
@@ -96,13 +99,23 @@ def test_radius_join_equals_brute_force(spark, radius, sizes, salt):
     assert lonely == set(range(80)) - {a for a, _ in want}
 
 
-def test_radius_is_inclusive_and_bounded(spark):
+def test_radius_is_inclusive(spark):
     u, p = _frames(spark, [(10.0, 10.0)], [(10.05, 10.0)])
     exact = R.radius_join(u, p, F.lit(30.0), keys=["user_id"]).first().distance_km
     assert R.radius_join(u, p, F.lit(exact), keys=["user_id"]).count() == 1
     assert R.radius_join(u, p, F.lit(exact - 1e-9), keys=["user_id"]).count() == 0
-    with pytest.raises(Exception, match="largest cell size"):
-        R.radius_join(u, p, F.lit(99.0), keys=["user_id"]).collect()
+    for nothing in (F.lit(None).cast("double"), F.lit(float("nan")), F.lit(-1.0)):
+        assert R.radius_join(u, p, nothing, keys=["user_id"]).count() == 0
+        assert R.radius_or_nearest(u, p, nothing, 2, keys=["user_id"]).count() == 1
+    assert R.radius_join(u.limit(0), p, F.lit(9.0)).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0.001, 30.0, 3000.0])
+def test_one_home_without_keys(spark, radius):
+    u, p = _frames(spark, [(52.4, 13.3)], _clouds(2, 90))
+    pairs = sorted((d, b) for _, b, d in _all_pairs(spark, u, p))
+    want = {b for d, b in pairs if d <= radius} or {b for _, b in pairs[:3]}
+    assert {r.place_id for r in R.radius_or_nearest(u.drop("user_id"), p, F.lit(radius), 3).collect()} == want
 
 
 @pytest.mark.parametrize("n,depth,stride", [(1, 12, 3), (3, 12, 3), (5, 6, 2)])

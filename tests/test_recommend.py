@@ -67,6 +67,15 @@ def test_ranking_by_hand(spark):
     assert (second.weather_temp, second.weather_precip, second.confidence) == (10.0, 0.0, 50.0)
 
 
+@pytest.mark.parametrize("user", [1, 3])
+def test_one_person_without_keys(spark, user):
+    users, spots, scores, history = _world(spark, PLACES)
+    several = REC.recommend_topn(users, spots, scores, history, as_of=AS_OF, jitter=False).filter(F.col("user_id") == user).drop("user_id")
+    one = [t.filter(F.col("user_id") == user).drop("user_id") for t in (users, history)]
+    single = REC.recommend_topn(one[0], spots, scores, one[1], as_of=AS_OF, keys=(), jitter=False)
+    assert sorted(map(str, single.collect())) == sorted(map(str, several.collect()))
+
+
 def test_lookup_forms_agree(spark):
     users, spots, scores, history = _world(spark, PLACES)
     wide = spots.select("place_id", "name").withColumn("mood", F.explode(F.array(*[F.lit(m) for m in REC.MOOD_PROFILES])))
