@@ -1,13 +1,15 @@
 """Near-duplicate vectors by navigable small-world graphs, one graph per shard of a label.
 
 Every vector asks every graph of its label.  The width of the search beam doubles until an audit of fixed
-query rows, compared with the whole shard, finds no link missing, and for queries whose beam is full of
-links.  Hits are verified by cosine in double precision, and links are contracted to classes.
+query rows, compared with the whole shard, finds their nearest rows and no link missing, and for queries whose
+beam is full of links.  Hits are verified by cosine in double precision, and links are contracted to classes.
 """
 
 from __future__ import annotations
 
 import io
+import logging
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from daystrata.llm import common, links
 
+_LOG = logging.getLogger(__name__)
 #: Vectors of a graph at most, about; bounds a task's memory.
 SHARD_ROWS = 20_000
 #: Queries that a task answers together.
@@ -22,9 +25,14 @@ QUERY_ROWS = 4096
 NEIGHBOURS = 12
 BUILD_BEAM = 48
 FIRST_BEAM = 32
-#: Beyond this beam a query is compared with the whole shard, the widest beam there is.
+#: Beyond this beam, or one that no longer pays, a query is compared with the whole shard, the widest beam there is.
 LAST_BEAM = 256
-AUDIT_EVERY = 100
+#: A place of the beam is dearer than a comparison with so many rows, so a beam for fewer isn't searched.
+PLACE_ROWS = 100
+#: Queries of a call that are audited, and at least this share of them.
+AUDITED, AUDITED_SHARE = 64, 1 / 64
+#: The audit looks for so many nearest rows of a query, links or not, and this share of them must be found.
+NEAREST, AUDIT_RECALL = 10, 0.99
 
 
 def _unique_rows(ids: np.ndarray) -> np.ndarray:
@@ -215,13 +223,42 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return wide / np.sqrt((wide * wide).sum(axis=1, keepdims=True))
 
 
+def nearest_recall(graph: Graph, queries: np.ndarray, own: np.ndarray) -> Callable[[int], float]:
+    """Share of the ``NEAREST`` rows of each query, its own excluded, that a beam of a given width finds."""
+    rows, most = np.flatnonzero(own >= 0), min(NEAREST, len(graph.v) - 1)
+    last = np.zeros(len(queries), np.float32)
+    for k in range(0, len(queries), 256):
+        near = queries[k : k + 256] @ graph.v.T
+        mine = rows[(rows >= k) & (rows < k + 256)]
+        near[mine - k, own[mine]] = -np.inf
+        last[k : k + 256] = np.partition(near, -most, axis=1)[:, -most] if most else np.inf
+
+    def recall(width: int) -> float:
+        beam = graph.search(queries, width, own=own)
+        near = np.einsum("bkd,bd->bk", graph.v[beam], queries)
+        near[(beam < 0) | (beam == own[:, None])] = -np.inf
+        # Rows as near as the last of the nearest count alike; sums differ in the last digits.
+        return float(np.minimum((near >= last[:, None] - 1e-6).sum(axis=1), most).mean() / most) if most and len(queries) else 1.0
+
+    return recall
+
+
+def audited_queries(ids: np.ndarray) -> np.ndarray:
+    """Numbers of the queries to audit, by a hash that the levels of the graph don't depend on."""
+    from daystrata.llm.probminhash import mixed
+
+    return np.argsort(mixed(ids.astype(np.uint64) ^ np.uint64(0xD1B54A32D192ED03)), kind="stable")[: max(AUDITED, int(len(ids) * AUDITED_SHARE))]
+
+
 def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold: float, audited: np.ndarray,
                 own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Pairs (query, row) with cosine >= ``threshold`` in double precision, and the recall of the last audit.
 
     ``exact`` and ``queries`` are unit vectors in double precision, ``audited`` the numbers of audited queries, ``own``
     the row of each query in the graph, or -1.
-    A query goes on with twice the beam while its beam ends in links, and all go on while the audit misses one.
+    The beam is as wide as the audited queries need to find their nearest rows, own row excluded, of the whole graph.
+    A query goes on with twice the beam while its beam ends in links, and all go on while the audit misses a link.
+    Where the widest beam that pays isn't enough, queries are compared with the whole graph, which has a recall of 1.
     """
     own = np.full(len(queries), -1) if own is None else own
     slack, low = threshold - 1e-4, queries.astype(np.float32)
@@ -240,10 +277,19 @@ def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold:
             keep[part] = np.einsum("bd,bd->b", queries[q[part]], exact[r[part]]) >= threshold
         return q[keep], r[keep]
 
+    def widest() -> bool:
+        return width > LAST_BEAM or width * PLACE_ROWS >= len(graph.v)
+
+    width, recall = FIRST_BEAM, nearest_recall(graph, low[audited], own[audited])
+    found_share = 1.0
+    while not widest() and (found_share := recall(width)) < AUDIT_RECALL:
+        width *= 2
     truth = set(zip(*verified(*whole(audited))))
-    pending, width, kept = np.arange(len(queries)), FIRST_BEAM, [(np.zeros(0, int), np.zeros(0, int))]
+    pending, kept = np.arange(len(queries)), [(np.zeros(0, int), np.zeros(0, int))]
     while True:
-        if width > LAST_BEAM or width >= len(graph.v):
+        if widest():
+            # Queries answered by a beam before keep the recall of that beam.
+            found_share = 1.0 if len(pending) == len(queries) else found_share
             kept.append(verified(*whole(pending)))
             found = tuple(np.concatenate(x) for x in zip(*kept))
             break
@@ -265,8 +311,7 @@ def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold:
             found = tuple(np.concatenate(x) for x in zip(*kept))
             break
         width *= 2
-    got = set(zip(*found)) & truth if truth else set()
-    return found[0], found[1], len(got) / len(truth) if truth else 1.0
+    return found[0], found[1], found_share
 
 
 def near_vectors(embeddings: DataFrame, threshold: float = 0.98, shard_rows: int = SHARD_ROWS) -> DataFrame:
@@ -305,17 +350,15 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, shard_rows: int
     calls = graphs.join(chunks, ["label", "shard"]).select("label", "shard", "chunk", "image")
 
     def answer(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64")
+        empty = pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64").assign(recall=1.0)
         if not len(queries) or not len(graphs):
             return empty
         graph, stored = Graph.from_bytes(graphs["image"].iloc[0])
         names, copies, asks = stored["node"], stored["copies"], queries["node"].to_numpy()
         vectors = unit(np.array(queries["embedding"].tolist(), np.float64))
-        audited = np.flatnonzero(asks % AUDIT_EVERY == 0)
-        audited = audited if len(audited) else np.arange(min(8, len(asks)))
         row = np.minimum(np.searchsorted(names, asks), len(names) - 1)
         own = np.where(names[row] == asks, row, -1)
-        q, r, _ = range_links(graph, stored["exact"], vectors, threshold, audited, own)
+        q, r, recall = range_links(graph, stored["exact"], vectors, threshold, audited_queries(asks), own)
         other = names[r] != asks[q]
         q, r = q[other], r[other]
         count = np.bincount(q, copies[r], len(asks)).astype("int64")
@@ -334,11 +377,14 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, shard_rows: int
         return pd.DataFrame({
             "node": np.concatenate((asks, ids)), "links": np.concatenate((count, np.zeros(len(ids), "int64"))),
             "root": np.concatenate((asks, ids[root] if len(ids) else ids)),
-        }).astype("int64")
+        }).astype("int64").assign(recall=recall)
 
     keys = ["label", "shard", "chunk"]
-    found = asked.groupBy(*keys).cogroup(calls.groupBy(*keys)).applyInPandas(answer, "node bigint, links bigint, root bigint")
+    found = asked.groupBy(*keys).cogroup(calls.groupBy(*keys)).applyInPandas(answer, "node bigint, links bigint, root bigint, recall double")
     found = common.stored(found, "answers")
+    row = found.agg(F.min("recall").alias("least"), F.avg("recall").alias("mean")).first()
+    if row["least"] is not None:
+        _LOG.info("audited recall of the %d nearest vectors: %.4f at least, %.4f on average", NEAREST, row["least"], row["mean"])
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = valid.select("vec_id", "digest").join(placed.select("digest", "node", "copies"), "digest")
     named = common.stored(named, "named")
