@@ -20,9 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is accepted; the models learn from the documents of this stage."""
-    found = language.identify(docs, language.fit(docs)).filter("accepted").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*COLUMNS)
+    """Documents whose language is accepted, each row judged itself; the models learn from the documents of this stage."""
+    return language.accepted(docs.select(*COLUMNS), language.fit(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

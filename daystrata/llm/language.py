@@ -270,3 +270,18 @@ def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
 
     rows = common.columns(docs, doc_id="bigint", text="string").select("doc_id", held_out().alias("held_out"), "text")
     return common.map_batches(rows, predict, "doc_id bigint, held_out boolean, lang_pred string, score double, cross_entropy double, accepted boolean")
+
+
+def accepted(docs: DataFrame, identifier: Identifier) -> DataFrame:
+    """The rows of ``docs`` whose whole text is accepted, with all their columns.
+
+    Each row is judged by its own text, whatever its id; so null and repeated ids need no join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(identifier)
+    text = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.predict(batch.column(text).to_pylist())[3], pa.bool_()))
+
+    return common.map_batches(docs, keep, docs.schema)
