@@ -1078,13 +1078,9 @@ def pca_scores(spark, folder):
     return rounded(_pca(spark, folder).scores(["date", "avgStressLevel"]), "pc1", "pc2")
 
 
-# A small grid for the check run; the library default is the full one.
-SMALL_GRID = {"numTrees": (10, 20), "maxDepth": (3, 5), "minInstancesPerNode": (1, 4)}
-
-
 @query("rf_grid")
 def rf_grid(spark, folder):
-    search = M.rf_grid(_analysis(spark, folder), target="avgStressLevel", grid=SMALL_GRID)
+    search = M.rf_grid(_analysis(spark, folder), target="avgStressLevel")
     return rounded(search.metrics, "r2", "rmse", "mae").withColumns({k: F.lit(v) for k, v in search.params.items()})
 
 

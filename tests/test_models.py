@@ -107,3 +107,17 @@ def test_analysis_frame_names(spark):
     got = FE.analysis_frame(df)
     assert "steps" not in got.columns and "avgStressLevel" in got.columns and "date" not in got.columns
     assert got.filter("avgStressLevel is null").count() == 0
+
+
+def test_registered_grid_is_the_full_one(spark, folder, monkeypatch):
+    from daystrata.plans import queries as Q
+
+    fitted, whole = {}, M.rf_grid
+
+    def few_trees(df, **given):
+        fitted.update(given)
+        return whole(df, **(given | {"grid": {"numTrees": (2,), "maxDepth": (2,)}}))
+
+    monkeypatch.setattr(M, "rf_grid", few_trees)
+    Q.rf_grid(spark, folder)
+    assert fitted.get("grid", M.FULL_GRID) == M.FULL_GRID and len(M.FULL_GRID["numTrees"]) * len(M.FULL_GRID["maxDepth"]) * len(M.FULL_GRID["minInstancesPerNode"]) == 36
