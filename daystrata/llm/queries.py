@@ -54,11 +54,12 @@ def op3_prefix_target_chat(spark, folder):
 def op4_delta_token_counts(spark, folder):
     """Totals after three batches: all documents inserted; exact copies deleted; the counts of the rest revised
     for a version that adds an end token.  The first two are sent twice, as after a failure, and the batches are
-    folded in between."""
-    counts = common.stored(token_counts.counted(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "byte_bpe_50k"), "counts")
-    first = counts.groupBy("text_hash").agg(F.min("doc_id").alias("first_id"))
+    folded in between.  One row of each text is the rest, that of the least id, null ids last; null texts are one text."""
+    made = token_counts.counted(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), "byte_bpe_50k")
+    counts = common.stored(made.withColumn("row", F.monotonically_increasing_id()), "counts")
+    first = counts.groupBy("text_hash").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "source", "lang", "row"))["row"].alias("first_row"))
     both = counts.join(first, counts["text_hash"].eqNullSafe(first["text_hash"])).drop(first["text_hash"])
-    copies, rest = both.filter("doc_id <> first_id"), both.filter("doc_id = first_id")
+    copies, rest = both.filter("row <> first_row"), both.filter("row = first_row")
     rollup = token_counts.Rollup(spark, session.new_folder(spark, "rollup"))
     for _ in range(2):
         rollup.commit("load", token_counts.signed(counts, 1))

@@ -320,3 +320,12 @@ def test_links_of_a_foreign_graph_where_no_audited_query_has_one():
     q, r, recall = hnsw.range_links(graph, exact, queries, 0.98, audited)
     assert set(zip(q, r)) == truth and recall >= hnsw.AUDIT_RECALL
     assert hnsw.nearest_recall(graph, queries[audited].astype(np.float32), np.full(len(audited), -1))(hnsw.FIRST_BEAM) < hnsw.AUDIT_RECALL
+
+
+def test_token_counts_delete_copies_without_id(spark, tmp_path):
+    from daystrata.llm import queries
+
+    rows = [(None, "a b", "en", "s"), (None, "a b", "en", "s"), (None, "c", "en", "s"), (4, "c", "de", "s"), (4, "c", "de", "s"), (5, "d", "fr", "s"), (6, "d", "it", "s"), (None, None, None, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {(r["lang"], r["version"]): r["docs"] for r in queries.op4_delta_token_counts(spark, str(tmp_path)).collect() if r["docs"]}
+    assert found == {(lang, "byte_bpe_50k_end"): 1 for lang in ("en", "de", "fr", None)}
