@@ -49,3 +49,31 @@ l AS (SELECT doc_id, h, min(p.depth) AS shard_depth FROM p JOIN s ON s.depth = p
 SELECT doc_id, CASE WHEN shard_depth = 0 THEN 'all' ELSE left(lpad(bin(h), 60, '0'), shard_depth) END AS shard, shard_depth::INT AS shard_depth, shard_bytes
 FROM l JOIN s ON s.depth = l.shard_depth AND s.prefix = l.h >> (60 - l.shard_depth)
 """
+
+ORACLE["op12_bloom_cascade_urls"] = r"""
+WITH u AS (SELECT page_id, row_number() OVER () AS rid, regexp_extract("url", '(?s)^.*?://([^/?#]*)([^?#]*)', 1) AS h, regexp_extract("url", '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS p FROM pages),
+k AS (SELECT page_id, rid, translate(coalesce(h, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, coalesce(p, '') AS path FROM u),
+r(rule_host, rule_path, action) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+f AS (SELECT rid, rule_host || rule_path AS rule, action, row_number() OVER (PARTITION BY rid ORDER BY length(rule_host || rule_path) DESC, length(rule_host) DESC) AS n
+      FROM k JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(action, 'allow') AS verdict FROM k LEFT JOIN f ON f.rid = k.rid AND n = 1
+"""
+
+ORACLE["op13_run_length_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      translate(coalesce("text", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+v AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 3),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT w.lang, source, term, count(*) AS n FROM w JOIN v USING (lang, term) GROUP BY ALL),
+a AS (SELECT g.lang, g.source, v.term, coalesce(c.n, 0) AS n FROM g JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = v.term),
+s AS (SELECT *, (1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang, source) + count(*) OVER (PARTITION BY lang, source))) AS p FROM a),
+l AS (SELECT lang, term, (1 + 1000000000::HUGEINT * (n + 1) // (sum(n) OVER (PARTITION BY lang) + count(*) OVER (PARTITION BY lang))) AS q FROM v),
+pairs AS (SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value FROM s x JOIN s y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+found AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(pairs.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN pairs ON pairs.lang = x.lang AND pairs.source = x.source AND pairs.item = y.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM s JOIN l USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found) WHERE part = 'pair' OR rank <= 200
+"""

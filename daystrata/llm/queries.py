@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daystrata import session
-from daystrata.llm import chat, common, hnsw, language, packing, piece_bpe, probminhash, rules, sharding, token_counts, wavelet
+from daystrata.llm import (
+    alignment, chat, common, divergence, hnsw, language, packing, piece_bpe, probminhash, rules, sharding, token_counts, url_filter, wavelet,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -103,3 +105,22 @@ def op9_extendible_shards(spark, folder):
 def op10_hnsw_vectors(spark, folder):
     """Links and components of all vectors of one label at cosine 0.98."""
     return hnsw.near_vectors(table(spark, folder, "embeddings"))
+
+
+@query
+def op11_run_skipping_alignment(spark, folder):
+    """Aligned ids of every document by two vocabularies, with corpus-wide counts of linked pairs."""
+    return alignment.digests(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_bloom_cascade_urls(spark, folder):
+    """Verdict of every page's url by four rules."""
+    rules_ = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+    return url_filter.judge(table(spark, folder, "pages"), spark.createDataFrame(rules_, url_filter.RULES))
+
+
+@query
+def op13_run_length_divergence(spark, folder):
+    """Divergence of all sources of each language and their 200 most typical terms."""
+    return divergence.audit(table(spark, folder, "documents"))

@@ -15,6 +15,8 @@ from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
+import numpy as np
+
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 _ODD_ASCII = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
@@ -24,6 +26,10 @@ _RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 _WORDS = re.compile(f"[^{WHITE}]+")
 # A letter, then ASCII punctuation without the apostrophe, which can start a contraction.
 _TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# Visible characters with at most one space in front.
+_LINE = re.compile(f" ?[^{WHITE}\0]+")
+#: Parts encoded in one call.
+LINES = 4096
 #: Characters encoded together; bounds what is held at once beside the memory of units.
 CHUNK = 1_000_000
 #: Units remembered per worker; at the limit the memory starts anew.
@@ -59,11 +65,14 @@ class UnitIds:
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
+    def encoded(self, parts: list[str]) -> Iterable[bytes]:
+        """Ids of each part."""
+        return (packed(found.ids) for found in self.library.encode_batch_fast(parts, add_special_tokens=False))
+
     def learn(self, needed: set[str]) -> None:
         cuts = {unit: self.cut(unit) for unit in needed}
         new = [part for part in set(chain.from_iterable(cuts.values())) if part not in self.parts]
-        for part, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            self.parts[part] = packed(found.ids)
+        self.parts.update(zip(new, self.encoded(new)))
         for unit, cut in cuts.items():
             self.units[unit] = self.parts[cut[0]] if len(cut) == 1 else b"".join([self.parts[part] for part in cut])
 
@@ -102,9 +111,15 @@ class ByteLevelIds(UnitIds):
     mark in front, as it has no space.
     """
 
+    newline: int | None = None
+
+    def odd(self, text: str) -> bool:
+        """Whether other white space than one space or newline between words is in the text."""
+        ends = text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
+        return ends or any(x in text for x in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
+
     def split(self, text):
-        odd = text[:1] in (" ", "\n") or text[-1:] in (" ", "\n") or any(x in text for x in _ODD_ASCII)
-        if odd or (not text.isascii() and _ODD_OTHER.search(text)):
+        if self.odd(text):
             return ["\0" + run for run in _RUNS.findall(text)]
         words = text.replace("\n", " \n").split(" ")
         words[0] = "\0" + words[0]
@@ -120,6 +135,27 @@ class ByteLevelIds(UnitIds):
         tail = _TAIL.fullmatch(unit)
         return tail.groups() if tail else (unit,)
 
+    def encoded(self, parts):
+        """Parts that end in a visible character are encoded as lines of one text: a newline between them is a unit of
+        its own there, with one id that no such part has."""
+        if self.newline is None:
+            ids = self.library.encode("\n", add_special_tokens=False).ids
+            self.newline = ids[0] if len(ids) == 1 else -1
+        plain = [self.newline >= 0 and _LINE.fullmatch(part) is not None for part in parts]
+        lines = [part for part, fits in zip(parts, plain) if fits]
+        rest = iter(super().encoded([part for part, fits in zip(parts, plain) if not fits]))
+        found: list[bytes] = []
+        for k in range(0, len(lines), LINES):
+            some = lines[k : k + LINES]
+            ids = np.array(self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(ids == self.newline)
+            if len(ends) != len(some) - 1:
+                raise ValueError("a newline isn't a unit of its own in this vocabulary")
+            raw, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
+            found += [raw[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:])]
+        known = iter(found)
+        return [next(known) if fits else next(rest) for fits in plain]
+
 
 class WordIds(UnitIds):
     """Word vocabulary: white space is dropped, so a unit is a word; ASCII words are in lower case."""
