@@ -5,10 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 _LOCAL_FOLDERS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: str = "8", memory: str = "8g", app: str = "daystrata") -> SparkSession:
@@ -60,3 +62,20 @@ def checkpointed(df):
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, for functions that run there."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "daystrata_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    out.write(file, os.path.relpath(file, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
