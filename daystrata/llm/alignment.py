@@ -9,6 +9,7 @@ end are an irregular group, which is walked through on its own and sets the new
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,16 +18,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from daystrata.llm import common
 from daystrata.llm.piece_bpe import SPACE, PieceModel
-from daystrata.llm.units import ByteLevelIds, packed
+from daystrata.llm.units import LINES, odd_spaces, packed
 
 #: Units, and texts of pairs, remembered per worker; at the limit the memory starts anew.
-LIMIT = 300_000
+LIMIT = 400_000
+#: Fixed value: how a byte-level vocabulary splits a text before its merges.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters encoded together.
 CHUNK = 1_000_000
 #: Id pairs whose counts are sent to the tasks at once; more of them take more passes over the stored links.
 SENT_PAIRS = 2_000_000
 #: Pairs compared first after an irregular group.
-FIRST_STEP = 4
+FIRST_STEP = 8
 _SHIFT = np.uint64(32)
 
 
@@ -40,14 +43,15 @@ def stretches(a: np.ndarray, b: np.ndarray) -> Iterator[tuple[int, int, int, int
     i = j = 0
     while i < na:
         most = min(na - i, nb - j)
-        run, step = 0, min(FIRST_STEP, most)
-        while step and x[8 * (i + run) : 8 * (i + run + step)] == y[8 * (j + run) : 8 * (j + run + step)]:
-            run += step
-            step = min(2 * step, most - run)
-        while step > 1:
-            step = (step + 1) // 2
+        run, step = 0, FIRST_STEP
+        while run + step <= most and x[8 * (i + run) : 8 * (i + run + step)] == y[8 * (j + run) : 8 * (j + run + step)]:
+            run, step = run + step, 2 * step
+        while step > FIRST_STEP:
+            step //= 2
             if run + step <= most and x[8 * (i + run) : 8 * (i + run + step)] == y[8 * (j + run) : 8 * (j + run + step)]:
                 run += step
+        while run < most and a[i + run] == b[j + run]:
+            run += 1
         if run:
             yield i, j, run, run, True
             i, j = i + run, j + run
@@ -71,15 +75,6 @@ def link_places(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(a, ends), np.searchsorted(b, ends)
 
 
-class _PlainBytes(ByteLevelIds):
-    """Strings of special tokens are plain text."""
-
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        self.library.encode_special_tokens = True
-        self.added = []
-
-
 def _byte_values() -> dict[str, int]:
     """Character of a byte-level vocabulary to the byte it stands for: printable Latin-1 for itself, the others from
     U+0100 on in order."""
@@ -94,47 +89,71 @@ class TokenPair:
 
     def __init__(self, bytes_path: str, pieces_path: str) -> None:
         import sentencepiece
+        import tiktoken
 
-        self.a, self.b = _PlainBytes(bytes_path), PieceModel(pieces_path)
+        self.b = PieceModel(pieces_path)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces_path)
-        values = _byte_values()
-        vocabulary = self.a.library.get_vocab(with_added_tokens=True)
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for token, k in vocabulary.items():
-            self.bytes_a[k] = bytes(values[c] for c in token) if all(c in values for c in token) else token.encode()
+        with open(bytes_path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        values, merges = _byte_values(), [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        # Special tokens can't come out of a plain text; the others are ranked by their merges.
+        made = [*values, *("".join(m) for m in merges)]
+        if any(model["vocab"][token] < 256 for token in made[256:]) or sorted(made[256:], key=model["vocab"].get) != made[256:]:
+            raise ValueError("ids don't follow the merges in this vocabulary")
+        ranks = {bytes(values[c] for c in token): model["vocab"][token] for token in made}
+        self.encoding = tiktoken.Encoding(bytes_path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.bytes_a = [b""] * (max(ranks.values()) + 1)
+        for token, k in ranks.items():
+            self.bytes_a[k] = token
         self.bytes_b = [bytes([self.b.byte_of[k]]) if k in self.b.byte_of else piece.replace(SPACE, " ").encode() for k, piece in enumerate(self.b.piece)]
         self.size_a, self.size_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
         self.text_a, self.text_b = ([str(k) for k in range(len(table))] for table in (self.bytes_a, self.bytes_b))
-        # Places where no piece reaches across, which units rely on.
-        self.cuts = not any("\n" in pair or pair[1] == SPACE != pair[0] for pair in self.b.neighbours)
+        # Places where no piece reaches across, and newlines of one id each, which units rely on.
+        self.newline = self.encoding.encode_ordinary("\n"), [self.b.byte_id.get(10, self.b.id.get("\n"))]
+        self.cuts = [len(x) for x in self.newline] == [1, 1] and not any("\n" in pair or pair[1] == SPACE != pair[0] for pair in self.b.neighbours)
         self.units_a: dict[str, bytes] = {}
         self.units_b: dict[str, bytes] = {}
         self.bad: set[str] = set()
 
+    def forget(self) -> None:
+        self.units_a.clear()
+        self.units_b.clear()
+        self.bad.clear()
+
     def _same(self, ids_a: bytes, ids_b: bytes, text: str) -> bool:
         """Whether both id lists give the text's bytes."""
         raw = text.encode()
         return all(b"".join([table[k] for k in np.frombuffer(ids, "<u4").tolist()]) == raw for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b)))
 
+    def _lines(self, words: list[str]) -> Iterator[list[bytes]]:
+        """Ids of words behind a space, as lines of one text, by each vocabulary."""
+        for encode, (newline,), start in ((self.encoding.encode_ordinary, self.newline[0], " "), (self.pieces.encode, self.newline[1], "")):
+            found: list[bytes] = []
+            for k in range(0, len(words), LINES):
+                ids = np.array(encode(start + "\n ".join(words[k : k + LINES])), "<u4")
+                raw, edges = ids.tobytes(), [-1, *np.flatnonzero(ids == newline).tolist(), len(ids)]
+                found += [raw[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:])]
+            yield found
+
     def _learn(self, new: list[str]) -> None:
         """A unit begins with a newline, or else stands for itself behind one space."""
-        self.a.units.clear()
-        self.a.parts.clear()
-        self.a.learn(set(new))
-        words = [unit for unit in new if unit[:1] != "\n"]
-        pieces = dict(zip(words, self.pieces.encode(words, num_threads=1)))
-        ids_a = [self.a.units[unit] for unit in new]
-        ids_b = [packed(pieces[unit] if unit in pieces else list(self.b.stretch(unit))) for unit in new]
+        words, rest = [unit for unit in new if unit[:1] != "\n"], [unit for unit in new if unit[:1] == "\n"]
+        ids_a, ids_b = self._lines(words)
+        ids_a += [packed(self.encoding.encode_ordinary(unit)) for unit in rest]
+        ids_b += [packed(list(self.b.stretch(unit))) for unit in rest]
+        new = words + rest
+        if not len(ids_a) == len(ids_b) == len(new):
+            raise ValueError("a newline isn't a unit of its own in this vocabulary")
         self.units_a.update(zip(new, ids_a))
         self.units_b.update(zip(new, ids_b))
-        texts = [unit if unit[:1] == "\n" else " " + unit for unit in new]
         # All at once; unit by unit only where something differs.
+        texts = [" " + unit for unit in words] + rest
         raw = "".join(texts).encode()
         if not all(b"".join([table[k] for k in np.frombuffer(b"".join(ids), "<u4").tolist()]) == raw for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
             self.bad.update(unit for unit, *own in zip(new, ids_a, ids_b, texts) if not self._same(*own))
 
     def _whole(self, text: str) -> tuple[bytes, bytes] | None:
-        ids_a, ids_b = self.a.whole(" " + text), packed(self.pieces.encode(text, num_threads=1))
+        ids_a, ids_b = packed(self.encoding.encode_ordinary(" " + text)), packed(self.pieces.encode(text))
         return (ids_a, ids_b) if self._same(ids_a, ids_b, " " + text) else None
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
@@ -144,7 +163,7 @@ class TokenPair:
         for text in texts:
             if not text:
                 chunk.append(None)
-            elif not self.cuts or self.a.odd(text):
+            elif not self.cuts or odd_spaces(text):
                 chunk.append(self._whole(text))
             else:
                 chunk.append(text.replace("\n", " \n").split(" "))
@@ -156,9 +175,7 @@ class TokenPair:
 
     def _known(self, chunk):
         if len(self.units_a) > LIMIT:
-            self.units_a.clear()
-            self.units_b.clear()
-            self.bad.clear()
+            self.forget()
         new = set().union(*[x for x in chunk if isinstance(x, list)]).difference(self.units_a)
         if new:
             self._learn(list(new))
@@ -189,6 +206,7 @@ def token_pair(bytes_path: str, pieces_path: str) -> TokenPair:
     key = bytes_path, pieces_path
     if key not in _MADE:
         _MADE[key] = TokenPair(*key)
+    common.remembers(f"alignment {key}", _MADE[key].forget)
     return _MADE[key]
 
 

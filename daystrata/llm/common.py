@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -14,24 +11,16 @@ from daystrata import session
 
 #: ASCII white space of the word rules: tab to carriage return, and space.
 BLANKS = "\t\n\x0b\x0c\r "
-_SHIPPED: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, for functions that run there."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "daystrata_package.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    file = os.path.join(folder, name)
-                    out.write(file, os.path.relpath(file, os.path.dirname(root)))
-    context.addPyFile(archive)
-    _SHIPPED.add(context.applicationId)
+ship = session.ship
+_FORGET: dict[str, Callable[[], None]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Called where a task starts to use what its worker process remembers: the memories of all other owners, which
+    tasks of earlier stages left in the process, are emptied."""
+    for name in [n for n in _FORGET if n != owner]:
+        _FORGET.pop(name)()
+    _FORGET[owner] = forget
 
 
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:

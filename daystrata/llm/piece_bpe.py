@@ -60,6 +60,10 @@ class PieceModel:
         self.decimal: dict[str, str] = {}
         self.decoded: dict[str, str] = {}
 
+    def forget(self) -> None:
+        for memory in (self._alone, self._pairs, self._stretches, self.decimal, self.decoded):
+            memory.clear()
+
     def _merged(self, text: str) -> list[str]:
         """The definition, for a short text: join the neighbours with the best score, the left-most of equals."""
         parts = list(text)
@@ -191,6 +195,7 @@ _MADE: dict[str, PieceModel] = {}
 def model(path: str) -> PieceModel:
     if path not in _MADE:
         _MADE[path] = PieceModel(path)
+    common.remembers(f"pieces {path}", _MADE[path].forget)
     return _MADE[path]
 
 

@@ -26,7 +26,8 @@ THRESHOLD = 0.8
 ESTIMATE = 0.66
 #: Rows of a block when the rest of a large bucket is compared in blocks.
 BLOCK = 512
-_WORD_LIMIT = 1_000_000
+#: Words whose hashes a worker remembers, about 40 MB.
+_WORD_LIMIT = 300_000
 _U = np.uint64
 
 
@@ -113,6 +114,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     powers = _U(0x9E3779B97F4A7C15) ** np.arange(1, ROWS + 1, dtype=np.uint64)
 
     def make(batches):
+        common.remembers("words", _HASHES.clear)
         for batch in batches:
             ids, hashes, bands, slots = [], [], [], []
             seen: dict[bytes, tuple] = {}

@@ -17,6 +17,8 @@ from itertools import chain
 
 import numpy as np
 
+from daystrata.llm import common
+
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 _ODD_ASCII = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
@@ -32,8 +34,8 @@ _LINE = re.compile(f" ?[^{WHITE}\0]+")
 LINES = 4096
 #: Characters encoded together; bounds what is held at once beside the memory of units.
 CHUNK = 1_000_000
-#: Units remembered per worker; at the limit the memory starts anew.
-LIMIT = 1_200_000
+#: Units remembered per worker, about 180 MB of typical ones; at the limit the memory starts anew.
+LIMIT = 700_000
 
 
 def packed(ids: list[int]) -> bytes:
@@ -44,6 +46,12 @@ def packed(ids: list[int]) -> bytes:
     return values.tobytes()
 
 
+def odd_spaces(text: str) -> bool:
+    """Whether other white space than one space or newline between words is in the text."""
+    ends = text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
+    return ends or any(x in text for x in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
+
+
 class UnitIds:
     """``encode`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -62,6 +70,10 @@ class UnitIds:
     def cut(self, unit: str) -> tuple[str, ...]:
         raise NotImplementedError
 
+    def forget(self) -> None:
+        self.units.clear()
+        self.parts.clear()
+
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
@@ -94,8 +106,7 @@ class UnitIds:
 
     def _known(self, chunk: list[list[str] | bytes]) -> Iterator[bytes]:
         if len(self.units) > LIMIT or len(self.parts) > LIMIT:
-            self.units.clear()
-            self.parts.clear()
+            self.forget()
         needed = set(chain.from_iterable(x for x in chunk if isinstance(x, list))).difference(self.units)
         if needed:
             self.learn(needed)
@@ -113,13 +124,8 @@ class ByteLevelIds(UnitIds):
 
     newline: int | None = None
 
-    def odd(self, text: str) -> bool:
-        """Whether other white space than one space or newline between words is in the text."""
-        ends = text[:1] in (" ", "\n") or text[-1:] in (" ", "\n")
-        return ends or any(x in text for x in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
-
     def split(self, text):
-        if self.odd(text):
+        if odd_spaces(text):
             return ["\0" + run for run in _RUNS.findall(text)]
         words = text.replace("\n", " \n").split(" ")
         words[0] = "\0" + words[0]
@@ -176,4 +182,6 @@ def unit_ids(kind: type[UnitIds], path: str) -> UnitIds:
     """One encoder per worker process and file."""
     if (kind, path) not in _MADE:
         _MADE[kind, path] = kind(path)
-    return _MADE[kind, path]
+    own = _MADE[kind, path]
+    common.remembers(f"units {kind.__name__} {path}", own.forget)
+    return own
