@@ -21,15 +21,25 @@ from daystrata.llm.probminhash import mixed
 
 ORDER = 5
 DISCOUNT = 0.75
-#: Bound of the fit: documents per language in expectation, chosen by a hash of doc_id.  One in five of them
+#: Bound of the fit: documents per language in expectation, chosen by a hash of id and text.  One in five of them
 #: calibrates, the others train.
 FIT_DOCS = 1500
 #: Letters an unseen one is one of.
 ALPHABET = 2000
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
-_LETTERS = re.compile(r"[^\W\d_]+")
-_MEMORY = 400_000
+# Word characters; numbers that aren't decimal are among them and are taken out one by one.
+_WORD = re.compile(r"[^\W\d_]+")
+_NUMBERS = re.compile("[" + "".join(chr(c) for c in range(0x80, 0x110000) if not chr(c).isalpha() and _WORD.match(chr(c))) + "]")
+
+
+def letters(text: str) -> list[str]:
+    """Stretches of letters."""
+    return _WORD.findall(text if text.isascii() else _NUMBERS.sub(" ", text))
+
+
+#: Bytes of the remembered costs of a worker; a token takes eight for each language, and about 150 for its text.
+_MEMORY_BYTES = 64_000_000
 _U = np.uint64
 
 
@@ -138,11 +148,20 @@ class Identifier:
         self.index: dict[str, int] = {}
         self.cost = np.zeros((1024, len(models) + 1))
 
+    @property
+    def room(self) -> int:
+        """Tokens that may be remembered."""
+        return _MEMORY_BYTES // (8 * self.cost.shape[1] + 150)
+
+    def forget(self) -> None:
+        self.index.clear()
+        self.cost = np.zeros((1024, self.cost.shape[1]))
+
     def learn(self, tokens: set[str]) -> None:
         """Costs of new tokens by language and their number of characters, each of their words counted."""
-        if len(self.index) + len(tokens) > _MEMORY:
+        if len(self.index) + len(tokens) > self.room:
             self.index.clear()
-        words = [(t, w) for t in tokens for w in _LETTERS.findall(t)]
+        words = [(t, w) for t in tokens for w in letters(t)]
         start, total = len(self.index), len(self.index) + len(tokens)
         if total > len(self.cost):
             self.cost = np.concatenate((self.cost, np.zeros((max(total, len(self.cost)), self.cost.shape[1]))))
@@ -162,7 +181,7 @@ class Identifier:
         for first in range(0, len(texts), step):
             split = [t.lower().split() for t in texts[first : first + step]]
             new = set().union(*split).difference(self.index)
-            if len(self.index) + len(new) > _MEMORY:
+            if len(self.index) + len(new) > self.room:
                 new = set().union(*split)
                 self.index.clear()
             if new:
@@ -210,15 +229,15 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS) -> Identifier:
     if not found:
         return Identifier({})
     share = F.create_map(*[x for lang, n in found.items() for x in (F.lit(lang), F.lit(min(1.0, fit_docs / n)))])
-    drawn = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("fit")), F.lit(1_000_000)) / 1_000_000
-    fold = (F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.lit("fold")), F.lit(5)) == 0).alias("calibrates")
+    drawn = F.pmod(F.xxhash64("doc_id", "text", F.lit("fit")), F.lit(1_000_000)) / 1_000_000
+    fold = (F.pmod(F.xxhash64("doc_id", "text", F.lit("fold")), F.lit(5)) == 0).alias("calibrates")
     sample = common.stored(labelled.filter(drawn < share[F.col("lang")]).select("lang", "text", fold), "fit-sample")
 
     def count(batches):
         sums: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[lang].update(_LETTERS.findall(text.as_py().lower()))
+                sums[lang].update(letters(text.as_py().lower()))
         for lang, words in sums.items():
             grams: Counter = Counter()
             for word, n in words.items():
@@ -263,6 +282,7 @@ def identify(docs: DataFrame, identifier: Identifier) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def predict(batches):
+        common.remembers("languages", shared.value.forget)
         for batch in batches:
             lang, score, rate, fine = shared.value.predict(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rate, pa.float64()), pa.array(fine, pa.bool_())],
@@ -281,6 +301,7 @@ def accepted(docs: DataFrame, identifier: Identifier) -> DataFrame:
     text = docs.columns.index("text")
 
     def keep(batches):
+        common.remembers("languages", shared.value.forget)
         for batch in batches:
             yield batch.filter(pa.array(shared.value.predict(batch.column(text).to_pylist())[3], pa.bool_()))
 
