@@ -25,6 +25,12 @@ def json_array(document: Column, element: str = "string") -> Column:
     return F.when(is_array, F.from_json(document, f"array<{element}>"))
 
 
+def is_json(document: Column) -> Column:
+    """Whether the text is one JSON value.  A repeated key is no fault; the last of equal keys counts where it is read."""
+    alone = F.from_json(F.concat(F.lit("["), document, F.lit("\n]")), "array<string>", {"allowSingleQuotes": "false"})
+    return F.coalesce(F.size(alone) == 1, F.lit(False))
+
+
 def canonical_json(document: Column) -> Column:
     """One-line JSON with sorted keys; equal content gives equal text."""
     return F.to_json(F.try_parse_json(document))

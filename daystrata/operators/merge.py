@@ -97,17 +97,38 @@ def merge_daily(sides: dict[str, DataFrame], *, keys: Sequence[str] = (), form:
     return _grouped(united.withColumn("_undated", alone), keys, steps_parts=False)
 
 
-def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False) -> DataFrame:
+def _listed_documents(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """As :func:`_grouped` over parsed documents, but the documents of a side are gathered into a list per group and
+    unfolded against the other sides' lists behind the aggregation, so repeated ones multiply as in a join."""
+    sides = {side: columns for side, columns in SIDE_COLUMNS.items() if side != "steps"}
+    grouped = rows.groupBy(*keys, "date", "_undated").agg(
+        F.sum("steps_raw").alias("_total"), F.coalesce(F.sum("intervals"), F.lit(0)).alias("_steps"),
+        *[F.collect_list(F.when(F.col("_side") == side, F.struct(*columns))).alias(f"_{side}") for side, columns in sides.items()],
+    )
+    merged = grouped.filter(F.greatest("_steps", *[F.size(f"_{side}").cast("bigint") for side in sides]) > 0)
+    for side in sides:
+        merged = merged.withColumn(f"_{side}", F.explode_outer(f"_{side}"))
+    labelled = merged.select(*keys, "date", "_total", "_steps", "_stress", *[f"_{side}.{c}" for side, columns in sides.items() for c in columns]).withColumns({
+        "steps": C.zero_to_null(F.col("_total")),
+        "steps_quality": F.when(F.col("_steps") > 0, C.steps_quality(F.col("_total"))),
+        "stress_category": F.when(F.col("_stress").isNotNull(), C.stress_category(F.col("avg_stress"))),
+    })
+    return _wide(labelled, keys)
+
+
+def daily_metrics(raw: DataFrame, *, keys: Sequence[str] = (), strict: bool = False, form: str = "grouped") -> DataFrame:
     """Raw documents straight to the wide daily relation: one scan, one parse per document, one exchange.
 
-    Several steps documents of one day add up; for the other metrics a second document of the same
-    key and day raises (see :func:`merge_daily`).
+    Several steps documents of one day add up.  For the other metrics a second document of the same key and day
+    raises with ``grouped``, whose buffers have a fixed size, and multiplies as in a join with ``lists``.
     """
+    if form not in ("grouped", "lists"):
+        raise ValueError(f"unknown form {form!r}")
     rows = parsed_documents(raw, keys=keys, strict=strict).withColumnRenamed("metric", "_side")
     # The file name tells undated documents apart; undated steps of one key add up.  Unlike a row id it
     # is deterministic, so filters on key and date still reach the scan.
     rows = rows.withColumn("_undated", F.when(F.col("_side") != "steps", F.col("undated")))
-    return _grouped(rows, keys, steps_parts=True)
+    return _listed_documents(rows, keys) if form == "lists" else _grouped(rows, keys, steps_parts=True)
 
 
 def duplicate_documents(raw: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:

@@ -110,8 +110,8 @@ def with_chances(places: DataFrame, scores: DataFrame) -> DataFrame:
     return places.join(per_name, "name", "left")
 
 
-def confidence(chances: Column, mood_name: Column) -> Column:
-    return F.coalesce(F.try_element_at(chances, mood_name) * 100, F.lit(0.0))
+def confidence(chances: Column, key: Column) -> Column:
+    return F.coalesce(F.try_element_at(chances, key) * 100, F.lit(0.0))
 
 
 def recent_visits(history: DataFrame, as_of: Column, *, keys: Sequence[str] = ()) -> DataFrame:
@@ -153,9 +153,13 @@ def final_score(balanced: Column, penalty: Column, jitter: Column) -> Column:
     return balanced * (F.lit(1.0) - penalty / 100) + jitter
 
 
-def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame, history: DataFrame, *, as_of,
+def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame | None, history: DataFrame, *, as_of,
                       keys: Sequence[str], max_distance_km: float | None, top_n: int, jitter: bool) -> DataFrame:
-    """All candidate places of every user with their partial and final scores."""
+    """All candidate places of every user with their partial and final scores.
+
+    The probability of a place comes from ``scores`` (mood, name, probability), or, without them, from the map
+    ``chances`` of the user (place name to probability), as a classifier gives it for the user's context.
+    """
     day = F.lit(as_of).cast("date")
     people = with_weather_defaults(users)
     people = people.withColumn("mood", mood(*[
@@ -163,11 +167,15 @@ def scored_candidates(users: DataFrame, places: DataFrame, scores: DataFrame, hi
     ]))
     given = F.lit(max_distance_km).cast("double")
     radius = dynamic_radius(given, F.col("stress"), F.col("precipitation"))
-    located = with_chances(places.select("place_id", "name", "lat", "lon"), scores)
+    located, carried, chance = places.select("place_id", "name", "lat", "lon"), ["mood"], confidence(F.col("chances"), F.col("mood"))
+    if scores is None:
+        carried, chance = ["chances"], confidence(F.col("chances"), F.col("name"))
+    else:
+        located = with_chances(located, scores)
     candidates = radius_or_nearest(
-        people.select(*keys, "home_lat", "home_lon", "stress", "precipitation", "mood"), located, radius, top_n,
+        people.select(*keys, "home_lat", "home_lon", "stress", "precipitation", *carried), located, radius, top_n,
         keys=keys, sizes_km=(max_distance_km,) if max_distance_km else (NEAR_KM, FAR_KM),
-    ).select(*keys, "place_id", "name", "distance_km", confidence(F.col("chances"), F.col("mood")).alias("confidence"))
+    ).select(*keys, "place_id", "name", "distance_km", chance.alias("confidence"))
     visited = candidates.join(recent_visits(history, day, keys=keys), [*keys, "name"], "left")
     candidates = visited.withColumn("history_penalty", F.coalesce("history_penalty", F.lit(0.0)))
     # One user's candidates are bounded by the places around one home.
@@ -184,14 +192,14 @@ def topn_by_score(scored: DataFrame, n: int = 3, *, keys: Sequence[str] = ()) ->
     return scored.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= n)
 
 
-def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame, history: DataFrame, *, as_of,
+def recommend_topn(users: DataFrame, places: DataFrame, scores: DataFrame | None, history: DataFrame, *, as_of,
                    keys: Sequence[str] = ("user_id",), max_distance_km: float | None = None, top_n: int = 3,
                    jitter: bool = True) -> DataFrame:
     """Top-n places for every user with an explanation.
 
     ``users``: keys, stress, sleep_hours, net_battery, temperature, precipitation, home_lat, home_lon.
-    ``places``: see ``place_table``.  ``scores``: mood, name, probability.  ``history``: keys, name,
-    visit_date.  Candidates carry only what the ranking needs; names, addresses and health values are
+    ``places``: see ``place_table``.  ``scores``: mood, name, probability; None where the users have ``chances``
+    (see :func:`scored_candidates`).  ``history``: keys, name, visit_date.  Candidates carry only what the ranking needs; names, addresses and health values are
     joined to the few winners.  Without any place each user gets one explaining row.  With ``keys=()``
     ``users`` is the one row of a single person and ``history`` theirs.
     """

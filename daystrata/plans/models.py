@@ -9,18 +9,20 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daystrata.functions import categories as C
-from daystrata.operators import features as FE, series, stats
+from daystrata.operators import features as FE, recommend as REC, series, stats
+from daystrata.plans import forests
 from daystrata.plans.views import cached
 
 # Inputs of the importance job and of the stress classifier.
@@ -101,31 +103,56 @@ class ForestSearch:
     params: dict[str, int]
     metrics: DataFrame
     importances: list[tuple[str, float]]
+    scores: DataFrame  # (numTrees, maxDepth, minInstancesPerNode, r2): mean over the folds, of every setting
+
+
+#: Rows of a partition of the training data at least, so that short series don't pay for many tasks at each level.
+_TRAIN_ROWS = 20_000
 
 
 def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None, ties: Sequence[str] = (),
             grid: dict[str, Iterable[int]] = FULL_GRID, folds: int = 3, seed: int = 42, parallelism: int = 4) -> ForestSearch:
-    """Grid search over contiguous folds of the first 80 % of days, scored on the last 20 %."""
+    """Grid search over contiguous folds of the first 80 % of days, scored on the last 20 %.
+
+    One forest for each fold and smallest leaf, with the most trees and the greatest depth of the grid, scores all
+    settings (see :mod:`daystrata.plans.forests`); the best by mean r2, the first of equals in the order of the grid,
+    is fitted again on all training days.
+    """
     names = list(features) if features is not None else FE.numeric_columns(df, exclude=[target, *ties])
+    trees, depths, leaves = (sorted(grid.get(n, default)) for n, default in (("numTrees", (20,)), ("maxDepth", (5,)), ("minInstancesPerNode", (1,))))
     order = [F.col("date"), *[F.col(t) for t in ties]]
     buckets = [F.col("date"), *[F.floor(F.col(t) / 4096) for t in ties[:1]]]
-    split = FE.chronological_split(df, ties=ties)
-    train = series.nth_partition_split(split.filter("split = 'train'"), order, buckets=buckets, parts=folds)
     label = F.col(target).cast("double").alias("label")
-    with kept(assembled(train, names).select("features", label, "fold")) as data:
-        forest = RandomForestRegressor(labelCol="label", featureSubsetStrategy="all", seed=seed)
-        builder = ParamGridBuilder()
-        for name, values in grid.items():
-            builder = builder.addGrid(getattr(forest, name), list(values))
-        search = CrossValidator(
-            estimator=forest, estimatorParamMaps=builder.build(), numFolds=folds, foldCol="fold", parallelism=parallelism,
-            evaluator=RegressionEvaluator(metricName="r2", labelCol="label"),
-        ).fit(data)
-    best = search.bestModel
-    test = assembled(split.filter("split = 'test'"), names).select("features", label)
-    metrics = stats.regression_metrics(best.transform(test), "prediction", "label")
-    params = {name: int(best.getOrDefault(name)) for name in grid}
-    return ForestSearch(best, params, metrics, list(zip(names, best.featureImportances.toArray().tolist())))
+    with kept(FE.chronological_split(df, ties=ties)) as split:
+        placed = series.nth_partition_split(split.filter("split = 'train'"), order, buckets=buckets, parts=folds)
+        with kept(assembled(placed, names).select("features", label, "fold", *names)) as data:
+            few = data.coalesce(max(1, -(-data.count() // _TRAIN_ROWS)))
+
+            def fitted(rows: DataFrame, n: int, depth: int, leaf: int):
+                return RandomForestRegressor(
+                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf, maxMemoryInMB=512,
+                ).fit(rows.select("features", "label"))
+
+            def search(task: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
+                fold, leaf = task
+                nodes = forests.nodes_of(fitted(few.filter(F.col("fold") != fold), trees[-1], depths[-1], leaf), df.sparkSession)
+                rows = forests.scored(few.filter(F.col("fold") == fold), names, nodes, depths, trees)
+                found = stats.regression_metrics(rows, "prediction", "label", keys=["numTrees", "maxDepth"]).collect()
+                return [(r["numTrees"], r["maxDepth"], leaf, fold, r["r2"]) for r in found]
+
+            with ThreadPool(parallelism) as pool:
+                each = pool.map(inheritable_thread_target(df.sparkSession)(search), [(fold, leaf) for fold in range(folds) for leaf in leaves])
+            rows = [row for part in each for row in part]
+            mean = {s: sum(r[-1] for r in rows if r[:3] == s) / folds for s in product(trees, depths, leaves)}
+            best = max(mean, key=mean.get)
+            model = fitted(few, *best)
+        test = assembled(split.filter("split = 'test'"), names).select("features", label)
+        metrics = stats.regression_metrics(model.transform(test), "prediction", "label").head()
+    spark = df.sparkSession
+    scores = spark.createDataFrame([(*s, r2) for s, r2 in mean.items()], "numTrees int, maxDepth int, minInstancesPerNode int, r2 double")
+    table = spark.createDataFrame([tuple(metrics)], "r2 double, rmse double, mae double")
+    params = dict(zip(("numTrees", "maxDepth", "minInstancesPerNode"), best))
+    return ForestSearch(model, params, table, list(zip(names, model.featureImportances.toArray().tolist())), scores)
 
 
 def rf_importance(df: DataFrame, *, target: str = "avg_stress", wanted: Sequence[str] = IMPORTANCE_FEATURES,
@@ -235,3 +262,22 @@ def class_probabilities(model, contexts: DataFrame, *, keys: Sequence[str] = ())
     scored = model.stages[2].transform(model.stages[1].transform(contexts))
     chances: Column = F.arrays_zip(names.alias("name"), vector_to_array("probability").alias("probability"))
     return scored.select(*keys, F.inline(chances))
+
+
+def with_chances(users: DataFrame, model, *, keys: Sequence[str] = ()) -> DataFrame:
+    """Add ``chances``: place name to class probability for the user's mood and weather.
+
+    The model scores each distinct context once: there are at most as many as moods times kinds of weather, however many
+    users share one; the probabilities, a map as long as the short list of classes, then join the users by context.
+    """
+    features = list(REC.FEATURE_ORDER)
+    own = [f"_{c}" for c in features]
+    people = REC.mood_features(REC.with_weather_defaults(users), keys=users.columns).drop("mood")
+    contexts = people.select(*features).distinct()
+    scored = class_probabilities(model, contexts, keys=features)
+    chances = scored.groupBy(*[F.col(c).alias(n) for c, n in zip(features, own)]).agg(
+        F.map_from_entries(F.collect_list(F.struct("name", "probability"))).alias("chances"))
+    same = F.lit(True)
+    for c, n in zip(features, own):
+        same = same & (F.col(c) == F.col(n))
+    return people.join(chances, same, "left").select(*users.columns, "chances")

@@ -164,8 +164,8 @@ def case_of(mapping: dict[str, str], key: str, default: str) -> str:
 
 # ------------------------------------------------------------------ scans
 _PER_METRIC = "SELECT metric, date, {0} AS documents FROM docs {1} GROUP BY metric, date"
-add("scan_raw_documents", """SELECT 'bundle_' || date || '_' || (event_id // 65536) AS filename, date, COUNT(*) AS elements
-  FROM ev GROUP BY date, event_id // 65536""")
+add("scan_raw_documents", """SELECT date, event_id // 65536 AS bundle, COUNT(*) AS elements FROM ev GROUP BY ALL
+  UNION ALL SELECT DATE '2023-12-31', 2, 3""")
 for _name in ("raw_sink_overwrite", "schema_guard", "incremental_landing"):
     add(_name, _PER_METRIC.format("COUNT(*)", ""))
 add("raw_sink_append", _PER_METRIC.format("2 * COUNT(*)", ""))
@@ -175,8 +175,8 @@ add("valid_payload", _PER_METRIC.format("COUNT(*)", """WHERE NOT (metric = 'stre
   WHERE ss0.user_id = docs.user_id AND ss0.date = docs.date AND coalesce(avg_stress, 0) = 0 AND max_stress = 0))"""))
 _START = "strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.0')"
 _KIND = "CASE o_orderkey % 4 WHEN 0 THEN 'running' WHEN 1 THEN 'walking' WHEN 2 THEN 'cycling' ELSE 'pilates' END"
-_HEADERS = f"""SELECT o_orderkey AS activity_id, CASE WHEN o_orderkey % 5 <> 0 THEN 'Session ' || o_orderkey ELSE 'Unnamed' END
-  AS activity_name, CASE WHEN o_orderkey % 7 <> 0 THEN {_KIND} ELSE 'unknown' END AS activity_type, {_START} AS start_time FROM orders"""
+_HEADERS = f"""SELECT o_orderkey AS activity_id, CASE WHEN o_orderkey % 5 <> 0 THEN 'Session ' || o_orderkey
+  WHEN o_orderkey % 15 <> 0 THEN 'Unnamed' END AS activity_name, CASE WHEN o_orderkey % 21 = 0 THEN NULL WHEN o_orderkey % 7 <> 0 THEN {_KIND} ELSE 'unknown' END AS activity_type, {_START} AS start_time FROM orders"""
 ORACLE["scan_activities"] = f"""SELECT o_orderkey AS "activityId", o_totalprice / 10 AS duration,
   CASE WHEN o_orderkey % 2 = 1 AND o_orderkey % 7 <> 0 THEN {_KIND} END AS type_key FROM orders"""
 ORACLE["activity_headers"] = _HEADERS
@@ -193,6 +193,7 @@ _VISITS = """vis AS (SELECT user_id, 'place ' || (user_id // 60 * 40 + event_id
 add("history_rows", "SELECT DISTINCT user_id, name, visit_date FROM vis", extra=_VISITS)
 add("history_upsert", """SELECT user_id, name, visit_date FROM vis WHERE visit_date < '2024-01-16' UNION
   SELECT user_id, name, CASE WHEN event_id % 7 <> 0 THEN visit_date ELSE '2024-01-31' END FROM vis""", extra=_VISITS)
+add("history_saved", """SELECT DISTINCT user_id, name, CASE WHEN event_id % 7 <> 0 THEN visit_date ELSE '2024-01-31' END AS visit_date FROM vis""", extra=_VISITS)
 add("place_table", f"""SELECT place_id, name, display_name, address, {rnd('lat', 6)} AS lat, {rnd('lon', 6)} AS lon, {rnd('rating', 6)} AS rating,
   user_ratings_total, parks_count_1km, open_bars_count_500m FROM pl""", "base", "places")
 _ROWS = {
@@ -351,6 +352,7 @@ ss_r AS (SELECT * FROM ss_d UNION ALL SELECT * FROM ss_d WHERE user_id % 3 = 1),
 daily_r AS (SELECT *, data_quality AS steps_quality, steps IS NOT NULL AS has_steps_data
   FROM steps_d FULL JOIN bb_r USING (user_id, date) FULL JOIN hr_d USING (user_id, date)
   FULL JOIN ss_r USING (user_id, date) FULL JOIN sl_r USING (user_id, date))""")
+ORACLE["daily_metrics_repeated_sides"] = ORACLE["daily_metrics_repeated"]
 add("unnest_cross", "SELECT user_id, date, COUNT(*) AS interval_count FROM iv GROUP BY 1, 2")
 add("lookup_first_default", "SELECT place_id, address, parks_count_1km FROM pl", "base", "places")
 add("score_lookup", f"""SELECT pl.place_id, moods.mood, {rnd('coalesce(probability * 100, 0)', 6)} AS confidence FROM pl CROSS JOIN moods

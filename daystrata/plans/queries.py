@@ -52,22 +52,27 @@ def raw_per_metric(df: DataFrame) -> DataFrame:
     return named.groupBy("metric", D.date_of_name(F.col("filename")).alias("date")).agg(F.count(F.lit(1)).alias("documents"))
 
 
-@query("scan_raw_documents")
-def scan_raw_documents(spark, folder):
-    """Documents bundled into files of one day and 65,536 event ids, read back one file per row."""
+def _raw_folder(spark, folder):
+    """Documents of one day and 65,536 event ids as ``*.json`` files in one folder, and beside them one that repeats a
+    key, an empty one, one that isn't JSON and a file of another kind."""
     docs = X.event_values(spark, folder)
     bundle = F.floor(F.col("event_id") / 65536).alias("bundle")
     element = F.struct((F.col("v") % 101).alias("charged"), F.col("k").alias("drained"))
-    files = docs.groupBy("date", bundle).agg(F.to_json(F.collect_list(element)).alias("value"))
     path = session.new_folder(spark, "raw")
-    label = F.concat_ws("_", F.lit("bundle"), "date", F.col("bundle").cast("string"))
-    # One partition folder per file name, then one wholetext read over all of them.
-    files.select("value", label.alias("file")).write.partitionBy("file").option("compression", "none").text(path)
-    read = spark.read.text(path, wholetext=True, pathGlobFilter="*.txt", recursiveFileLookup=True)
-    named = read.select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"file=([^/]+)/", 1).alias("filename"), F.col("value").alias("raw_json")
-    ).filter(F.try_parse_json("raw_json").isNotNull())
-    return named.select("filename", D.date_of_name(F.col("filename")).alias("date"), F.size(J.json_array(F.col("raw_json"))).cast("bigint").alias("elements"))
+    bundles = docs.groupBy("date", bundle).agg(F.collect_list(element).alias("elements"))
+    bundles.select(F.col("date").cast("string"), "bundle", "elements").write.option("maxRecordsPerFile", 1).json(path)
+    session.put_texts(spark, path, {
+        "repeated.json": '{"date": "2023-12-31", "bundle": 1, "bundle": 2, "elements": [1, 2, 3]}', "empty.json": " \n", "broken.json": '{"date": "2023-12-30", ', "notes.txt": "{}",
+    })
+    return path
+
+
+@query("scan_raw_documents")
+def scan_raw_documents(spark, folder):
+    """Of equal keys the last counts, as in a document read by name."""
+    read = RAW.scan_raw_documents(spark, _raw_folder(spark, folder))
+    document = F.from_json("raw_json", "struct<date:date,bundle:bigint,elements:array<string>>").alias("d")
+    return read.select(document).select("d.date", "d.bundle", F.size("d.elements").cast("bigint").alias("elements"))
 
 
 @query("canonical_json")
@@ -118,7 +123,7 @@ for _metric in METRICS:
 def _activity_headers(spark, folder):
     path = session.new_folder(spark, "activities")
     X.activity_lines(spark, folder).write.text(path)
-    return activities.activity_headers(activities.scan_activities(spark, path, multiline=False))
+    return activities.activity_headers(activities.scan_activity_variants(spark, path, multiline=False))
 
 
 @query("scan_activities")
@@ -186,6 +191,17 @@ def history_upsert(spark, folder):
     return H.history_upsert(old, new, keys=K, as_of=X.AS_OF)
 
 
+@query("history_saved")
+def history_saved(spark, folder):
+    """A stored history: the first half of the month, then all visits, sent twice as after a failure."""
+    rows = X.visits(spark, folder).withColumn("name", F.concat(F.lit("place "), F.col("place_id").cast("string")))
+    rows = rows.withColumn("visit_date", F.when(F.col("event_id") % 7 != 0, F.col("visit_date")))
+    path = session.new_folder(spark, "visits")
+    for part in (rows.filter("visit_date < '2024-01-16'"), rows, rows):
+        H.save_visits(spark, path, part, keys=K, as_of=X.AS_OF)
+    return H.saved_visits(spark, path)
+
+
 @query("place_table")
 def place_table(spark, folder):
     return rounded(X.places(spark, folder), "lat", "lon", "rating")
@@ -193,11 +209,15 @@ def place_table(spark, folder):
 
 @query("view_registry")
 def view_registry(spark, folder):
-    """Rows per registered view, read through SQL."""
-    views.register_views(X.raw_documents(spark, folder), keys=K)
-    return spark.sql(" UNION ALL ".join(
-        f"SELECT '{name}' AS view_name, count(*) AS row_count FROM {name}" for name in views.VIEW_ORDER
-    ))
+    """Rows per registered view, read through SQL.  The documents land once; the views share one stored merge, and are
+    dropped once their few rows are stored."""
+    path = session.new_folder(spark, "landed")
+    RAW.write_raw(X.raw_documents(spark, folder), path)
+    with views.SharedViews(spark, lambda: spark.read.parquet(path), keys=K) as shared:
+        shared.views()
+        return session.checkpointed(spark.sql(" UNION ALL ".join(
+            f"SELECT '{name}' AS view_name, count(*) AS row_count FROM {name}" for name in views.VIEW_ORDER
+        )))
 
 
 @query("ordered_view_read")
@@ -207,11 +227,12 @@ def ordered_view_read(spark, folder):
 
 @query("cached_view")
 def cached_view(spark, folder):
-    """One kept relation feeds two reports."""
-    held = views.cached(X.daily(spark, folder))
-    months = rollup.data_quality_summary(held, keys=K).select("user_id", "total_days")
-    weeks = rollup.dashboard_weekly(held, keys=K).groupBy("user_id").agg(F.sum("days_in_week").alias("week_days"))
-    return months.join(weeks, "user_id")
+    """One stored relation feeds two reports."""
+    with views.SharedViews(spark, lambda: X.raw_documents(spark, folder), keys=K) as shared:
+        held = shared.views()
+        months = held["v_data_quality_summary"].select("user_id", "total_days")
+        weeks = held["v_dashboard_weekly"].groupBy("user_id").agg(F.sum("days_in_week").alias("week_days"))
+        return months.join(weeks, "user_id")
 
 
 # ------------------------------------------------------------------ JSON functions
@@ -602,7 +623,16 @@ def daily_metrics_sides(spark, folder):
 
 @query("daily_metrics_repeated")
 def daily_metrics_repeated(spark, folder):
-    """Some days with two documents of a metric or of two metrics: the rows multiply."""
+    """Some days with two raw documents of a metric or of two metrics: the rows multiply."""
+    raw = X.raw_documents(spark, folder)
+    name, rest = F.col("filename"), F.col("user_id") % 3
+    again = raw.filter(((name.startswith("body_battery_") | name.startswith("sleep_")) & (rest == 0)) | (name.startswith("stress_") & (rest == 1)))
+    return rounded(merge.daily_metrics(raw.unionByName(again), keys=K, form="lists"), "sleep_hours", "deep_sleep_hours", "rem_sleep_hours")
+
+
+@query("daily_metrics_repeated_sides")
+def daily_metrics_repeated_sides(spark, folder):
+    """The same from parsed relations."""
     sides = _sides(spark, folder)
     for side, rest in (("body_battery", 0), ("sleep", 0), ("stress", 1)):
         sides[side] = sides[side].unionByName(sides[side].filter(F.col("user_id") % 3 == rest))
@@ -1127,13 +1157,14 @@ def odds_ratio(spark, folder):
 
 
 def _observations(spark, folder):
-    """Feature rows labelled with one of 15 places, from purchases: the place sets the surroundings,
+    """Feature rows labelled with one of 15 places, from all events: the place sets the surroundings,
     the event adds noise and weather."""
-    place, k, v = F.col("place_id") % 15, F.col("k"), F.col("v")
-    rows = X.event_values(spark, folder).filter("event_type = 'purchase'").withColumn("place_id", F.col("event_id"))
+    place, k, v = F.col("place"), F.col("k"), F.col("v")
+    known = X.places(spark, folder).filter("place_id between 1 and 15").select((F.col("place_id") - 1).alias("place"), "name")
+    rows = X.event_values(spark, folder).withColumn("place", F.col("event_id") % 15).join(known, "place")
     temperature = (k % 35 - 5).cast("double")
     return rows.select(
-        F.concat(F.lit("place "), place.cast("string")).alias("name"),
+        "name",
         (place + k % 3).cast("double").alias("parks_count_1km"), (place * 2 % 23 + v % 2).cast("double").alias("open_bars_count_500m"),
         temperature.alias("lst_celsius_1km"), (temperature + 2).alias("temp_max"), (temperature - 3).alias("temp_min"),
         (k % 11).cast("double").alias("precip_mm"), (F.lit(0.3) + place / 40.0).alias("ndvi"), (F.lit(65.0) - place * 3).alias("nightlight"),
@@ -1189,6 +1220,15 @@ def recommend_topn(spark, folder):
     return _recommend(spark, folder, jitter=False)
 
 
+@query("recommend_topn_model")
+def recommend_topn_model(spark, folder):
+    """With the probabilities of the fitted classifier, one scoring for each mood and weather that occurs."""
+    users, spots, _, history = _inputs(spark, folder)
+    model = M.fit_place_classifier(_observations(spark, folder), REC.FEATURE_ORDER)
+    known = session.checkpointed(M.with_chances(users, model, keys=K))
+    return REC.recommend_topn(known, spots, None, history, as_of=X.AS_OF, keys=K, jitter=False)
+
+
 @query("recommend_topn_jitter")
 def recommend_topn_jitter(spark, folder):
     """As the dashboard calls it: 10 km, three places, daily variety."""

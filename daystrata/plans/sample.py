@@ -218,15 +218,21 @@ def catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def activity_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """One JSON activity document per order, in the list shape or the detail shape."""
+    """One JSON activity document per order, in the list shape or the detail shape; some name or type keys are absent,
+    some hold a null."""
     key = F.col("o_orderkey")
     kinds = F.array(*[F.lit(x) for x in ("running", "walking", "cycling", "pilates")])
     kind = F.struct(F.element_at(kinds, (key % 4 + 1).cast("int")).alias("typeKey"))
     start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.S")
     listed, typed = key % 2 == 0, key % 7 != 0
     summary = F.struct(F.when(~listed, start).alias("startTimeLocal"), (F.col("o_totalprice") / 10).alias("duration"))
-    return table(spark, folder, "orders").select(F.to_json(F.struct(
+    body = F.to_json(F.struct(
         key.alias("activityId"), F.when(key % 5 != 0, F.concat(F.lit("Session "), key.cast("string"))).alias("activityName"),
         F.when(listed & typed, kind).alias("activityType"), F.when(~listed & typed, kind).alias("activityTypeDTO"),
         summary.alias("summaryDTO"), F.when(listed, start).alias("startTimeLocal"),
-    )).alias("value"))
+    ))
+    nulls = F.concat(
+        F.when(key % 15 == 0, F.lit('"activityName":null,')).otherwise(F.lit("")),
+        F.when(key % 21 == 0, F.lit('"activityType":{"typeKey":null},')).otherwise(F.lit("")),
+    )
+    return table(spark, folder, "orders").select(F.concat(F.lit("{"), nulls, F.substr(body, F.lit(2))).alias("value"))

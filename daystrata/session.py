@@ -79,3 +79,16 @@ def ship(spark: SparkSession) -> None:
                     out.write(file, os.path.relpath(file, os.path.dirname(root)))
     context.addPyFile(archive)
     _SHIPPED.add(context.applicationId)
+
+
+def put_texts(spark: SparkSession, folder: str, texts: dict[str, str]) -> None:
+    """Write a few small files by name into a folder of any file system that Spark reads."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for name, text in texts.items():
+        out = files.create(path(f"{folder}/{name}"), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()

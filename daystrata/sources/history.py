@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from daystrata import session
 
 
 def latest_visit(dates: Column) -> Column:
@@ -39,6 +42,34 @@ def history_upsert(history: DataFrame, visits: DataFrame, *, keys: Sequence[str]
     return history.select(columns).unionByName(dated.select(columns)).dropDuplicates(columns)
 
 
+def save_visits(spark: SparkSession, path: str, visits: DataFrame, *, keys: Sequence[str] = (), as_of=None, buckets: int = 64) -> None:
+    """Add visits to the history stored at ``path``, which is dealt into ``buckets`` folders by a hash of the keys.
+
+    Only the folders that ``visits`` touch are read and written again; the new content is stored aside first, and each
+    folder is then replaced.  Sending the same visits again, also after a failure in between, changes nothing.  One
+    writer at a time.
+    """
+    columns = [*keys, "name", "visit_date"]
+    bucket = F.pmod(F.xxhash64(F.lit("history"), *keys), F.lit(buckets)).cast("int")
+    rows = visits.select(columns).withColumn("bucket", bucket)
+    touched = sorted(r["bucket"] for r in rows.select("bucket").distinct().collect())  # ``buckets`` rows at most
+    if not touched:
+        return
+    try:
+        old = spark.read.parquet(path).filter(F.col("bucket").isin(touched)).select(columns)
+    except AnalysisException:  # no history yet
+        old = rows.select(columns).limit(0)
+    merged = history_upsert(old, rows, keys=keys, as_of=as_of).withColumn("bucket", bucket)
+    aside = session.new_folder(spark, "history")
+    merged.repartition("bucket").write.parquet(aside)
+    stored = spark.read.schema(merged.schema).parquet(aside)
+    stored.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def saved_visits(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).drop("bucket")
+
+
 def last_visits(history: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Latest visit per name, by text order, partially aggregated before the shuffle."""
     return history.groupBy(*keys, "name").agg(F.max("visit_date").alias("last_visit"))

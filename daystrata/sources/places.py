@@ -25,10 +25,15 @@ def lookup_first_default(left: DataFrame, lookup: DataFrame, *, key: str, value:
     """Left lookup on an equal key, first match only, default when there is none.
 
     The right side is reduced to one row per key before the join, so rows of the left side are
-    never multiplied, and a hot key on the left can be split by the adaptive skew join.
+    never multiplied, and a hot key on the left can be split by the adaptive skew join.  An empty or null key
+    matches nothing; such rows are spread by a hash of the row instead of meeting in one task.
     """
-    joined = left.join(first_match(lookup, key, value, order), key, "left")
-    return joined.withColumn(value, F.coalesce(F.col(value), F.lit(default)).cast("bigint"))
+    right = first_match(lookup.filter(F.col(key) != ""), key, value, order).select(F.col(key).alias("_key"), F.col(value).alias("_value"))
+    # A key never begins with this mark, so spread rows find no partner.
+    spread = F.concat(F.lit("\0"), F.xxhash64(*[F.col(c) for c in left.columns]).cast("string"))
+    keyed = left.drop(value).withColumn("_own", F.when(F.col(key) != "", F.col(key)).otherwise(spread))
+    joined = keyed.join(right, F.col("_own") == F.col("_key"), "left")
+    return joined.withColumn(value, F.coalesce(F.col("_value"), F.lit(default)).cast("bigint")).drop("_own", "_key", "_value")
 
 
 def place_table(places: DataFrame, parks: DataFrame, bars: DataFrame, *, position: Column, prefix: str, label: str,

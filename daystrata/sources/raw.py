@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from daystrata.functions.dates import date_of_name
-from daystrata.functions.documents import canonical_json
+from daystrata.functions.documents import canonical_json, is_json
 from daystrata.schemas import METRICS, RAW_COLUMNS, RAW_DOCUMENT
 
 
@@ -30,19 +30,33 @@ def date_column(raw: DataFrame) -> Column:
     return F.col("date") if "date" in raw.columns else date_of_name(F.col("filename"))
 
 
-def scan_raw_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per ``*.json`` file directly in the folder; files that are not JSON are dropped.
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    # ``wholetext`` packs many small files into one task.  Sub-folders are not visited.
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
+    return files.select(F.col("_metadata.file_name").alias("filename"), F.col("value").alias("raw_json"))
+
+
+def scan_raw_documents(spark: SparkSession, folder: str, counted: Observation | None = None) -> DataFrame:
+    """One row per ``*.json`` file directly in the folder; a file that isn't JSON is dropped, one that repeats a key is not.
 
-    ``wholetext`` packs many small files into one task.  Sub-folders are not visited.
+    ``counted`` observes ``files`` and ``rejected`` while the scan runs; :func:`rejected_documents` lists the latter.
     """
-    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json")
-    return files.select(
-        F.col("_metadata.file_name").alias("filename"), F.col("value").alias("raw_json")
-    ).filter(F.try_parse_json("raw_json").isNotNull())
+    files = _files(spark, folder)
+    if counted is not None:
+        files = files.observe(counted, F.count(F.lit(1)).alias("files"), F.count_if(~is_json(F.col("raw_json"))).alias("rejected"))
+    return files.filter(is_json(F.col("raw_json")))
+
+
+def rejected_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """(filename, size, reason): the ``*.json`` files that :func:`scan_raw_documents` drops; Spark lists no file of length 0."""
+    empty = F.trim("raw_json", F.lit(" \t\r\n")) == ""
+    reason = F.when(empty, F.lit("empty")).otherwise(F.lit("not JSON"))
+    return _files(spark, folder).filter(~is_json(F.col("raw_json"))).select("filename", F.octet_length("raw_json").cast("bigint").alias("size"), reason.alias("reason"))
 
 
 def canonical_documents(raw: DataFrame) -> DataFrame:
-    return raw.withColumn("raw_json", canonical_json(F.col("raw_json")))
+    """One-line JSON with sorted keys; a document that repeats a key, which has no such form, stays as it is."""
+    return raw.withColumn("raw_json", F.coalesce(canonical_json(F.col("raw_json")), F.when(is_json(F.col("raw_json")), F.col("raw_json"))))
 
 
 def scan_metric(raw: DataFrame, metric: str) -> DataFrame:

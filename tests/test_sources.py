@@ -88,6 +88,7 @@ def test_activities(spark, tmp_path):
         {"activityId": 2, "activityName": "Tempo", "activityType": {"typeKey": "cycling"}, "startTimeLocal": "2025-01-02 10:00:00"}, {"activityId": 3}]))
     read = A.scan_activities(spark, str(tmp_path))
     assert read.filter("activityId = 1").select(F.size("splitSummaries"), "summaryDTO.distance").first()[:] == (2, 5.5)
+    read = A.scan_activity_variants(spark, str(tmp_path))
     heads = {r.activity_id: tuple(r)[1:] for r in A.activity_headers(read).collect()}
     assert heads == {
         1: ("Unnamed", "running", "2025-01-01T10:00:00.0"), 2: ("Tempo", "cycling", "2025-01-02 10:00:00"), 3: ("Unnamed", "unknown", "unknown")}
