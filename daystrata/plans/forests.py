@@ -58,7 +58,7 @@ def nodes_of(model: RandomForestRegressionModel, spark: SparkSession) -> Nodes:
     model.save(path)
     table = spark.read.parquet(f"{path}/data").select(
         "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild",
-        F.col("nodeData.split.featureIndex").alias("feature"), F.col("nodeData.split.leftCategoriesOrThreshold").getItem(0).alias("threshold"),
+        F.col("nodeData.split.featureIndex").alias("feature"), F.get("nodeData.split.leftCategoriesOrThreshold", 0).alias("threshold"),
     ).orderBy("treeID", "id").toArrow()
     columns = {n: table.column(n).to_numpy() for n in ("treeID", "id", "prediction", "leftChild", "rightChild", "feature")}
     threshold = table.column("threshold").fill_null(0.0).to_numpy()
