@@ -87,19 +87,23 @@ class Rollup:
         sums = rows.groupBy(*KEYS).agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
         return sums.filter("docs <> 0 or tokens <> 0")
 
-    def totals(self) -> DataFrame:
-        """(source, lang, version, docs, tokens) over all committed batches."""
-        base, folded = self._base()
-        folders = [f"{self.path}/{n}" for n in [*([base] if base else []), *[b for b in self._listed("batch") if b not in folded]]]
+    def _total(self, base: str | None, batches: list[str]) -> DataFrame:
+        folders = [f"{self.path}/{n}" for n in [*([base] if base else []), *batches]]
         if not folders:
             return self.spark.createDataFrame([], SUMS)
         return self._summed(self.spark.read.schema(SUMS).parquet(*folders))
 
+    def totals(self) -> DataFrame:
+        """(source, lang, version, docs, tokens) over all committed batches."""
+        base, folded = self._base()
+        return self._total(base, [b for b in self._listed("batch") if b not in folded])
+
     def fold(self) -> None:
-        """Sum up all committed batches into a new base."""
+        """Sum up all committed batches into a new base: exactly those listed once at the start, so one that is
+        committed meanwhile stays outside.  One writer folds at a time, and no two commit one name at a time."""
         base, folded = self._base()
-        names = sorted(folded | set(self._listed("batch")))
+        batches = [b for b in self._listed("batch") if b not in folded]
         new = f"base={int(base[5:]) + 1 if base else 0}"
-        rows = [(n,) for n in names]
+        rows = [(n,) for n in sorted(folded.union(batches))]
         self.spark.createDataFrame(rows, "name string").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/names-{new}")
-        self.totals().write.mode("overwrite").parquet(f"{self.path}/{new}")
+        self._total(base, batches).write.mode("overwrite").parquet(f"{self.path}/{new}")
