@@ -44,7 +44,7 @@ FROM s GROUP BY conv_id
 ORACLE["op9_extendible_shards"] = r"""
 WITH d AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h, coalesce(strlen("text"), 0) AS bytes FROM documents),
 p AS (SELECT doc_id, h, bytes, unnest(range(0, 25)) AS depth FROM d),
-s AS (SELECT depth, h >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes FROM p GROUP BY ALL HAVING sum(bytes) <= 16777216),
+s AS (SELECT depth, h >> (60 - depth) AS prefix, sum(bytes)::BIGINT AS shard_bytes FROM p GROUP BY ALL HAVING sum(bytes) <= 1048576),
 l AS (SELECT doc_id, h, min(p.depth) AS shard_depth FROM p JOIN s ON s.depth = p.depth AND s.prefix = p.h >> (60 - p.depth) GROUP BY ALL)
 SELECT doc_id, CASE WHEN shard_depth = 0 THEN 'all' ELSE left(lpad(bin(h), 60, '0'), shard_depth) END AS shard, shard_depth::INT AS shard_depth, shard_bytes
 FROM l JOIN s ON s.depth = l.shard_depth AND s.prefix = l.h >> (60 - l.shard_depth)

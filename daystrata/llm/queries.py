@@ -86,19 +86,21 @@ def op6_probminhash_classes(spark, folder):
 
 @query
 def op7_kneser_ney_language(spark, folder):
+    """Language of every document, by models of those that aren't held out."""
     docs = table(spark, folder, "documents")
     return language.identify(docs, language.fit(docs))
 
 
 @query
 def op8_prefix_table_pieces(spark, folder):
+    """Ids of every document and the text decoded from them, as digests."""
     return piece_bpe.digest_documents(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 @query
 def op9_extendible_shards(spark, folder):
-    """Shards of at most 16 MiB of text, written and read back."""
-    return sharding.sharded(table(spark, folder, "documents"), 16 << 20)
+    """Shards of at most 1 MiB of text, written and read back."""
+    return sharding.sharded(table(spark, folder, "documents"), 1 << 20)
 
 
 @query

@@ -18,6 +18,8 @@ from daystrata.llm import common
 BITS = 60
 #: Directory rows up to which the directory is sent to every task; beyond it is joined by shuffle.
 SENT_ROWS = 100_000
+#: Bytes of text that a task writes, about.
+TASK_BYTES = 64 << 20
 
 
 def hash_bits(text: Column) -> Column:
@@ -96,9 +98,14 @@ def shard(docs: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit: int, key: str = "doc_id") -> None:
-    """Write the shards, a folder and a file for each: a shard is whole in one task, and the limit bounds it."""
+    """Write the shards, a folder and a file for each: a shard is whole in one task, and the limit bounds it.
+
+    The number of tasks grows with the bytes of text, so a task gets about ``TASK_BYTES``, or one shard.
+    """
     placed = shard(docs, limit, key)
-    placed.repartition(common.partitions(docs.sparkSession), "shard").write.partitionBy("shard").parquet(path)
+    total = docs.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    tasks = max(common.partitions(docs.sparkSession), math.ceil(total / max(TASK_BYTES, limit)))
+    placed.repartition(tasks, "shard").write.partitionBy("shard").parquet(path)
 
 
 def read_shards(spark, path: str, schema: str) -> DataFrame:
