@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daystrata.llm import common, links
 
@@ -120,7 +120,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             seen: dict[bytes, tuple] = {}
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 text = text.as_py()
-                key = hashlib.blake2b(text.encode(), digest_size=16).digest()
+                key = hashlib.md5(text.encode(), usedforsecurity=False).digest()
                 if key not in seen:
                     found, counts = shingles(text)
                     if not len(found):
@@ -140,6 +140,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     return common.map_batches(rows, make, "doc_id bigint, text_hash binary, bands array<bigint>, slots binary")
 
 
+def _own_text() -> Column:
+    """The text that stands for a doc_id: of several the one with the least digest, as for its sketch."""
+    return F.min(F.struct(F.unhex(F.md5("text")), "text"))["text"].alias("text")
+
+
 def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact similarity reaches the threshold.
 
@@ -150,7 +155,7 @@ def verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     # Sent to every task only up to a checked number of rows; else a shuffle join.
     few = needed.count() <= 500_000
     texts = common.columns(docs, doc_id="bigint", text="string").join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
-    texts = common.stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "texts")
+    texts = common.stored(texts.groupBy("doc_id").agg(_own_text()), "texts")
     right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     full = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").select("a", "b", "text_a", "text_b")
 
@@ -210,7 +215,7 @@ def _rest(buckets: DataFrame, reps: DataFrame, found: DataFrame, docs: DataFrame
     needed = common.stored(flagged.select(F.col("rep_id").alias("doc_id")).distinct(), "needed")
     few = needed.count() <= 500_000
     texts = common.columns(docs, doc_id="bigint", text="string").join(F.broadcast(needed) if few else needed, "doc_id", "left_semi")
-    texts = common.stored(texts.groupBy(F.col("doc_id").alias("rep_id")).agg(F.min("text").alias("text")), "texts")
+    texts = common.stored(texts.groupBy(F.col("doc_id").alias("rep_id")).agg(_own_text()), "texts")
     full = rows.join(flagged, ["band", "value", "rep_id"]).join(texts, "rep_id")
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
@@ -242,7 +247,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``copy_of`` is the least doc_id with the same text, ``class_id`` the least one reached by links; a document is
     kept when it is its own class.  Documents of the same text are one node, and rows with one doc_id are one
-    document.  A bucket is first compared with its most central member; where that leaves several classes in it, all its
+    document: all its texts link exact copies, the one with the least digest is compared with others.  A bucket is first compared with its most central member; where that leaves several classes in it, all its
     members of different classes meet in blocks.  So no bucket is cut, and pairs are only left out inside a class.
     Null and wordless texts and null ids are alone in their class (null ids have a null class and are kept); other
     columns are ignored; an empty table gives no rows.
@@ -258,8 +263,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = narrow.join(hot, "text_hash").unionByName(
         narrow.join(hot, "text_hash", "left_anti").join(least.filter(F.col("copies") * 1000 <= total).select("text_hash", "rep_id"), "text_hash"))
     copies = common.stored(copies.groupBy("doc_id").agg(F.min("rep_id").alias("copy_of")), "copies")
-    reps = common.stored(made.join(least.select(F.col("rep_id").alias("doc_id"), "text_hash"), ["doc_id", "text_hash"], "left_semi").select(
-        F.col("doc_id").alias("rep_id"), "bands", "slots").dropDuplicates(["rep_id"]), "representatives")
+    own = made.join(least.select(F.col("rep_id").alias("doc_id")).distinct(), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct("text_hash", "bands", "slots")).alias("own"))
+    reps = common.stored(own.select(F.col("doc_id").alias("rep_id"), "own.bands", "own.slots"), "representatives")
     rows = reps.select("rep_id", F.posexplode("bands").alias("band", "value"))
     # The member that shares most buckets over all bands is the likeliest centre of its near copies, so it is the hub.
     shared = rows.groupBy("band", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
