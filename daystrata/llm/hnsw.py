@@ -25,10 +25,8 @@ QUERY_ROWS = 4096
 NEIGHBOURS = 12
 BUILD_BEAM = 48
 FIRST_BEAM = 32
-#: Beyond this beam, or one that no longer pays, a query is compared with the whole shard, the widest beam there is.
+#: Beyond this beam, or one as wide as the shard, a query is compared with the whole shard, the widest beam there is.
 LAST_BEAM = 256
-#: A place of the beam is dearer than a comparison with so many rows, so a beam for fewer isn't searched.
-PLACE_ROWS = 100
 #: Queries of a call that are audited, and at least this share of them.
 AUDITED, AUDITED_SHARE = 64, 1 / 64
 #: The audit looks for so many nearest rows of a query, links or not, and this share of them must be found.
@@ -47,6 +45,8 @@ class Graph:
 
     def __init__(self, vectors: np.ndarray, keys: np.ndarray | None = None) -> None:
         self.v = vectors
+        #: Queries that were compared with all rows, as no beam was wide enough.
+        self.compared = 0
         n = len(vectors)
         # The level of a vector follows from its key, so a repeated task builds the same graph.
         keys = np.arange(n) if keys is None else keys
@@ -207,6 +207,7 @@ class Graph:
     def from_bytes(cls, image: bytes) -> tuple[Graph, dict[str, np.ndarray]]:
         stored = np.load(io.BytesIO(image))
         graph = cls.__new__(cls)
+        graph.compared = 0
         graph.v, graph.level, graph.entry = stored["v"], stored["level"], int(stored["entry"])
         graph.near = [stored[f"near{k}"] for k in range(int(graph.level.max()) + 1)]
         return graph, stored
@@ -278,7 +279,7 @@ def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold:
         return q[keep], r[keep]
 
     def widest() -> bool:
-        return width > LAST_BEAM or width * PLACE_ROWS >= len(graph.v)
+        return width > LAST_BEAM or width >= len(graph.v)
 
     width, recall = FIRST_BEAM, nearest_recall(graph, low[audited], own[audited])
     found_share = 1.0
@@ -288,6 +289,7 @@ def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold:
     pending, kept = np.arange(len(queries)), [(np.zeros(0, int), np.zeros(0, int))]
     while True:
         if widest():
+            graph.compared += len(pending)
             # Queries answered by a beam before keep the recall of that beam.
             found_share = 1.0 if len(pending) == len(queries) else found_share
             kept.append(verified(*whole(pending)))
@@ -350,7 +352,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, shard_rows: int
     calls = graphs.join(chunks, ["label", "shard"]).select("label", "shard", "chunk", "image")
 
     def answer(queries: pd.DataFrame, graphs: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64").assign(recall=1.0)
+        empty = pd.DataFrame({"node": [], "links": [], "root": []}).astype("int64").assign(recall=1.0, compared=0)
         if not len(queries) or not len(graphs):
             return empty
         graph, stored = Graph.from_bytes(graphs["image"].iloc[0])
@@ -377,14 +379,14 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.98, shard_rows: int
         return pd.DataFrame({
             "node": np.concatenate((asks, ids)), "links": np.concatenate((count, np.zeros(len(ids), "int64"))),
             "root": np.concatenate((asks, ids[root] if len(ids) else ids)),
-        }).astype("int64").assign(recall=recall)
+        }).astype("int64").assign(recall=recall, compared=np.where(np.arange(len(asks) + len(ids)) == 0, graph.compared, 0))
 
     keys = ["label", "shard", "chunk"]
-    found = asked.groupBy(*keys).cogroup(calls.groupBy(*keys)).applyInPandas(answer, "node bigint, links bigint, root bigint, recall double")
+    found = asked.groupBy(*keys).cogroup(calls.groupBy(*keys)).applyInPandas(answer, "node bigint, links bigint, root bigint, recall double, compared bigint")
     found = common.stored(found, "answers")
-    row = found.agg(F.min("recall").alias("least"), F.avg("recall").alias("mean")).first()
+    row = found.agg(F.min("recall").alias("least"), F.avg("recall").alias("mean"), F.sum("compared").alias("compared")).first()
     if row["least"] is not None:
-        _LOG.info("audited recall of the %d nearest vectors: %.4f at least, %.4f on average", NEAREST, row["least"], row["mean"])
+        _LOG.info("audited recall of the %d nearest vectors: %.4f at least, %.4f on average; %d queries compared with a whole shard", NEAREST, row["least"], row["mean"], row["compared"])
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     named = valid.select("vec_id", "digest").join(placed.select("digest", "node", "copies"), "digest")
     named = common.stored(named, "named")
