@@ -15,7 +15,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no quality rule rejects."""
+    """Rows that no quality rule rejects; a null or empty text is rejected."""
     return rules.cascade(docs).filter("kept").select(*COLUMNS)
 
 
@@ -25,13 +25,17 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, and one row of each document."""
-    gone = probminhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each class of near-duplicates, whatever its id; null and wordless texts are alone in their class.
+
+    Rows get numbers of their own, stored with them, so null and repeated ids need no care.
+    """
+    rows = common.stored(docs.select(*COLUMNS).withColumn("row", F.monotonically_increasing_id()), "numbered")
+    gone = probminhash.near_duplicates(rows.select(F.col("row").alias("doc_id"), "text")).filter("not kept").select(F.col("doc_id").alias("row"))
+    return rows.join(gone, "row", "left_anti").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 tokens: where every piece of every document goes."""
+    """Sequences of at most 4096 tokens: where every piece of every row goes; null and repeated ids are documents like others."""
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=False)
 
 
