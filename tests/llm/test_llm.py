@@ -257,6 +257,98 @@ def test_language_held_out_accuracy_and_rejection(spark, folder, odd, empty):
     assert language.identify(odd, language.fit(odd)).count() == odd.count() and language.identify(odd, language.fit(empty)).count() == odd.count()
 
 
+def plain_kneser_ney(words, order=language.ORDER, discount=language.DISCOUNT):
+    """Probability of a character after a context by interpolated Kneser-Ney, straight from its definition."""
+    marked = [language.START + w + language.END for w in words]
+    whole = Counter(m[i : i + order] for m in marked for i in range(len(m) - order + 1))
+    whole.update(m[:k] for m in marked for k in range(2, min(order, len(m) + 1)))
+    counts = {order: {g: n for g, n in whole.items() if len(g) == order}}
+    for n in range(order - 1, 0, -1):
+        # Different characters in front of a string, or its occurrences where it begins a word.
+        before = Counter(g[1:] for g in counts[n + 1] if g[1:2] != language.START)
+        counts[n] = Counter({g: c for g, c in whole.items() if len(g) == n}) + before
+    counts[1] = {g: c for g, c in counts[1].items() if g != language.START}
+
+    def p(char, context):
+        n = len(context) + 1
+        shorter = 1 / language.ALPHABET if n == 1 else p(char, context[1:])
+        mates = {g: c for g, c in counts[n].items() if g[:-1] == context}
+        if not mates:
+            return shorter
+        total = sum(mates.values())
+        return max(mates.get(context + char, 0) - discount, 0) / total + discount * len(mates) / total * shorter
+
+    return p
+
+
+def test_language_model_equals_plain_kneser_ney():
+    words = {"abab": 3, "ba": 2, "b": 1, "cabbage": 2, "éa": 4}
+    grams: Counter = Counter()
+    for w, n in words.items():
+        m = language.START + w + language.END
+        for k in range(2, min(5, len(m) + 1)):
+            grams[m[:k]] += n
+        for i in range(len(m) - 4):
+            grams[m[i : i + 5]] += n
+    model, p = language.Model(grams), plain_kneser_ney([w for w, n in words.items() for _ in range(n)])
+    for word in ("abab", "b", "zz", "cab", "éa", "bage", "x", "abababab"):
+        m = language.START + word + language.END
+        cost = -sum(np.log(p(m[i], m[max(0, i - 4) : i])) for i in range(1, len(m)))
+        assert abs(model.word_costs([word])[0] - cost) < 1e-5
+    letters = "abcegé" + language.END
+    for context in ("\x02", "\x02a", "ab", "abab", "bb", "zz"):
+        # Characters never seen share the rest of the alphabet evenly.
+        unseen = p("z", context)
+        assert abs(sum(p(c, context) for c in letters) + unseen * (language.ALPHABET - len(letters)) - 1) < 1e-9
+
+
+def test_language_fit_without_ids_and_letters(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("doc_id", F.lit(None).cast("bigint"))
+    model = language.fit(docs, 50)
+    assert len(model.langs) == docs.filter("text is not null").select("lang").distinct().filter("lang is not null").count()
+    odd = spark.createDataFrame([(1, "½ ² Ⅷ 12"), (2, "½ hello")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["lang_pred"] == "und" for r in language.identify(odd, model).collect()} == {1: True, 2: False}
+
+
+def test_fold_leaves_a_batch_committed_meanwhile_outside(spark, monkeypatch):
+    rollup = token_counts.Rollup(spark, session.new_folder(spark, "r"))
+    change = spark.createDataFrame([("s", "en", "v", 1, 10)], "source string, lang string, version string, sign int, n_tokens int")
+    rollup.commit("a", change)
+    whole = token_counts.Rollup._total
+
+    def late(self, *given):
+        monkeypatch.setattr(token_counts.Rollup, "_total", whole)
+        self.commit("b", change)
+        return whole(self, *given)
+
+    monkeypatch.setattr(token_counts.Rollup, "_total", late)
+    rollup.fold()
+    assert [tuple(r)[3:] for r in rollup.totals().collect()] == [(2, 20)] and not rollup.commit("b", change)
+
+
+def test_repeated_ids_give_equal_classes_in_two_runs(spark):
+    random.seed(12)
+    words = [f"w{k}" for k in range(60)]
+    text = " ".join(words)
+    other = " ".join(reversed(words))
+    rows = [(1, text), (1, other), (2, text + " x"), (3, other + " y"), (4, text), (5, None), (None, text), (None, text)]
+    runs = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(parts)
+        runs.append(Counter((r["doc_id"], r["class_id"], r["kept"]) for r in probminhash.near_duplicates(df).collect()))
+    assert runs[0] == runs[1] and runs[0].total() == len(rows) and (4, 1, False) in runs[0]
+
+
+def test_graph_answers_small_shards():
+    rng = np.random.default_rng(2)
+    exact = hnsw.unit(rng.normal(size=(40, 32))[rng.integers(0, 40, 600)] + rng.normal(size=(600, 32)) * 0.3)
+    exact[300:] = hnsw.unit(exact[:300] + rng.normal(size=(300, 32)) * 0.01)
+    graph = hnsw.Graph(exact.astype(np.float32))
+    q, r, recall = hnsw.range_links(graph, exact, exact, 0.98, hnsw.audited_queries(np.arange(600)), np.arange(600))
+    truth = set(zip(*np.nonzero(exact @ exact.T >= 0.98)))
+    assert len(set(zip(q, r)) & truth) >= 0.9 * len(truth) and set(zip(q, r)) <= truth and recall >= 0.9 and graph.compared < 600
+
+
 def test_language_model_sums_to_one():
     model = language.Model(Counter({g: n for w, n in {"abab": 3, "ba": 2, "b": 1}.items() for m in [language.START + w + language.END]
                                     for g, n in [*((m[:k], n) for k in range(2, min(5, len(m) + 1))), *((m[i : i + 5], n) for i in range(len(m) - 4))]}))
