@@ -28,8 +28,7 @@ _RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 _WORDS = re.compile(f"[^{WHITE}]+")
 # A letter, then ASCII punctuation without the apostrophe, which can start a contraction.
 _TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
-# Visible characters with at most one space in front.
-_LINE = re.compile(f" ?[^{WHITE}\0]+")
+_WHITES = frozenset(["", *(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))])
 #: Parts encoded in one call.
 LINES = 4096
 #: Characters encoded together; bounds what is held at once beside the memory of units.
@@ -138,7 +137,7 @@ class ByteLevelIds(UnitIds):
             return ("\n", *self.cut("\0" + unit[1:]))
         else:
             unit = " " + unit
-        tail = _TAIL.fullmatch(unit)
+        tail = None if unit[-1:].isalnum() else _TAIL.fullmatch(unit)
         return tail.groups() if tail else (unit,)
 
     def encoded(self, parts):
@@ -147,7 +146,8 @@ class ByteLevelIds(UnitIds):
         if self.newline is None:
             ids = self.library.encode("\n", add_special_tokens=False).ids
             self.newline = ids[0] if len(ids) == 1 else -1
-        plain = [self.newline >= 0 and _LINE.fullmatch(part) is not None for part in parts]
+        # A part is white space only, or ends in a visible character.
+        plain = [self.newline >= 0 and part[-1:] not in _WHITES and "\0" not in part for part in parts]
         lines = [part for part, fits in zip(parts, plain) if fits]
         rest = iter(super().encoded([part for part, fits in zip(parts, plain) if not fits]))
         found: list[bytes] = []
@@ -171,7 +171,7 @@ class WordIds(UnitIds):
 
     def cut(self, unit):
         unit = unit.lower() if unit.isascii() else unit
-        tail = _TAIL.fullmatch(unit)
+        tail = None if unit[-1:].isalnum() else _TAIL.fullmatch(unit)
         return tail.groups() if tail else (unit,)
 
 
