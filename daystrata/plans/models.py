@@ -111,7 +111,7 @@ _TRAIN_ROWS = 20_000
 
 
 def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None, ties: Sequence[str] = (),
-            grid: dict[str, Iterable[int]] = FULL_GRID, folds: int = 3, seed: int = 42, parallelism: int = 4) -> ForestSearch:
+            grid: dict[str, Iterable[int]] = FULL_GRID, folds: int = 3, seed: int = 42, parallelism: int = 6) -> ForestSearch:
     """Grid search over contiguous folds of the first 80 % of days, scored on the last 20 %.
 
     One forest for each fold and smallest leaf, with the most trees and the greatest depth of the grid, scores all
@@ -130,7 +130,7 @@ def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None
 
             def fitted(rows: DataFrame, n: int, depth: int, leaf: int):
                 return RandomForestRegressor(
-                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf, maxMemoryInMB=512,
+                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf,
                 ).fit(rows.select("features", "label"))
 
             def search(task: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
