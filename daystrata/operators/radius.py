@@ -14,6 +14,8 @@ _MAX_DEGREE_KM = 111.7
 # Cell sizes for radii not known in advance; larger ones double from the last up to half a turn of the globe.
 CELL_SIZES_KM = (5.0, 10.0, 20.0, 40.0)
 _HALF_TURN_KM = 20_100.0
+#: Users of a cell beyond which it is split.
+HOT_USERS = 50_000
 # Without keys every home is its own key.
 _HOME = ("home_lat", "home_lon")
 
@@ -36,12 +38,16 @@ def _around_sql(band: str, size: str) -> str:
     return f"cast(greatest(1, floor(360D / (2 * degrees(asin(least(1D, {ratio})))))) as bigint)"
 
 
-def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], salt: int):
+def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], hot_users: int):
     """Both sides with their grid columns, and the join condition (cells equal, then exact distance).
 
     A user takes the smallest cell size that covers the radius; the last size covers the globe, so it holds
     any larger radius too.  A radius that is null or NaN reaches nothing.  A cell is that size, a latitude
     band and a longitude cell of the band.
+
+    The users of every cell are counted first; one row comes back, with the sizes in use and the fullest cell.  Only
+    where a cell holds more than ``hot_users`` do both sides join the hot cells: its users are dealt into so many parts
+    as the count asks for, and the places around it are copied to each of them.
     """
     sizes = sorted({float(s) for s in sizes_km})
     while sizes[-1] < _HALF_TURN_KM:
@@ -52,48 +58,56 @@ def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km
         size = size.when(reach <= value, F.lit(value))
     size = size.when(reach.isNotNull(), F.lit(sizes[-1]))
     left = users.select(
-        "*", reach.alias("_radius"), size.alias("_size"),
-        F.expr(f"cast(pmod(xxhash64({', '.join(keys or _HOME)}), {salt}) as int)").alias("_salt"),
-        *[c.alias(n) for n, c in unit_vector("home_lat", "home_lon", "_u").items()],
+        "*", reach.alias("_radius"), size.alias("_size"), *[c.alias(n) for n, c in unit_vector("home_lat", "home_lon", "_u").items()],
     )
     left = left.selectExpr("*", f"{_band_sql('home_lat', '_size')} as _band")
     left = left.selectExpr("*", f"{_around_sql('_band', '_size')} as _around")
     left = left.selectExpr("*", "pmod(floor((home_lon + 180) / 360 * _around), _around) as _cell")
+    counts = left.filter("_cell is not null").groupBy("_size", "_band", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    found = counts.agg(F.collect_set("_size").alias("sizes"), F.max("_n").alias("most")).head()
 
-    # Places are copied for the sizes that users have; a set of at most as many values as there are sizes.
-    used = left.select(F.collect_set("_size"))
-    right = places.select("*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()], used.scalar().alias("_p_sizes"))
-    right = right.withColumn("_p_size", F.explode("_p_sizes")).drop("_p_sizes")
+    # Places are copied for the sizes that users have.
+    used = F.array(*[F.lit(float(x)) for x in sorted(found["sizes"])]).cast("array<double>")
+    right = places.select("*", *[c.alias(n) for n, c in unit_vector("lat", "lon", "_v").items()], F.explode(used).alias("_p_size"))
     right = right.selectExpr("*", f"explode(transform(array(-1, 0, 1), i -> {_band_sql('lat', '_p_size')} + i)) as _p_band")
     right = right.selectExpr("*", f"{_around_sql('_p_band', '_p_size')} as _p_around")
     near = "array_distinct(transform(array(-1, 0, 1), i -> pmod(floor((lon + 180) / 360 * _p_around) + i, _p_around)))"
-    right = right.selectExpr("*", f"explode({near}) as _p_cell", f"sequence(0, {salt - 1}) as _p_salts")
-    right = right.selectExpr("*", "explode(_p_salts) as _p_salt")
-
-    cells = " and ".join(f"_{name} = _p_{name}" for name in ("size", "band", "cell", "salt"))
+    right = right.selectExpr("*", f"explode({near}) as _p_cell")
+    names = ["size", "band", "cell"]
+    if (found["most"] or 0) > hot_users:
+        hot = counts.filter(F.col("_n") > hot_users).select(*[F.col(f"_{n}").alias(f"_h_{n}") for n in names], F.ceil(F.col("_n") / hot_users).cast("int").alias("_parts"))
+        on_left, on_right = (F.expr(" and ".join(f"{side}{n} = _h_{n}" for n in names)) for side in ("_", "_p_"))
+        dealt = f"cast(pmod(xxhash64({', '.join(keys or _HOME)}), coalesce(_parts, 1)) as int)"
+        left = left.join(hot, on_left, "left").withColumn("_salt", F.expr(dealt)).drop("_parts", *[f"_h_{n}" for n in names])
+        right = right.join(hot, on_right, "left").withColumn("_p_salt", F.explode(F.expr("sequence(0, coalesce(_parts, 1) - 1)")))
+        right = right.drop("_parts", *[f"_h_{n}" for n in names])
+        names = [*names, "salt"]
+    cells = " and ".join(f"_{name} = _p_{name}" for name in names)
     return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius"))
 
 
+def _pairs(left: DataFrame, right: DataFrame, condition: Column, users: DataFrame, places: DataFrame) -> DataFrame:
+    return left.join(right, condition).withColumn("distance_km", vector_distance_km("_u", "_v")).select(*users.columns, *places.columns, "distance_km")
+
+
 def radius_join(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str] = (),
-                sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
+                sizes_km: Sequence[float] = CELL_SIZES_KM, hot_users: int = HOT_USERS) -> DataFrame:
     """All user x place pairs within the user's radius (inclusive), with ``distance_km``.
 
     ``users`` has keys, home_lat, home_lon; ``places`` has lat, lon and no column of the same name as
     one of ``users``.  An equi-join on grid cells finds candidates: a user sits in one cell, a place is
     copied to the nine cells around it for each size that some user needs; when the radii are known, pass
-    them as sizes.  Larger radii get doubled sizes, up to the whole globe.  Users are salted, so a city
-    that holds a third of them is spread over ``salt`` partitions, and the adaptive skew join can split
-    further.  Without keys the rows of ``users`` are homes of one series.
+    them as sizes.  Larger radii get doubled sizes, up to the whole globe.  A cell with more than ``hot_users``
+    users, as of a city that holds a third of them, is split by its count; places elsewhere are not copied for it.
+    Counting the cells reads one aggregated row.  Without keys the rows of ``users`` are homes of one series.
     """
-    left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
-    pairs = left.join(right, condition).withColumn("distance_km", vector_distance_km("_u", "_v"))
-    return pairs.select(*users.columns, *places.columns, "distance_km")
+    return _pairs(*_gridded(users, places, radius, keys, sizes_km, hot_users), users, places)
 
 
 def without_place(users: DataFrame, places: DataFrame, radius: Column, *, keys: Sequence[str] = (),
-                  sizes_km: Sequence[float] = CELL_SIZES_KM, salt: int = 4) -> DataFrame:
+                  sizes_km: Sequence[float] = CELL_SIZES_KM, hot_users: int = HOT_USERS) -> DataFrame:
     """Users who have no place within their radius: an anti-join that stops at the first match."""
-    left, right, condition = _gridded(users, places, radius, keys, sizes_km, salt)
+    left, right, condition = _gridded(users, places, radius, keys, sizes_km, hot_users)
     return left.join(right, condition, "left_anti").select(*users.columns)
 
 
@@ -164,7 +178,8 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
 def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str] = (),
                       sizes_km: Sequence[float] = CELL_SIZES_KM, place_id: str = "place_id") -> DataFrame:
     """Places within the radius; for users who have none, the n nearest of all."""
-    near = radius_join(users, places, radius, keys=keys, sizes_km=sizes_km)
-    lonely = without_place(users, places, radius, keys=keys, sizes_km=sizes_km)
+    left, right, condition = _gridded(users, places, radius, keys, sizes_km, HOT_USERS)
+    near = _pairs(left, right, condition, users, places)
+    lonely = left.join(right, condition, "left_anti").select(*users.columns)
     far = nearest_places(lonely, places, n, keys=keys, place_id=place_id)
     return near.unionByName(far.select(near.columns))

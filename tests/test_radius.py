@@ -86,19 +86,32 @@ def _all_pairs(spark, u, p):
     return [(r.user_id, r.place_id, r.d) for r in pairs.collect()]
 
 
-@pytest.mark.parametrize("radius,sizes,salt", [
+@pytest.mark.parametrize("radius,sizes,hot", [
     (0.5, R.CELL_SIZES_KM, 4), (9.7, (10, 25), 1), (25.0, (25,), 3), (40.0, R.CELL_SIZES_KM, 4), (700.0, R.CELL_SIZES_KM, 2),
     (9000.0, (5,), 4), (19500.0, R.CELL_SIZES_KM, 4), (1e6, (10,), 1),
 ])
-def test_radius_join_equals_brute_force(spark, radius, sizes, salt):
+def test_radius_join_equals_brute_force(spark, radius, sizes, hot):
     u, p = _frames(spark, _clouds(1, 80), _clouds(2, 90))
     want = {(a, b) for a, b, d in _all_pairs(spark, u, p) if d <= radius}
-    got = [(r.user_id, r.place_id) for r in R.radius_join(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, salt=salt).collect()]
+    got = [(r.user_id, r.place_id) for r in R.radius_join(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, hot_users=hot).collect()]
     assert len(got) == len(set(got)) and set(got) == want
-    lonely = {r.user_id for r in R.without_place(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, salt=salt).collect()}
+    lonely = {r.user_id for r in R.without_place(u, p, F.lit(radius), keys=["user_id"], sizes_km=sizes, hot_users=hot).collect()}
     assert lonely == set(range(80)) - {a for a, _ in want}
 
 
+def test_places_are_copied_for_hot_cells_only(spark):
+    u, p = _frames(spark, [(52.5, 13.4)] * 50 + [(10.0, 10.0)], [(52.5, 13.4), (10.0, 10.0)])
+    for hot, parts in ((50, 1), (20, 3)):
+        left, right, _ = R._gridded(u, p, F.lit(9.0), ["user_id"], (10,), hot)
+        copies = {r["place_id"]: r["n"] for r in right.groupBy("place_id").agg(F.count("*").alias("n")).collect()}
+        # Nine cells around a place; the one hot cell takes a copy for each of its parts.
+        assert copies == {0: 8 + parts, 1: 9}
+        if parts > 1:
+            assert {r["_salt"] for r in left.collect()} == set(range(parts))
+        else:
+            assert "_salt" not in left.columns and left.columns.count("_h_cell") == 0
+
+
 def test_radius_is_inclusive(spark):
     u, p = _frames(spark, [(10.0, 10.0)], [(10.05, 10.0)])
     exact = R.radius_join(u, p, F.lit(30.0), keys=["user_id"]).first().distance_km
