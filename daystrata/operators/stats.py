@@ -140,9 +140,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
                   accuracy: int = 10000) -> DataFrame:
     """Exact interpolated median per column as (keys, column, median); NULL and NaN do not count.
 
-    Three passes that shuffle little: a quantile sketch brackets the middle, counts below, above and in
-    ``bins`` slices of the bracket locate the slice of the middle ranks, and only the distinct values of
-    that slice are sorted.  The sketch decides how much is sorted, not the result.
+    Two passes: a quantile sketch brackets the middle, then one aggregation counts what lies below the bracket and
+    the distinct values inside it, by ``bins`` slices.  The counts of the slices locate the middle ranks, and only the
+    values of one slice are sorted.  The bracket is twice as wide as the error bound of the sketch, so it always
+    holds the middle.
     """
     group = [*keys, "column"]
     typed = df.select(*keys, *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
@@ -153,11 +154,13 @@ def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
     ).select(*group, F.col("_ends")[0].alias("_low"), F.col("_ends")[1].alias("_high"), "_total")
     inner = F.floor((F.col("value") - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0)) * bins)
     slot = (
-        F.when(F.col("value") < F.col("_low"), F.lit(-1)).when(F.col("value") > F.col("_high"), F.lit(bins))
+        F.when(F.col("value") < F.col("_low"), F.lit(-1))
         .otherwise(F.least(F.coalesce(inner, F.lit(0)), F.lit(bins - 1)))
     )
-    binned = _join_group(values, bracket, group, small=not keys).select(*group, "value", "_total", slot.alias("_bin"))
-    sizes = binned.groupBy(*group, "_bin", "_total").agg(F.count(F.lit(1)).alias("_size"))
+    binned = _join_group(values, bracket, group, small=not keys).filter(F.col("value") <= F.col("_high")).select(*group, "value", "_total", slot.alias("_bin"))
+    # One shuffle, read twice: for the sizes of the slices, and for the values of one slice.
+    counted = binned.groupBy(*group, "_bin", "_total", F.when(F.col("_bin") >= 0, F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = counted.groupBy(*group, "_bin", "_total").agg(F.sum("n").alias("_size"))
     running = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
     low, high = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
     holding = (
@@ -165,10 +168,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
         .filter((F.col("_start") <= high) & (F.col("_start") + F.col("_size") > low))
         .select(*group, "_bin", "_start")
     )
-    inside = _join_group(binned, holding, [*group, "_bin"], small=not keys)
-    counted = inside.groupBy(*group, "_bin", "_start", "_total", "value").agg(F.count(F.lit(1)).alias("n"))
+    inside = _join_group(counted, holding, [*group, "_bin"], small=not keys)
     ordered = Window.partitionBy(*group, "_bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_end", F.col("_start") + F.sum("n").over(ordered))
+    ranked = inside.withColumn("_end", F.col("_start") + F.sum("n").over(ordered))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("_end") - F.col("n")) & (rank < F.col("_end")), F.col("value")))

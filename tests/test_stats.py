@@ -85,3 +85,13 @@ def test_direction_and_metrics(spark):
     m = stats.regression_metrics(df, "x", "y").first()
     assert m.mae == pytest.approx((1 + 2 + 3.5) / 3) and m.rmse == pytest.approx(((1 + 4 + 12.25) / 3) ** 0.5)
     assert stats.max_in_group(df, "y").select("group_max").distinct().collect()[0][0] == 6.5
+
+
+def test_medians_scan_the_source_twice(spark, tmp_path):
+    rows = [(i, float(i * 7919 % 1013), None if i % 5 else float(i % 3)) for i in range(4000)]
+    spark.createDataFrame(rows, "id bigint, x double, y double").write.parquet(f"{tmp_path}/m")
+    medians = stats.exact_medians(spark.read.parquet(f"{tmp_path}/m"), ["x", "y"])
+    found = {r["column"]: r["median"] for r in medians.collect()}
+    assert found == {"x": statistics.median(r[1] for r in rows), "y": statistics.median(r[2] for r in rows if r[2] is not None)}
+    final = medians._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("FileScan") == 2 and "ReusedExchange" in final
