@@ -6,10 +6,62 @@ double takes its binary value and would differ on decimal ties.
 
 from __future__ import annotations
 
-from daystrata.functions.text import MOOD_PROMPTS, MOOD_REASONS, MOOD_TITLES, PROMPT_TEMPLATE
-from daystrata.operators.recommend import MOOD_PROFILES
-from daystrata.plans.sample import MOODS
-from daystrata.schemas import METRICS
+# Words, names and numbers that the results must hold, written out here so that the SQL checks the library's own.
+MOOD_TITLES = {
+    "cozy_indoor": "Cozy Indoor",
+    "green_nature": "Green Nature",
+    "buzz_urban": "Buzz Urban",
+    "rainy_retreat": "Rainy Retreat",
+    "cozy_recharge": "Cozy Recharge",
+    "balanced": "Balanced",
+}
+MOOD_REASONS = {
+    "cozy_indoor": "Need for warmth and comfort",
+    "green_nature": "Seeking natural, restorative environment",
+    "buzz_urban": "Ready for social, energetic atmosphere",
+    "rainy_retreat": "Sheltered comfort during bad weather",
+    "cozy_recharge": "Recovery and energy restoration",
+    "balanced": "Moderate, all-around suitable environment",
+}
+MOOD_PROMPTS = {
+    "cozy_indoor": "cozy and warm, seeking comfort and relaxation indoors",
+    "green_nature": "seeking natural, peaceful, and restorative vibes",
+    "buzz_urban": "energetic, social, and ready for vibrant activity",
+    "rainy_retreat": "sheltered and calm, embracing cozy ambiance during bad weather",
+    "cozy_recharge": "in recovery mode, needing quiet and restorative energy",
+    "balanced": "in a balanced state, open to moderate activity",
+}
+PROMPT_TEMPLATE = """You are a music recommendation expert. Based on the following context, recommend exactly 3 songs that would perfectly match this moment.
+
+Context:
+- Current mood: %s
+- Stress level: %s/100
+- Sleep quality: %s hours (average)
+- Weather: %s
+
+Please recommend 3 songs that would be perfect for this situation. For each song, provide:
+1. Song title
+2. Artist name
+3. A brief reason (1 sentence) why this song fits the mood and weather
+
+Format your response as a JSON array like this:
+[
+  {"title": "Song Name", "artist": "Artist Name", "reason": "Brief reason why it fits"},
+  {"title": "Song Name 2", "artist": "Artist Name 2", "reason": "Brief reason why it fits"},
+  {"title": "Song Name 3", "artist": "Artist Name 3", "reason": "Brief reason why it fits"}
+]
+
+Only return the JSON array, no other text."""
+MOOD_PROFILES = {
+    "cozy_indoor": (8, 2, 25, 0.45),
+    "green_nature": (15, 3, 20, 0.7),
+    "rainy_retreat": (8, 6, 35, 0.5),
+    "buzz_urban": (3, 20, 65, 0.3),
+    "cozy_recharge": (10, 4, 28, 0.55),
+    "balanced": (8, 10, 40, 0.5),
+}
+MOODS = ("cozy_indoor", "green_nature", "buzz_urban", "rainy_retreat", "cozy_recharge", "balanced")
+METRICS = ("steps", "sleep", "stress", "body_battery", "heart_rate")
 
 ORACLE: dict[str, str] = {}
 

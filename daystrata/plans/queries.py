@@ -314,11 +314,7 @@ def map_lookup_default(spark, folder):
 
 @query("map_explode_latest")
 def map_explode_latest(spark, folder):
-    docs = X.history_documents(spark, folder)
-    entry = F.explode(F.map_entries(F.from_json("raw_json", "map<string,variant>")))
-    dates = F.try_variant_get("e.value", "$", "array<string>")
-    latest = docs.select("user_id", entry.alias("e")).select("user_id", F.col("e.key").alias("name"), H.latest_visit(dates).alias("d"))
-    return latest.filter("d is not null").groupBy("user_id", "name").agg(F.max("d").alias("last_visit"))
+    return H.last_visits(H.history_rows(X.history_documents(spark, folder), keys=K), keys=K)
 
 
 # ------------------------------------------------------------------ text functions
@@ -547,7 +543,7 @@ def rename(spark, folder):
 
 @query("not_null_filter")
 def not_null_filter(spark, folder):
-    return X.daily(spark, folder).filter(F.col("avg_stress").isNotNull()).select("user_id", "date", "avg_stress")
+    return FE.dropna_subset(X.daily(spark, folder), ["avg_stress"]).select("user_id", "date", "avg_stress")
 
 
 @query("date_range_filter")
