@@ -33,8 +33,8 @@ _WHITES = frozenset(["", *(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]
 LINES = 4096
 #: Characters encoded together; bounds what is held at once beside the memory of units.
 CHUNK = 1_000_000
-#: Units remembered per worker, about 180 MB of typical ones; at the limit the memory starts anew.
-LIMIT = 700_000
+#: Units remembered per worker, about 300 MB of typical ones; at the limit the memory starts anew.
+LIMIT = 1_200_000
 
 
 def packed(ids: list[int]) -> bytes:
