@@ -130,7 +130,7 @@ def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None
 
             def fitted(rows: DataFrame, n: int, depth: int, leaf: int):
                 return RandomForestRegressor(
-                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf,
+                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf, cacheNodeIds=True,
                 ).fit(rows.select("features", "label"))
 
             def search(task: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
