@@ -25,8 +25,10 @@ QUERY_ROWS = 4096
 NEIGHBOURS = 12
 BUILD_BEAM = 48
 FIRST_BEAM = 32
-#: Beyond this beam, or one as wide as the shard, a query is compared with the whole shard, the widest beam there is.
+#: Beyond this beam, or one that no longer pays, a query is compared with the whole shard, the widest beam there is.
 LAST_BEAM = 256
+#: A beam pays while so many rows for each of its places are fewer than the shard has.
+PLACE_ROWS = 16
 #: Queries of a call that are audited, and at least this share of them.
 AUDITED, AUDITED_SHARE = 64, 1 / 64
 #: The audit looks for so many nearest rows of a query, links or not, and this share of them must be found.
@@ -279,7 +281,7 @@ def range_links(graph: Graph, exact: np.ndarray, queries: np.ndarray, threshold:
         return q[keep], r[keep]
 
     def widest() -> bool:
-        return width > LAST_BEAM or width >= len(graph.v)
+        return width > LAST_BEAM or width * PLACE_ROWS >= len(graph.v)
 
     width, recall = FIRST_BEAM, nearest_recall(graph, low[audited], own[audited])
     found_share = 1.0
