@@ -16,6 +16,8 @@ CELL_SIZES_KM = (5.0, 10.0, 20.0, 40.0)
 _HALF_TURN_KM = 20_100.0
 #: Users of a cell beyond which it is split.
 HOT_USERS = 50_000
+#: Users that descend the quad grid in one task; each meets some hundred cells on the way.
+DESCENT_USERS = 1_000
 # Without keys every home is its own key.
 _HOME = ("home_lat", "home_lon")
 
@@ -39,13 +41,18 @@ def _around_sql(band: str, size: str) -> str:
 
 
 def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], hot_users: int):
-    """Both sides with their grid columns, and the join condition (cells equal, then exact distance).
+    """The two sides and the condition of :func:`_counted_grid`."""
+    return _counted_grid(users, places, radius, keys, sizes_km, hot_users)[:3]
+
+
+def _counted_grid(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km: Sequence[float], hot_users: int):
+    """Both sides with their grid columns, the join condition (cells equal, then exact distance) and the number of users.
 
     A user takes the smallest cell size that covers the radius; the last size covers the globe, so it holds
     any larger radius too.  A radius that is null or NaN reaches nothing.  A cell is that size, a latitude
     band and a longitude cell of the band.
 
-    The users of every cell are counted first; one row comes back, with the sizes in use and the fullest cell.  Only
+    The users of every cell are counted first; one row comes back, with the sizes in use, the fullest cell and the sum.  Only
     where a cell holds more than ``hot_users`` do both sides join the hot cells: its users are dealt into so many parts
     as the count asks for, and the places around it are copied to each of them.
     """
@@ -63,8 +70,12 @@ def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km
     left = left.selectExpr("*", f"{_band_sql('home_lat', '_size')} as _band")
     left = left.selectExpr("*", f"{_around_sql('_band', '_size')} as _around")
     left = left.selectExpr("*", "pmod(floor((home_lon + 180) / 360 * _around), _around) as _cell")
-    counts = left.filter("_cell is not null").groupBy("_size", "_band", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    found = counts.agg(F.collect_set("_size").alias("sizes"), F.max("_n").alias("most")).head()
+    every = left.groupBy("_size", "_band", "_cell").agg(F.count(F.lit(1)).alias("_n"))
+    placed = F.col("_cell").isNotNull()
+    counts = every.filter(placed)
+    found = every.agg(
+        F.collect_set(F.when(placed, F.col("_size"))).alias("sizes"), F.max(F.when(placed, F.col("_n"))).alias("most"), F.sum("_n").alias("users"),
+    ).head()
 
     # Places are copied for the sizes that users have.
     used = F.array(*[F.lit(float(x)) for x in sorted(found["sizes"])]).cast("array<double>")
@@ -83,7 +94,7 @@ def _gridded(users: DataFrame, places: DataFrame, radius: Column, keys, sizes_km
         right = right.drop("_parts", *[f"_h_{n}" for n in names])
         names = [*names, "salt"]
     cells = " and ".join(f"_{name} = _p_{name}" for name in names)
-    return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius"))
+    return left, right, F.expr(cells) & (vector_distance_km("_u", "_v") <= F.col("_radius")), found["users"] or 0
 
 
 def _pairs(left: DataFrame, right: DataFrame, condition: Column, users: DataFrame, places: DataFrame) -> DataFrame:
@@ -120,12 +131,15 @@ def nsmallest(df: DataFrame, n: int, order: Sequence[Column], *, keys: Sequence[
 
 
 def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequence[str] = (), place_id: str = "place_id",
-                   depth: int = 12, stride: int = 3) -> DataFrame:
+                   depth: int = 12, stride: int = 3, most: int | None = None) -> DataFrame:
     """The n nearest places of every user, however far, ties by ``place_id``; without keys, of every home.
 
     Descends a latitude/longitude quad grid: per user only cells that can still hold one of the n
     nearest places survive a level (their lower distance bound must not exceed the smallest upper
     bound that already covers n places).  Of places at one spot, n are enough for any user.
+
+    A row of ``users`` is short, but turns into hundreds here, so that tasks cut by bytes would get far too many.  They
+    are dealt by their number, ``most`` where the caller knows that there are no more; else they are counted.
     """
     spot = places.filter("lat is not null and lon is not null")
     spot = nsmallest(spot, n, [F.col(place_id)], keys=["lat", "lon"])
@@ -138,7 +152,8 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
     )
     counts = leaf.groupBy("_y", "_x").agg(F.count(F.lit(1)).alias("_n"))
     vectors = {**unit_vector("home_lat", "home_lon", "_u"), **unit_vector("home_lat", "home_lon", "_s", reduced=False)}
-    frontier = users.filter("home_lat is not null and home_lon is not null").select(
+    homes = users.filter("home_lat is not null and home_lon is not null")
+    frontier = homes.repartition(-(-(homes.count() if most is None else most) // DESCENT_USERS) or 1, *keys).select(
         "*", *[c.alias(name) for name, c in vectors.items()], F.expr("0L").alias("_y"), F.expr("0L").alias("_x")
     )
     carried = [*users.columns, *vectors]
@@ -178,8 +193,8 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
 def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str] = (),
                       sizes_km: Sequence[float] = CELL_SIZES_KM, place_id: str = "place_id") -> DataFrame:
     """Places within the radius; for users who have none, the n nearest of all."""
-    left, right, condition = _gridded(users, places, radius, keys, sizes_km, HOT_USERS)
+    left, right, condition, most = _counted_grid(users, places, radius, keys, sizes_km, HOT_USERS)
     near = _pairs(left, right, condition, users, places)
     lonely = left.join(right, condition, "left_anti").select(*users.columns)
-    far = nearest_places(lonely, places, n, keys=keys, place_id=place_id)
+    far = nearest_places(lonely, places, n, keys=keys, place_id=place_id, most=most)
     return near.unionByName(far.select(near.columns))

@@ -148,3 +148,18 @@ def test_nearest_places_equal_brute_force(spark, n, depth, stride):
 def test_fewer_places_than_asked_for(spark):
     u, p = _frames(spark, [(10.0, 10.0), (None, 1.0)], [(50.0, 50.0), (-10.0, 100.0)])
     assert [(r.user_id, r.place_id) for r in R.radius_or_nearest(u, p, F.lit(5.0), 3, keys=["user_id"]).orderBy("distance_km").collect()] == [(0, 0), (0, 1)]
+
+
+def _tasks(df):
+    return df.select(F.spark_partition_id().alias("task")).distinct().count()
+
+
+def test_users_descend_in_tasks_by_their_number(spark, monkeypatch, tmp_path):
+    """Rows of users are so short that adaptive execution would put them all into one task."""
+    monkeypatch.setattr(R, "DESCENT_USERS", 10, raising=False)
+    u, p = _frames(spark, _clouds(4, 80), _clouds(5, 60))
+    for name, df in (("u", u), ("p", p)):
+        df.write.parquet(f"{tmp_path}/{name}")  # files have a known size, so places are broadcast
+    u, p = spark.read.parquet(f"{tmp_path}/u").repartition("user_id"), spark.read.parquet(f"{tmp_path}/p")
+    whole = R.nearest_places(u, p, 3, keys=["user_id"])
+    assert _tasks(whole) >= 6 and whole.count() == 240
