@@ -163,3 +163,14 @@ def test_users_descend_in_tasks_by_their_number(spark, monkeypatch, tmp_path):
     u, p = spark.read.parquet(f"{tmp_path}/u").repartition("user_id"), spark.read.parquet(f"{tmp_path}/p")
     whole = R.nearest_places(u, p, 3, keys=["user_id"])
     assert _tasks(whole) >= 6 and whole.count() == 240
+
+
+def test_users_without_place_descend_in_tasks_by_the_number_of_users(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(R, "DESCENT_USERS", 10, raising=False)
+    u, p = _frames(spark, _clouds(4, 80), _clouds(5, 60))
+    for name, df in (("u", u), ("p", p)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    u, p = spark.read.parquet(f"{tmp_path}/u"), spark.read.parquet(f"{tmp_path}/p")
+    far = R.radius_or_nearest(u, p, F.lit(None).cast("double"), 3, keys=["user_id"])  # a null radius reaches nothing
+    assert _tasks(far) >= 6 and far.count() == 240
+    assert R._counted_grid(u, p, F.lit(None).cast("double"), ["user_id"], (5,), 9)[3] == 80
