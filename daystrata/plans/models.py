@@ -243,6 +243,19 @@ def logit_curve(scored: DataFrame, points: int = 500, logit: str = "logit") -> D
 
 
 # ---------------------------------------------------------------- place classifier
+#: Rows of a task of the classifier at most, and at least where there are cores for more tasks.
+_CLASSIFIER_ROWS = (200_000, 20_000)
+
+
+def _dealt(data: DataFrame) -> DataFrame:
+    """Training rows in as many tasks as their number asks for: files cut by bytes leave cores idle at every level of
+    the trees, while each task sends counts of all nodes, so there are no more tasks than cores unless they get too long."""
+    rows, cores = data.count(), data.sparkSession.sparkContext.defaultParallelism
+    most, least = (-(-rows // n) for n in _CLASSIFIER_ROWS)
+    tasks = max(most, min(least, cores))
+    return data.repartition(tasks) if tasks > data.rdd.getNumPartitions() else data
+
+
 def fit_place_classifier(rows: DataFrame, features: Sequence[str], *, label: str = "name", trees: int = 100,
                          depth: int = 10, seed: int = 42):
     """Multi-class forest from feature rows to place names.  The model grows with the number of
@@ -253,7 +266,7 @@ def fit_place_classifier(rows: DataFrame, features: Sequence[str], *, label: str
         RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed),
     ]
     with kept(rows.select(label, *features)) as data:
-        return Pipeline(stages=stages).fit(data)
+        return Pipeline(stages=stages).fit(_dealt(data))
 
 
 def class_probabilities(model, contexts: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:

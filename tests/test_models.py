@@ -100,6 +100,17 @@ def test_class_probabilities_add_up(spark):
     assert all(n == 4 and s == pytest.approx(1.0) for n, s in sums.values()) and len(sums) == 5
 
 
+def test_classifier_rows_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(M, "_CLASSIFIER_ROWS", (100, 10), raising=False)
+    seen, fit = [], M.Pipeline.fit
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, data: seen.append(data.rdd.getNumPartitions()) or fit(self, data))
+    cores = spark.sparkContext.defaultParallelism
+    for n in (10, 400, 2000):
+        df = spark.range(n).selectExpr("concat('p', id % 4) as name", "double(id % 4) as a", "double(id % 5) as b").coalesce(1)
+        M.fit_place_classifier(df, ["a", "b"], trees=2, depth=2)
+    assert seen == [1, max(4, min(40, cores)), max(20, min(200, cores))]
+
+
 def test_analysis_frame_names(spark):
     cols = ", ".join(f"{c} double" for c in FE.ANALYSIS_COLUMNS)
     rows = [(None, *[float(i) if i % 3 else None for _ in FE.ANALYSIS_COLUMNS], None if i < 6 else i, i >= 6) for i in range(10)]
