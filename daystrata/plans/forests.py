@@ -70,6 +70,17 @@ def nodes_of(model: RandomForestRegressionModel, spark: SparkSession) -> Nodes:
     return Nodes(roots, np.where(inner, columns["feature"], -1), threshold, left, right, columns["prediction"])
 
 
+def joined(parts: Sequence[Nodes]) -> Nodes:
+    """One forest of the trees of several."""
+    starts = np.cumsum([0, *[len(p.value) for p in parts[:-1]]])
+
+    def moved(name: str) -> np.ndarray:
+        return np.concatenate([getattr(p, name) + start for p, start in zip(parts, starts)])
+
+    return Nodes(moved("roots"), *[np.concatenate([getattr(p, n) for p in parts]) for n in ("feature", "threshold")],
+                 moved("left"), moved("right"), np.concatenate([p.value for p in parts]))
+
+
 def scored(rows: DataFrame, features: Sequence[str], nodes: Nodes, depths: Sequence[int], trees: Sequence[int], label: str = "label") -> DataFrame:
     """(maxDepth, numTrees, label, prediction): every row scored by every nested forest, in Arrow batches; no row is
     moved before the scores are summed up."""

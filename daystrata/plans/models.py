@@ -108,6 +108,8 @@ class ForestSearch:
 
 #: Rows of a partition of the training data at least, so that short series don't pay for many tasks at each level.
 _TRAIN_ROWS = 20_000
+#: Rows times trees of a fit of the search at most, as the nodes of a fit, and their counts while it grows, are held at once.
+_TREE_ROWS = 100_000
 
 
 def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None, ties: Sequence[str] = (),
@@ -115,7 +117,8 @@ def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None
     """Grid search over contiguous folds of the first 80 % of days, scored on the last 20 %.
 
     One forest for each fold and smallest leaf, with the most trees and the greatest depth of the grid, scores all
-    settings (see :mod:`daystrata.plans.forests`); the best by mean r2, the first of equals in the order of the grid,
+    settings (see :mod:`daystrata.plans.forests`); where it would get too large to be held at once, it is fitted as several
+    forests with their own seeds, which hold its trees together.  The best by mean r2, the first of equals in the order of the grid,
     is fitted again on all training days.
     """
     names = list(features) if features is not None else FE.numeric_columns(df, exclude=[target, *ties])
@@ -126,16 +129,22 @@ def rf_grid(df: DataFrame, *, target: str, features: Sequence[str] | None = None
     with kept(FE.chronological_split(df, ties=ties)) as split:
         placed = series.nth_partition_split(split.filter("split = 'train'"), order, buckets=buckets, parts=folds)
         with kept(assembled(placed, names).select("features", label, "fold", *names)) as data:
-            few = data.coalesce(max(1, -(-data.count() // _TRAIN_ROWS)))
+            days = data.count()
+            few = data.coalesce(max(1, -(-days // _TRAIN_ROWS)))
+            step = max(1, _TREE_ROWS // max(1, days))
 
-            def fitted(rows: DataFrame, n: int, depth: int, leaf: int):
+            def fitted(rows: DataFrame, n: int, depth: int, leaf: int, first: int = 0):
                 return RandomForestRegressor(
-                    labelCol="label", featureSubsetStrategy="all", seed=seed, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf, cacheNodeIds=True,
+                    labelCol="label", featureSubsetStrategy="all", seed=seed + first, numTrees=n, maxDepth=depth, minInstancesPerNode=leaf, cacheNodeIds=True,
                 ).fit(rows.select("features", "label"))
 
             def search(task: tuple[int, int]) -> list[tuple[int, int, int, int, float]]:
                 fold, leaf = task
-                nodes = forests.nodes_of(fitted(few.filter(F.col("fold") != fold), trees[-1], depths[-1], leaf), df.sparkSession)
+                rest = few.filter(F.col("fold") != fold)
+                nodes = forests.joined([
+                    forests.nodes_of(fitted(rest, min(step, trees[-1] - first), depths[-1], leaf, first), df.sparkSession)
+                    for first in range(0, trees[-1], step)
+                ])
                 rows = forests.scored(few.filter(F.col("fold") == fold), names, nodes, depths, trees)
                 found = stats.regression_metrics(rows, "prediction", "label", keys=["numTrees", "maxDepth"]).collect()
                 return [(r["numTrees"], r["maxDepth"], leaf, fold, r["r2"]) for r in found]

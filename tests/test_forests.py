@@ -46,3 +46,19 @@ def test_all_settings_of_a_grid(spark, frame):
     metrics = found.metrics.first()
     assert metrics.r2 > 0.5 and metrics.rmse >= metrics.mae > 0 and sum(v for _, v in found.importances) == pytest.approx(1.0)
     assert found.model.getNumTrees == found.params["numTrees"]
+
+
+def test_a_large_forest_is_fitted_in_parts(spark, frame, monkeypatch):
+    """Only a part is held by the driver as a model; together they hold all trees."""
+    monkeypatch.setattr(M, "_TREE_ROWS", 120 * 4, raising=False)
+    sizes, nodes_of, scored = [], forests.nodes_of, forests.scored
+    walked = []
+    monkeypatch.setattr(forests, "nodes_of", lambda model, s: sizes.append(model.getNumTrees) or nodes_of(model, s))
+    monkeypatch.setattr(forests, "scored", lambda rows, names, nodes, *more: walked.append(nodes) or scored(rows, names, nodes, *more))
+    found = M.rf_grid(frame, target="label", grid={"numTrees": (4, 10), "maxDepth": (3, 30), "minInstancesPerNode": (1,)})
+    assert sorted(sizes) == [2] * 3 + [4] * 6 and all(len(n.roots) == 10 for n in walked)
+    for nodes in walked:
+        inner = nodes.feature >= 0
+        tree = np.searchsorted(nodes.roots, np.arange(len(nodes.value)), side="right")
+        assert (tree[nodes.left[inner]] == tree[inner]).all() and (tree[nodes.right[inner]] == tree[inner]).all()
+    assert found.metrics.first().r2 > 0.5 and found.scores.count() == 4
