@@ -18,6 +18,8 @@ _HALF_TURN_KM = 20_100.0
 HOT_USERS = 50_000
 #: Users that descend the quad grid in one task; each meets some hundred cells on the way.
 DESCENT_USERS = 1_000
+#: So many cells at most, each with a list of the 64 or fewer inside it, go to every task; the globe has no more at their level.
+SENT_CELLS = 4_096
 # Without keys every home is its own key.
 _HOME = ("home_lat", "home_lon")
 
@@ -140,6 +142,9 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
 
     A row of ``users`` is short, but turns into hundreds here, so that tasks cut by bytes would get far too many.  They
     are dealt by their number, ``most`` where the caller knows that there are no more; else they are counted.
+    The upper levels have so few cells that all of them go to every task; a shuffle by cell would bring all users
+    to a few tasks.  Below, a cell comes with the list of those inside it, so that users are shuffled before
+    they multiply, and are dealt by their number again.
     """
     spot = places.filter("lat is not null and lon is not null")
     spot = nsmallest(spot, n, [F.col(place_id)], keys=["lat", "lon"])
@@ -153,24 +158,26 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
     counts = leaf.groupBy("_y", "_x").agg(F.count(F.lit(1)).alias("_n"))
     vectors = {**unit_vector("home_lat", "home_lon", "_u"), **unit_vector("home_lat", "home_lon", "_s", reduced=False)}
     homes = users.filter("home_lat is not null and home_lon is not null")
-    frontier = homes.repartition(-(-(homes.count() if most is None else most) // DESCENT_USERS) or 1, *keys).select(
+    tasks = -(-(homes.count() if most is None else most) // DESCENT_USERS) or 1
+    frontier = homes.repartition(tasks, *keys).select(
         "*", *[c.alias(name) for name, c in vectors.items()], F.expr("0L").alias("_y"), F.expr("0L").alias("_x")
     )
     carried = [*users.columns, *vectors]
-    by_user, parts = ", ".join(keys), 1 << stride
+    by_user = ", ".join(keys)
     for z in range(stride, depth + 1, stride):
         cells = counts.groupBy(F.expr(f"shiftright(_y, {depth - z}) as _y"), F.expr(f"shiftright(_x, {depth - z}) as _x")).agg(
             F.sum("_n").alias("_n")
         )
-        children = (
-            f"inline(transform(sequence(0, {parts * parts - 1}), c -> named_struct("
-            f"'_y', _y * {parts} + c div {parts}, '_x', _x * {parts} + c % {parts})))"
+        inside = cells.groupBy(F.expr(f"shiftright(_y, {stride}) as _y"), F.expr(f"shiftright(_x, {stride}) as _x")).agg(
+            F.collect_list(F.struct("_y", "_x", "_n")).alias("_inside")
         )
+        few = 4 ** (z - stride) <= SENT_CELLS
+        joined = frontier.select(*carried, "_y", "_x").join(F.broadcast(inside) if few else inside, ["_y", "_x"]).selectExpr(*carried, "inline(_inside)")
         height, width = 180.0 / (1 << z), 360.0 / (1 << z)
         lat, lon = f"((_y + 0.5D) * {height!r}D - 90)", f"((_x + 0.5D) * {width!r}D - 180)"
         # No point of a cell is farther from its centre than along the meridian, then the parallel.
         reach = f"{_MAX_DEGREE_KM / 2!r}D * ({height!r}D + {width!r}D * cos(radians(greatest(0D, abs({lat}) - {height / 2!r}D))))"
-        found = frontier.selectExpr(*carried, children).join(cells, ["_y", "_x"]).select(
+        found = (joined if few else joined.repartition(tasks, *keys)).select(
             *carried, "_y", "_x", "_n", F.expr(reach).alias("_reach"),
             *[c.alias(name) for name, c in unit_vector(lat, lon, "_m", reduced=False).items()],
         )
@@ -187,7 +194,7 @@ def nearest_places(users: DataFrame, places: DataFrame, n: int, *, keys: Sequenc
         )
     found = frontier.select(*carried, "_y", "_x").join(leaf, ["_y", "_x"])
     found = found.select(*users.columns, *places.columns, vector_distance_km("_u", "_v").alias("distance_km"))
-    return nsmallest(found, n, [F.col("distance_km"), F.col(place_id)], keys=keys)
+    return nsmallest(found.repartition(tasks, *keys), n, [F.col("distance_km"), F.col(place_id)], keys=keys)
 
 
 def radius_or_nearest(users: DataFrame, places: DataFrame, radius: Column, n: int, *, keys: Sequence[str] = (),

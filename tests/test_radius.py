@@ -174,3 +174,29 @@ def test_users_without_place_descend_in_tasks_by_the_number_of_users(spark, monk
     far = R.radius_or_nearest(u, p, F.lit(None).cast("double"), 3, keys=["user_id"])  # a null radius reaches nothing
     assert _tasks(far) >= 6 and far.count() == 240
     assert R._counted_grid(u, p, F.lit(None).cast("double"), ["user_id"], (5,), 9)[3] == 80
+
+
+def test_users_descend_without_a_shuffle_by_cell(spark, monkeypatch, tmp_path):
+    """Where joins aren't broadcast, all users met in the few cells of the upper levels, each with all cells inside."""
+    monkeypatch.setattr(R, "DESCENT_USERS", 10)
+    u, p = _frames(spark, _clouds(4, 80), _clouds(5, 60))
+    best = {}
+    for a, b, d in sorted(_all_pairs(spark, u, p), key=lambda x: (x[0], round(x[2], 6), x[1])):
+        best.setdefault(a, []).append(b)
+    for name, df in (("u", u), ("p", p)):
+        df.write.parquet(f"{tmp_path}/{name}")
+    u, p = spark.read.parquet(f"{tmp_path}/u"), spark.read.parquet(f"{tmp_path}/p")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        whole = R.nearest_places(u, p, 3, keys=["user_id"])
+        plan = whole._jdf.queryExecution().executedPlan().toString()
+        # Three levels have few cells (before, all five joins met by cell); the fourth and the places themselves are joined by a shuffle, then users are dealt again.
+        assert plan.count("SortMergeJoin [") == 2
+        assert _tasks(whole) >= 6
+        got = {a: set() for a in best}
+        for r in whole.collect():
+            got[r.user_id].add(r.place_id)
+        assert got == {a: set(b[:3]) for a, b in best.items()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
