@@ -26,8 +26,11 @@ _ODD_OTHER = re.compile("[\x85\xa0  -     　]")
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 _WORDS = re.compile(f"[^{WHITE}]+")
-# A letter, then ASCII punctuation without the apostrophe, which can start a contraction.
-_TAIL = re.compile(r"(.*[A-Za-zÀ-ÖØ-öø-ÿ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL)
+# ASCII punctuation without the apostrophe, which can start a contraction, and the letters that it may follow.
+_MARKS = "".join(x for x in map(chr, range(33, 127)) if not x.isalnum() and x != "'")
+_LETTERS = frozenset(x for x in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]) if x.isalpha())
+# The library's own pattern never cuts Latin letters with at most one space before them.
+_PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _WHITES = frozenset(["", *(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))])
 #: Parts encoded in one call.
 LINES = 4096
@@ -51,6 +54,14 @@ def odd_spaces(text: str) -> bool:
     return ends or any(x in text for x in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
 
 
+def without_marks(unit: str) -> tuple[str, ...]:
+    """A unit that ends in a letter and marks is cut between them."""
+    if unit[-1:].isalnum():
+        return (unit,)
+    word = unit.rstrip(_MARKS)
+    return (word, unit[len(word):]) if len(word) < len(unit) and word[-1:] in _LETTERS else (unit,)
+
+
 class UnitIds:
     """``encode`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -82,7 +93,7 @@ class UnitIds:
 
     def learn(self, needed: set[str]) -> None:
         cuts = {unit: self.cut(unit) for unit in needed}
-        new = [part for part in set(chain.from_iterable(cuts.values())) if part not in self.parts]
+        new = list(set(chain.from_iterable(cuts.values())).difference(self.parts))
         self.parts.update(zip(new, self.encoded(new)))
         for unit, cut in cuts.items():
             self.units[unit] = self.parts[cut[0]] if len(cut) == 1 else b"".join([self.parts[part] for part in cut])
@@ -106,11 +117,20 @@ class UnitIds:
     def _known(self, chunk: list[list[str] | bytes]) -> Iterator[bytes]:
         if len(self.units) > LIMIT or len(self.parts) > LIMIT:
             self.forget()
-        needed = set(chain.from_iterable(x for x in chunk if isinstance(x, list))).difference(self.units)
-        if needed:
-            self.learn(needed)
+        flat = list(chain.from_iterable(x for x in chunk if isinstance(x, list)))
+        found = list(map(self.units.get, flat))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            self.learn({flat[k] for k in missing})
+            for k in missing:
+                found[k] = self.units[flat[k]]
+        at = 0
         for x in chunk:
-            yield x if isinstance(x, bytes) else b"".join(map(self.units.__getitem__, x))
+            if isinstance(x, bytes):
+                yield x
+            else:
+                yield b"".join(found[at : at + len(x)])
+                at += len(x)
 
 
 class ByteLevelIds(UnitIds):
@@ -123,6 +143,16 @@ class ByteLevelIds(UnitIds):
 
     newline: int | None = None
 
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        #: The same vocabulary for words that need no cut: their pattern isn't searched again.
+        self.uncut, own = None, self.library.pre_tokenizer
+        if isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space and self.library.normalizer is None:
+            self.uncut = Tokenizer.from_file(path)
+            self.uncut.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
     def split(self, text):
         if odd_spaces(text):
             return ["\0" + run for run in _RUNS.findall(text)]
@@ -137,30 +167,49 @@ class ByteLevelIds(UnitIds):
             return ("\n", *self.cut("\0" + unit[1:]))
         else:
             unit = " " + unit
-        tail = None if unit[-1:].isalnum() else _TAIL.fullmatch(unit)
-        return tail.groups() if tail else (unit,)
+        return without_marks(unit)
 
     def encoded(self, parts):
-        """Parts that end in a visible character are encoded as lines of one text: a newline between them is a unit of
-        its own there, with one id that no such part has."""
+        """Parts that end in a visible character are encoded together with a newline between them, which is a unit of
+        its own there, with one id that no such part has.  Latin words are a list, others lines of one text."""
         if self.newline is None:
             ids = self.library.encode("\n", add_special_tokens=False).ids
             self.newline = ids[0] if len(ids) == 1 else -1
+
+        def listed(some: list[str]):
+            both = ["\n"] * (2 * len(some) - 1)
+            both[::2] = some
+            return self.uncut.encode_batch_fast([both], is_pretokenized=True, add_special_tokens=False)
+
+        def lines(some: list[str]):
+            return self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+
         # A part is white space only, or ends in a visible character.
-        plain = [self.newline >= 0 and part[-1:] not in _WHITES and "\0" not in part for part in parts]
-        lines = [part for part, fits in zip(parts, plain) if fits]
-        rest = iter(super().encoded([part for part, fits in zip(parts, plain) if not fits]))
+        latin, plain, rest = [], [], []
+        for part in parts:
+            if self.newline >= 0 and self.uncut is not None and _PLAIN.fullmatch(part):
+                latin.append(part)
+            elif self.newline >= 0 and part[-1:] not in _WHITES and "\0" not in part:
+                plain.append(part)
+            else:
+                rest.append(part)
+        known = dict(zip(rest, super().encoded(rest)))
+        known.update(zip(latin, self._between(latin, listed)))
+        known.update(zip(plain, self._between(plain, lines)))
+        return [known[part] for part in parts]
+
+    def _between(self, parts: list[str], together) -> list[bytes]:
+        """Ids of each part from those of many, with a newline's id between them."""
         found: list[bytes] = []
-        for k in range(0, len(lines), LINES):
-            some = lines[k : k + LINES]
-            ids = np.array(self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        for k in range(0, len(parts), LINES):
+            some = parts[k : k + LINES]
+            ids = np.array(together(some)[0].ids, "<u4")
             ends = np.flatnonzero(ids == self.newline)
             if len(ends) != len(some) - 1:
                 raise ValueError("a newline isn't a unit of its own in this vocabulary")
             raw, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
             found += [raw[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:])]
-        known = iter(found)
-        return [next(known) if fits else next(rest) for fits in plain]
+        return found
 
 
 class WordIds(UnitIds):
@@ -171,8 +220,7 @@ class WordIds(UnitIds):
 
     def cut(self, unit):
         unit = unit.lower() if unit.isascii() else unit
-        tail = None if unit[-1:].isalnum() else _TAIL.fullmatch(unit)
-        return tail.groups() if tail else (unit,)
+        return without_marks(unit)
 
 
 _MADE: dict[tuple[type, str], UnitIds] = {}
