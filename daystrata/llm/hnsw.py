@@ -29,6 +29,8 @@ FIRST_BEAM = 32
 LAST_BEAM = 256
 #: A beam pays while so many rows for each of its places are fewer than the shard has.
 PLACE_ROWS = 16
+#: A step of a search opens one waiting row for so many places of the beam, at least four.
+OPENED_PLACES = 16
 #: Queries of a call that are audited, and at least this share of them.
 AUDITED, AUDITED_SHARE = 64, 1 / 64
 #: The audit looks for so many nearest rows of a query, links or not, and this share of them must be found.
@@ -159,7 +161,7 @@ class Graph:
         return np.concatenate(parts) if parts else np.zeros((0, width), np.int64)
 
     def _search(self, queries: np.ndarray, width: int, level: int, own: np.ndarray) -> np.ndarray:
-        b, near_of, open_many = len(queries), self.near[level], 4
+        b, near_of, open_many = len(queries), self.near[level], max(4, width // OPENED_PLACES)
         rows = np.arange(b)
         ids = np.full((b, width), -1, np.int64)
         near = np.full((b, width), -np.inf, np.float32)

@@ -444,3 +444,15 @@ def test_token_counts_delete_copies_without_id(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
     found = {(r["lang"], r["version"]): r["docs"] for r in queries.op4_delta_token_counts(spark, str(tmp_path)).collect() if r["docs"]}
     assert found == {(lang, "byte_bpe_50k_end"): 1 for lang in ("en", "de", "fr", None)}
+
+
+def test_wide_beams_take_fewer_steps(monkeypatch):
+    """Each step merges the whole beam, so four rows a step made the cost of a beam grow with the square of its width."""
+    rng = np.random.default_rng(8)
+    v = hnsw.unit(rng.normal(size=(2000, 24))).astype(np.float32)
+    graph, steps, unique = hnsw.Graph(v), [], hnsw._unique_rows
+    monkeypatch.setattr(hnsw, "_unique_rows", lambda ids: steps.append(1) or unique(ids))
+    beam = graph.search(v[:100], 256)
+    assert len(steps) < 256 / 4
+    near = np.argsort(-(v[:100] @ v.T), axis=1, kind="stable")[:, :10]
+    assert np.mean([np.isin(a, b).mean() for a, b in zip(near, beam)]) >= 0.99
