@@ -8,14 +8,17 @@ the string of an added token goes to the library whole.
 
 from __future__ import annotations
 
+import codecs
 import os
 import re
 import sys
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from daystrata.llm import common
 
@@ -31,11 +34,26 @@ _MARKS = "".join(x for x in map(chr, range(33, 127)) if not x.isalnum() and x !=
 _LETTERS = frozenset(x for x in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]) if x.isalpha())
 # The library's own pattern never cuts Latin letters with at most one space before them.
 _PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
+# The same texts as ``odd_spaces`` finds.
+_ODD_TEXT = r"^[ \n]|[ \n]$|[ \n]{2}|[\x00\t\x0b-\r" + _ODD_OTHER.pattern[1:]
+_IS_MARK, _IS_LETTER, _IS_LATIN1 = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_IS_MARK[[ord(x) for x in _MARKS]] = True
+_IS_LETTER[[ord(x) for x in _LETTERS if x.isascii()]] = True
+_IS_LATIN1[[x.encode()[1] for x in _LETTERS if not x.isascii()]] = True  # second bytes, after C3
+# No text in UTF-8 has the byte FF, so it can stand between words.
+_BETWEEN = "\xff"
+# Characters of byte-level vocabularies for the 256 bytes; a newline becomes the mark between words.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = "".join(_BETWEEN if b == 10 else chr(b) if b in _VISIBLE else chr(256 + b - sum(x < b for x in _VISIBLE)) for b in range(256))
 _WHITES = frozenset(["", *(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)))])
 #: Parts encoded in one call.
 LINES = 4096
+#: Latin words merged as one, longer than what the library itself remembers.
+JOINED = 64
 #: Characters encoded together; bounds what is held at once beside the memory of units.
 CHUNK = 1_000_000
+#: Bytes of texts whose distinct units are looked up together.
+BATCH = 4_000_000
 #: Units remembered per worker, about 300 MB of typical ones; at the limit the memory starts anew.
 LIMIT = 1_200_000
 
@@ -71,22 +89,215 @@ class UnitIds:
 
         self.library = Tokenizer.from_file(path)
         self.added = [token.content for token in self.library.get_added_tokens_decoder().values()]
-        self.parts: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.forget()
 
-    def split(self, text: str) -> list[str]:
+    def forget(self) -> None:
         raise NotImplementedError
 
-    def cut(self, unit: str) -> tuple[str, ...]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """A null text is an empty one."""
         raise NotImplementedError
 
-    def forget(self) -> None:
-        self.units.clear()
-        self.parts.clear()
-
     def whole(self, text: str) -> bytes:
         return packed(self.library.encode(text, add_special_tokens=False).ids)
 
+
+def _strings(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, ends of the texts in them with 0 in front) of an array without nulls."""
+    _, ends, data = texts.buffers()
+    if not len(texts) or data is None:
+        return np.zeros(0, np.uint8), np.zeros(len(texts) + 1, np.int64)
+    ends = np.frombuffer(ends, np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _between_cuts(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The pieces of the data as strings, without a copy of it."""
+    return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+
+
+class ByteLevelIds(UnitIds):
+    """Byte-level vocabulary: a unit is a word with the one space before it, a row of marks after a letter with what
+    follows up to the next cut, or a run of white space.
+
+    A batch of texts is cut where its bytes say so, its distinct units are looked up, and their ids, which are kept in
+    one array, are gathered for all texts at once.
+    """
+
+    newline: int | None = None
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        #: The merges alone, for words that need no cut, with the id that stands between them.
+        self.merges, self.between, own, model = None, -1, self.library.pre_tokenizer, self.library.model
+        searched = isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space and self.library.normalizer is None
+        if searched and isinstance(model, models.BPE) and not any(
+            (model.dropout, model.unk_token, model.continuing_subword_prefix, model.end_of_word_suffix, model.ignore_merges)
+        ):
+            # Without another entry that has the mark no merge reaches over it.
+            vocabulary = self.library.get_vocab()
+            if [x for x in vocabulary if _BETWEEN in x] == [_BETWEEN] and vocabulary.keys() >= set(_ALPHABET):
+                self.merges, self.between = Tokenizer(model), vocabulary[_BETWEEN]
+
+    def forget(self) -> None:
+        self.units: dict[str, int] = {}
+        self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
+
+    def encode(self, texts):
+        def chunks():
+            some, held = [], 0
+            for text in texts:
+                some.append(text)
+                held += len(text or "")
+                if held >= CHUNK:
+                    yield some
+                    some, held = [], 0
+            yield some
+
+        for some in chunks():
+            for ids, lengths in self.batches(pa.array(some, pa.string())):
+                raw, ends = ids.tobytes(), [0, *np.cumsum(lengths).tolist()]
+                yield from (raw[4 * a : 4 * b] for a, b in zip(ends, ends[1:]))
+
+    def batches(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids of some texts in a row, number of ids of each), for one batch of texts after the other."""
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+        ends, first = np.cumsum(sizes, dtype=np.int64), 0
+        while first < len(texts):
+            last = int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BATCH)) + 1
+            yield self._batch(pc.fill_null(texts.slice(first, last - first).cast(pa.string()), ""))
+            first = last
+
+    def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.units) > LIMIT or len(self.ids) > 8 * LIMIT:
+            self.forget()
+        # Texts with other white space or added tokens stand aside; their runs come last and then go to their place.
+        added = np.zeros(len(texts), bool)
+        for content in self.added:
+            added |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        aside = added | pc.match_substring_regex(texts, _ODD_TEXT).to_numpy(zero_copy_only=False)
+        runs, numbers = [], np.zeros(len(texts), np.int64)
+        for k in np.flatnonzero(aside & ~added).tolist():
+            found = _RUNS.findall(texts[k].as_py())
+            runs += found
+            numbers[k] = len(found)
+        data, ends = _strings(pc.if_else(pa.array(aside), "", texts) if aside.any() else texts)
+        cuts = self._cuts(data, ends, True)
+        units = _between_cuts(data, cuts)
+        if runs:
+            odd, run_ends = _strings(pa.array(runs, pa.string()))
+            odd_cuts = self._cuts(odd, run_ends, False)
+            numbers = np.diff(np.searchsorted(odd_cuts, run_ends[np.cumsum(numbers)]), prepend=0)
+            units = pa.concat_arrays([units, _between_cuts(odd, odd_cuts)])
+        coded = units.dictionary_encode()
+        numbered = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        edges = np.searchsorted(cuts[:-1], ends)
+        if aside.any():
+            ordinary, odd = np.split(numbered, [len(cuts) - 1])
+            whole = np.flatnonzero(added)
+            if len(whole):
+                # Not remembered by their text, only for this batch.
+                made = [np.frombuffer(self.whole(texts[k].as_py()), "<u4") for k in whole.tolist()]
+                odd = np.insert(odd, (np.cumsum(numbers) - numbers)[whole], self._keep(np.concatenate(made), np.array([len(x) for x in made])))
+                numbers[whole] = 1
+            numbered = np.insert(ordinary, np.repeat(edges[:-1], numbers), odd)
+            edges = edges + np.concatenate(([0], np.cumsum(numbers)))
+        n = self.lengths[numbered]
+        after = np.concatenate(([0], np.cumsum(n)))
+        places = np.repeat(self.starts[numbered] - after[:-1], n)
+        places += np.arange(after[-1])
+        return self.ids[places], np.diff(after[edges])
+
+    @staticmethod
+    def _cuts(data: np.ndarray, ends: np.ndarray, spaces: bool) -> np.ndarray:
+        """Where units begin, and the end of the data: at the given places, at marks after a letter, and if asked at
+        spaces, newlines and behind newlines."""
+        cut, marks = np.zeros(len(data) + 1, bool), np.flatnonzero(_IS_MARK[data])
+        if spaces:
+            newline = data == 10
+            cut[:-1] = (data == 32) | newline
+            cut[1:] |= newline
+        cut[ends] = True
+        marks = marks[marks > 0]
+        last = data[marks - 1]
+        cut[marks[_IS_LETTER[last] | (_IS_LATIN1[last] & (data[marks - 2] == 0xC3))]] = True
+        return np.flatnonzero(cut)
+
+    def _known(self, units: list[str]) -> np.ndarray:
+        """Numbers of distinct units."""
+        found = np.array(list(map(self.units.get, units, repeat(-1))), np.int64)
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [units[k] for k in unknown.tolist()]
+            self.learn(new)
+            found[unknown] = list(map(self.units.__getitem__, new))
+        return found
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers for sequences of the given lengths, that come in a row."""
+        first, starts = len(self.starts), len(self.ids) + np.cumsum(lengths) - lengths
+        self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, ids))
+        return np.arange(first, len(self.starts))
+
+    def learn(self, units: list[str]) -> None:
+        """Units that end in a visible character are encoded together with something between them that has one id of its
+        own there, which no such unit has: a newline, or for Latin words, that go to the merges at once, another byte."""
+        if self.newline is None:
+            ids = self.library.encode("\n", add_special_tokens=False).ids
+            self.newline = ids[0] if len(ids) == 1 else -1
+
+        def joined(some: list[str]):
+            lines = ("\n".join(some[k : k + JOINED]).encode() for k in range(0, len(some), JOINED))
+            return self.merges.encode_batch_fast([codecs.charmap_decode(x, "strict", _ALPHABET)[0] for x in lines], add_special_tokens=False)
+
+        def lines(some: list[str]):
+            return self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
+
+        latin, plain, rest = [], [], []
+        for unit in units:
+            if self.merges is not None and _PLAIN.fullmatch(unit):
+                latin.append(unit)
+            elif self.newline >= 0 and unit[-1:] not in _WHITES and "\0" not in unit:
+                plain.append(unit)
+            else:
+                rest.append(unit)
+        alone = [found.ids for found in self.library.encode_batch_fast(rest, add_special_tokens=False)] if rest else []
+        known = [(np.array([*chain.from_iterable(alone)], "<u4"), np.array([len(x) for x in alone], np.int64))]
+        known += [self._between(latin, joined, self.between), self._between(plain, lines, self.newline)]
+        numbers = self._keep(*map(np.concatenate, zip(*known)))
+        self.units.update(zip(chain(rest, latin, plain), numbers.tolist()))
+
+    def _between(self, units: list[str], together, mark: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units in a row, number of each) from encodings of many units with a mark's id between them."""
+        found, lengths = [np.zeros(0, "<u4")], [np.zeros(0, np.int64)]
+        for k in range(0, len(units), LINES):
+            some = units[k : k + LINES]
+            ids = np.array([*chain.from_iterable((*x.ids, mark) for x in together(some))], "<u4")
+            ends = np.flatnonzero(ids == mark)
+            if len(ends) != len(some):
+                raise ValueError("the mark between units isn't one of its own in this vocabulary")
+            found.append(ids[ids != mark])
+            lengths.append(np.diff(ends, prepend=-1) - 1)
+        return np.concatenate(found), np.concatenate(lengths)
+
+
+class WordIds(UnitIds):
+    """Word vocabulary: white space is dropped, so a unit is a word; ASCII words are in lower case."""
+
+    def forget(self) -> None:
+        self.parts: dict[str, bytes] = {}
+        self.units: dict[str, bytes] = {}
+
+    def split(self, text: str) -> list[str]:
+        return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
+
+    def cut(self, unit: str) -> tuple[str, ...]:
+        unit = unit.lower() if unit.isascii() else unit
+        return without_marks(unit)
+
     def encoded(self, parts: list[str]) -> Iterable[bytes]:
         """Ids of each part."""
         return (packed(found.ids) for found in self.library.encode_batch_fast(parts, add_special_tokens=False))
@@ -99,7 +310,6 @@ class UnitIds:
             self.units[unit] = self.parts[cut[0]] if len(cut) == 1 else b"".join([self.parts[part] for part in cut])
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """A null text is an empty one."""
         chunk: list[list[str] | bytes] = []
         held = 0
         for text in texts:
@@ -133,96 +343,6 @@ class UnitIds:
                 at += len(x)
 
 
-class ByteLevelIds(UnitIds):
-    """Byte-level vocabulary: a unit is a word with the one space before it, or a run of white space.
-
-    Where all white space is one space or newline between words, the unit's space stays unwritten: the key
-    of a later word is the word, that of a word after a newline begins with it, and the first word has a
-    mark in front, as it has no space.
-    """
-
-    newline: int | None = None
-
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        #: The same vocabulary for words that need no cut: their pattern isn't searched again.
-        self.uncut, own = None, self.library.pre_tokenizer
-        if isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space and self.library.normalizer is None:
-            self.uncut = Tokenizer.from_file(path)
-            self.uncut.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def split(self, text):
-        if odd_spaces(text):
-            return ["\0" + run for run in _RUNS.findall(text)]
-        words = text.replace("\n", " \n").split(" ")
-        words[0] = "\0" + words[0]
-        return words
-
-    def cut(self, unit):
-        if unit[:1] == "\0":
-            unit = unit[1:]
-        elif unit[:1] == "\n":
-            return ("\n", *self.cut("\0" + unit[1:]))
-        else:
-            unit = " " + unit
-        return without_marks(unit)
-
-    def encoded(self, parts):
-        """Parts that end in a visible character are encoded together with a newline between them, which is a unit of
-        its own there, with one id that no such part has.  Latin words are a list, others lines of one text."""
-        if self.newline is None:
-            ids = self.library.encode("\n", add_special_tokens=False).ids
-            self.newline = ids[0] if len(ids) == 1 else -1
-
-        def listed(some: list[str]):
-            both = ["\n"] * (2 * len(some) - 1)
-            both[::2] = some
-            return self.uncut.encode_batch_fast([both], is_pretokenized=True, add_special_tokens=False)
-
-        def lines(some: list[str]):
-            return self.library.encode_batch_fast(["\n".join(some)], add_special_tokens=False)
-
-        # A part is white space only, or ends in a visible character.
-        latin, plain, rest = [], [], []
-        for part in parts:
-            if self.newline >= 0 and self.uncut is not None and _PLAIN.fullmatch(part):
-                latin.append(part)
-            elif self.newline >= 0 and part[-1:] not in _WHITES and "\0" not in part:
-                plain.append(part)
-            else:
-                rest.append(part)
-        known = dict(zip(rest, super().encoded(rest)))
-        known.update(zip(latin, self._between(latin, listed)))
-        known.update(zip(plain, self._between(plain, lines)))
-        return [known[part] for part in parts]
-
-    def _between(self, parts: list[str], together) -> list[bytes]:
-        """Ids of each part from those of many, with a newline's id between them."""
-        found: list[bytes] = []
-        for k in range(0, len(parts), LINES):
-            some = parts[k : k + LINES]
-            ids = np.array(together(some)[0].ids, "<u4")
-            ends = np.flatnonzero(ids == self.newline)
-            if len(ends) != len(some) - 1:
-                raise ValueError("a newline isn't a unit of its own in this vocabulary")
-            raw, edges = ids.tobytes(), [-1, *ends.tolist(), len(ids)]
-            found += [raw[4 * a + 4 : 4 * b] for a, b in zip(edges, edges[1:])]
-        return found
-
-
-class WordIds(UnitIds):
-    """Word vocabulary: white space is dropped, so a unit is a word; ASCII words are in lower case."""
-
-    def split(self, text):
-        return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
-
-    def cut(self, unit):
-        unit = unit.lower() if unit.isascii() else unit
-        return without_marks(unit)
-
-
 _MADE: dict[tuple[type, str], UnitIds] = {}
 
 

@@ -196,7 +196,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     from tokenizers import Tokenizer
 
     bits = max(end_id, Tokenizer.from_file(tokenizer).get_vocab_size() - 1, 1).bit_length()
-    end = np.array([end_id], "<u4").tobytes()
 
     def shards(batches):
         from pyspark import TaskContext
@@ -205,24 +204,42 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         number = first = held = 0
         names, lengths, pieces = [], [], []
 
+        def add(some: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+            nonlocal held
+            names.extend(some)
+            lengths.extend(sizes.tolist())
+            pieces.append(ids)
+            held += len(ids)
+
         def close():
-            ids = np.frombuffer(b"".join(pieces), "<u4")
-            return pa.RecordBatch.from_pydict({
+            nonlocal number, first, held
+            ids = np.concatenate(pieces)
+            made = pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "shard": pa.array([number], pa.int32()), "n_docs": [len(names)],
-                "n_tokens": [len(ids)], "first_token": [first], "image": pa.array([to_image(names, lengths, ids, bits)], pa.binary()),
+                "n_tokens": [held], "first_token": [first], "image": pa.array([to_image(names, lengths, ids, bits)], pa.binary()),
             })
+            number, first, held = number + 1, first + held, 0
+            for x in (names, lengths, pieces):
+                x.clear()
+            return made
 
         for batch in batches:
-            texts = batch.column(1)
-            for name, ids in zip(batch.column(0).to_pylist(), encoder.encode(t.as_py() for t in texts)):
-                names.append(name)
-                lengths.append(len(ids) // 4 + 1)
-                pieces += (ids, end)
-                held += lengths[-1]
-                if held >= shard_tokens:
-                    yield close()
-                    number, first, held = number + 1, first + held, 0
-                    names, lengths, pieces = [], [], []
+            ids_of, at = batch.column(0).to_pylist(), 0
+            for found, n in encoder.batches(batch.column(1)):
+                # The end id goes behind the ids of each document.
+                ends = np.cumsum(n + 1)
+                ids, own = np.full(len(found) + len(n), end_id, "<u4"), np.ones(len(found) + len(n), bool)
+                own[ends - 1] = False
+                ids[own] = found
+                doc = token = 0
+                while doc < len(n):
+                    closing = int(np.searchsorted(ends, token + max(1, shard_tokens - held)))
+                    last = min(closing + 1, len(n))
+                    add(ids_of[at + doc : at + last], n[doc:last] + 1, ids[token : ends[last - 1]])
+                    doc, token = last, int(ends[last - 1])
+                    if closing < len(n):
+                        yield close()
+                at += len(n)
         if names:
             yield close()
 

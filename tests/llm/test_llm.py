@@ -7,6 +7,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,6 +75,76 @@ def test_latin_words_skip_the_pattern():
     assert set(searched) - {""} == {" qu'il", " abc123", " \u65e5\u672c", " abc\u0301", ",", "!!!", "."}
 
 
+def test_units_of_a_batch_are_looked_up_once(monkeypatch):
+    """A look-up for every word took most of the time; only the distinct units of a batch are looked up, without their marks."""
+    own, asked = units.ByteLevelIds(BYTES), []
+    known = own._known
+    monkeypatch.setattr(own, "_known", lambda some: asked.extend(some) or known(some))
+    texts = ["one two, one\ntwo, one two!!!", None, "one  two,\tone", "caf\u00e9, \u00d7. one", "", "a <|endoftext|> b", "one two, one two!!!"]
+    (ids, lengths), = own.batches(pa.array(texts))
+    want = [np.frombuffer(own.whole(t or ""), "<u4").tolist() for t in texts]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lengths))[:-1]] == want and own.merges is not None
+    assert sorted(asked) == sorted({"one", " two", ",", " one", "\n", "two", "!!!", " ", "\t", "caf\u00e9", " \u00d7."})
+
+
+def test_units_in_small_batches_and_forgotten(monkeypatch):
+    """Batches of any size, a sliced array of large strings and a memory that starts anew give the library's ids."""
+    from tokenizers import Tokenizer
+
+    texts = random_texts() + ODD + random_texts(50) + ["".join(random.choice("aBc\u00e9\u00d7 ,-'.\n1") for _ in range(40)) for _ in range(300)]
+    expected = [e.ids for e in Tokenizer.from_file(BYTES).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for batch, limit, kind in ((1, 1_000_000, pa.string()), (700, 40, pa.large_string()), (10**6, 0, pa.string())):
+        monkeypatch.setattr(units, "BATCH", batch)
+        monkeypatch.setattr(units, "LIMIT", limit)
+        own, found = units.ByteLevelIds(BYTES), []
+        for _ in range(2):
+            for ids, lengths in own.batches(pa.array(["before", *texts], kind).slice(1)):
+                found += [x.tolist() for x in np.split(ids, np.cumsum(lengths))[:-1]]
+        assert found == expected * 2
+    odd = pc.match_substring_regex(pa.array([t or "" for t in texts]), units._ODD_TEXT).to_pylist()
+    assert odd == [units.odd_spaces(t or "") for t in texts]
+
+
+def test_vocabulary_with_merges_over_the_mark(tmp_path):
+    """Where another entry holds the character between joined words, or words are taken whole, words go to the library."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    for change in ("entry", "whole"):
+        made = json.loads(Tokenizer.from_file(BYTES).to_str())
+        if change == "entry":
+            made["model"]["vocab"]["t\u00ff"] = 60000
+            made["model"]["merges"].append(["t", "\u00ff"])
+        else:
+            made["model"]["ignore_merges"] = True
+        (tmp_path / change).write_text(json.dumps(made))
+        own, text = units.ByteLevelIds(str(tmp_path / change)), "ninht blight, stra\u00dfe caf\u00e9"
+        assert own.merges is None and list(own.encode([text])) == [own.whole(text)]
+
+
+def test_shards_close_with_their_document(spark):
+    """Shards end where the tokens of whole documents reach the limit, also within and across batches."""
+    rows = [(i, "a " * (i % 5)) for i in range(40)]
+    own = units.ByteLevelIds(BYTES)
+    sizes = [len(own.whole(t)) // 4 + 1 for _, t in rows]
+    want, held = [], 0
+    for k in sizes:
+        held += k
+        if held >= 7:
+            want, held = want + [held], 0
+    want += [held] * (held > 0)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        for limit, sums in ((7, want), (0, sizes)):
+            path = session.new_folder(spark, "t")
+            wavelet.write_token_files(spark.createDataFrame(rows, "doc_id bigint, text string"), path, BYTES, shard_tokens=limit, files=1)
+            files = wavelet.token_files(spark, path).orderBy("shard").collect()
+            assert [f["n_tokens"] for f in files] == sums and [f["first_token"] for f in files] == [sum(sums[:k]) for k in range(len(sums))]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_wavelet_matrix():
     random.seed(2)
     ids = np.array([random.choice([0, 3, 7, 50256]) for _ in range(3000)] + [random.randrange(50257) for _ in range(1500)])
