@@ -26,9 +26,7 @@ from daystrata.llm import common
 WHITE = "\t-\r \x85\xa0  -     　"
 _ODD_ASCII = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
 _ODD_OTHER = re.compile("[\x85\xa0  -     　]")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
 _RUNS = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-_WORDS = re.compile(f"[^{WHITE}]+")
 # ASCII punctuation without the apostrophe, which can start a contraction, and the letters that it may follow.
 _MARKS = "".join(x for x in map(chr, range(33, 127)) if not x.isalnum() and x != "'")
 _LETTERS = frozenset(x for x in map(chr, [*range(65, 91), *range(97, 123), *range(0xC0, 0x100)]) if x.isalpha())
@@ -37,6 +35,7 @@ _PLAIN = re.compile(" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 # The same texts as ``odd_spaces`` finds.
 _ODD_TEXT = r"^[ \n]|[ \n]$|[ \n]{2}|[\x00\t\x0b-\r" + _ODD_OTHER.pattern[1:]
 _IS_MARK, _IS_LETTER, _IS_LATIN1 = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_IS_WHITE = np.isin(np.arange(256), [*range(9, 14), 32])
 _IS_MARK[[ord(x) for x in _MARKS]] = True
 _IS_LETTER[[ord(x) for x in _LETTERS if x.isascii()]] = True
 _IS_LATIN1[[x.encode()[1] for x in _LETTERS if not x.isascii()]] = True  # second bytes, after C3
@@ -54,7 +53,7 @@ JOINED = 64
 CHUNK = 1_000_000
 #: Bytes of texts whose distinct units are looked up together.
 BATCH = 4_000_000
-#: Units remembered per worker, about 300 MB of typical ones; at the limit the memory starts anew.
+#: Units remembered per worker, about 200 MB of typical ones; at the limit the memory starts anew.
 LIMIT = 1_200_000
 
 
@@ -72,14 +71,6 @@ def odd_spaces(text: str) -> bool:
     return ends or any(x in text for x in _ODD_ASCII) or (not text.isascii() and _ODD_OTHER.search(text) is not None)
 
 
-def without_marks(unit: str) -> tuple[str, ...]:
-    """A unit that ends in a letter and marks is cut between them."""
-    if unit[-1:].isalnum():
-        return (unit,)
-    word = unit.rstrip(_MARKS)
-    return (word, unit[len(word):]) if len(word) < len(unit) and word[-1:] in _LETTERS else (unit,)
-
-
 class UnitIds:
     """``encode`` gives the ids of each text as little-endian unsigned 32-bit integers."""
 
@@ -116,31 +107,18 @@ def _between_cuts(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
 
 
-class ByteLevelIds(UnitIds):
-    """Byte-level vocabulary: a unit is a word with the one space before it, a row of marks after a letter with what
-    follows up to the next cut, or a run of white space.
+def _marks_after_letters(data: np.ndarray) -> np.ndarray:
+    marks = np.flatnonzero(_IS_MARK[data])
+    marks = marks[marks > 0]
+    last = data[marks - 1]
+    return marks[_IS_LETTER[last] | (_IS_LATIN1[last] & (data[marks - 2] == 0xC3))]
+
 
-    A batch of texts is cut where its bytes say so, its distinct units are looked up, and their ids, which are kept in
+class GatheredIds(UnitIds):
+    """A batch of texts is cut where its bytes say so, its distinct units are looked up, and their ids, which are kept in
     one array, are gathered for all texts at once.
     """
 
-    newline: int | None = None
-
-    def __init__(self, path: str) -> None:
-        super().__init__(path)
-        from tokenizers import Tokenizer, models, pre_tokenizers
-
-        #: The merges alone, for words that need no cut, with the id that stands between them.
-        self.merges, self.between, own, model = None, -1, self.library.pre_tokenizer, self.library.model
-        searched = isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space and self.library.normalizer is None
-        if searched and isinstance(model, models.BPE) and not any(
-            (model.dropout, model.unk_token, model.continuing_subword_prefix, model.end_of_word_suffix, model.ignore_merges)
-        ):
-            # Without another entry that has the mark no merge reaches over it.
-            vocabulary = self.library.get_vocab()
-            if [x for x in vocabulary if _BETWEEN in x] == [_BETWEEN] and vocabulary.keys() >= set(_ALPHABET):
-                self.merges, self.between = Tokenizer(model), vocabulary[_BETWEEN]
-
     def forget(self) -> None:
         self.units: dict[str, int] = {}
         self.starts, self.lengths, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4")
@@ -170,13 +148,81 @@ class ByteLevelIds(UnitIds):
             yield self._batch(pc.fill_null(texts.slice(first, last - first).cast(pa.string()), ""))
             first = last
 
+    def learn(self, units: list[str]) -> None:
+        """Remembers distinct units."""
+        raise NotImplementedError
+
     def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.units) > LIMIT or len(self.ids) > 8 * LIMIT:
-            self.forget()
-        # Texts with other white space or added tokens stand aside; their runs come last and then go to their place.
+        """(ids of the texts in a row, number of ids of each)."""
+        raise NotImplementedError
+
+    def _added(self, texts: pa.Array) -> np.ndarray:
+        """Which texts hold the string of an added token."""
         added = np.zeros(len(texts), bool)
         for content in self.added:
             added |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        return added
+
+    def _full(self) -> bool:
+        return len(self.units) > LIMIT or len(self.ids) > 8 * LIMIT
+
+    def _wholes(self, texts: pa.Array, which: np.ndarray) -> np.ndarray:
+        """Numbers of some texts' ids.  They aren't remembered by their text, only for this batch."""
+        made = [np.frombuffer(self.whole(texts[k].as_py()), "<u4") for k in which.tolist()]
+        return self._keep(np.concatenate(made), np.array([len(x) for x in made]))
+
+    def _gathered(self, numbered: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of numbered units, and how many lie between the edges."""
+        n = self.lengths[numbered]
+        after = np.concatenate(([0], np.cumsum(n)))
+        places = np.repeat(self.starts[numbered] - after[:-1], n)
+        places += np.arange(after[-1])
+        return self.ids[places], np.diff(after[edges])
+
+    def _known(self, units: list[str]) -> np.ndarray:
+        """Numbers of units."""
+        found = np.array(list(map(self.units.get, units, repeat(-1))), np.int64)
+        unknown = np.flatnonzero(found < 0)
+        if len(unknown):
+            new = [units[k] for k in unknown.tolist()]
+            self.learn(list(dict.fromkeys(new)))
+            found[unknown] = list(map(self.units.__getitem__, new))
+        return found
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Numbers for sequences of the given lengths, that come in a row."""
+        first, starts = len(self.starts), len(self.ids) + np.cumsum(lengths) - lengths
+        self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, lengths))
+        self.ids = np.concatenate((self.ids, ids))
+        return np.arange(first, len(self.starts))
+
+
+class ByteLevelIds(GatheredIds):
+    """Byte-level vocabulary: a unit is a word with the one space before it, a row of marks after a letter with what
+    follows up to the next cut, or a run of white space."""
+
+    newline: int | None = None
+
+    def __init__(self, path: str) -> None:
+        super().__init__(path)
+        from tokenizers import Tokenizer, models, pre_tokenizers
+
+        #: The merges alone, for words that need no cut, with the id that stands between them.
+        self.merges, self.between, own, model = None, -1, self.library.pre_tokenizer, self.library.model
+        searched = isinstance(own, pre_tokenizers.ByteLevel) and own.use_regex and not own.add_prefix_space and self.library.normalizer is None
+        if searched and isinstance(model, models.BPE) and not any(
+            (model.dropout, model.unk_token, model.continuing_subword_prefix, model.end_of_word_suffix, model.ignore_merges)
+        ):
+            # Without another entry that has the mark no merge reaches over it.
+            vocabulary = self.library.get_vocab()
+            if [x for x in vocabulary if _BETWEEN in x] == [_BETWEEN] and vocabulary.keys() >= set(_ALPHABET):
+                self.merges, self.between = Tokenizer(model), vocabulary[_BETWEEN]
+
+    def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if self._full():
+            self.forget()
+        # Texts with other white space or added tokens stand aside; their runs come last and then go to their place.
+        added = self._added(texts)
         aside = added | pc.match_substring_regex(texts, _ODD_TEXT).to_numpy(zero_copy_only=False)
         runs, numbers = [], np.zeros(len(texts), np.int64)
         for k in np.flatnonzero(aside & ~added).tolist():
@@ -198,50 +244,25 @@ class ByteLevelIds(UnitIds):
             ordinary, odd = np.split(numbered, [len(cuts) - 1])
             whole = np.flatnonzero(added)
             if len(whole):
-                # Not remembered by their text, only for this batch.
-                made = [np.frombuffer(self.whole(texts[k].as_py()), "<u4") for k in whole.tolist()]
-                odd = np.insert(odd, (np.cumsum(numbers) - numbers)[whole], self._keep(np.concatenate(made), np.array([len(x) for x in made])))
+                odd = np.insert(odd, (np.cumsum(numbers) - numbers)[whole], self._wholes(texts, whole))
                 numbers[whole] = 1
             numbered = np.insert(ordinary, np.repeat(edges[:-1], numbers), odd)
             edges = edges + np.concatenate(([0], np.cumsum(numbers)))
-        n = self.lengths[numbered]
-        after = np.concatenate(([0], np.cumsum(n)))
-        places = np.repeat(self.starts[numbered] - after[:-1], n)
-        places += np.arange(after[-1])
-        return self.ids[places], np.diff(after[edges])
+        return self._gathered(numbered, edges)
 
     @staticmethod
     def _cuts(data: np.ndarray, ends: np.ndarray, spaces: bool) -> np.ndarray:
         """Where units begin, and the end of the data: at the given places, at marks after a letter, and if asked at
         spaces, newlines and behind newlines."""
-        cut, marks = np.zeros(len(data) + 1, bool), np.flatnonzero(_IS_MARK[data])
+        cut = np.zeros(len(data) + 1, bool)
         if spaces:
             newline = data == 10
             cut[:-1] = (data == 32) | newline
             cut[1:] |= newline
         cut[ends] = True
-        marks = marks[marks > 0]
-        last = data[marks - 1]
-        cut[marks[_IS_LETTER[last] | (_IS_LATIN1[last] & (data[marks - 2] == 0xC3))]] = True
+        cut[_marks_after_letters(data)] = True
         return np.flatnonzero(cut)
 
-    def _known(self, units: list[str]) -> np.ndarray:
-        """Numbers of distinct units."""
-        found = np.array(list(map(self.units.get, units, repeat(-1))), np.int64)
-        unknown = np.flatnonzero(found < 0)
-        if len(unknown):
-            new = [units[k] for k in unknown.tolist()]
-            self.learn(new)
-            found[unknown] = list(map(self.units.__getitem__, new))
-        return found
-
-    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Numbers for sequences of the given lengths, that come in a row."""
-        first, starts = len(self.starts), len(self.ids) + np.cumsum(lengths) - lengths
-        self.starts, self.lengths = np.concatenate((self.starts, starts)), np.concatenate((self.lengths, lengths))
-        self.ids = np.concatenate((self.ids, ids))
-        return np.arange(first, len(self.starts))
-
     def learn(self, units: list[str]) -> None:
         """Units that end in a visible character are encoded together with something between them that has one id of its
         own there, which no such unit has: a newline, or for Latin words, that go to the merges at once, another byte."""
@@ -284,63 +305,43 @@ class ByteLevelIds(UnitIds):
         return np.concatenate(found), np.concatenate(lengths)
 
 
-class WordIds(UnitIds):
-    """Word vocabulary: white space is dropped, so a unit is a word; ASCII words are in lower case."""
-
-    def forget(self) -> None:
-        self.parts: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-
-    def split(self, text: str) -> list[str]:
-        return _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
-
-    def cut(self, unit: str) -> tuple[str, ...]:
-        unit = unit.lower() if unit.isascii() else unit
-        return without_marks(unit)
-
-    def encoded(self, parts: list[str]) -> Iterable[bytes]:
-        """Ids of each part."""
-        return (packed(found.ids) for found in self.library.encode_batch_fast(parts, add_special_tokens=False))
+class WordIds(GatheredIds):
+    """Word vocabulary: white space is dropped, so a unit is a word, or its part from a mark after a letter on; ASCII
+    units are in lower case."""
 
-    def learn(self, needed: set[str]) -> None:
-        cuts = {unit: self.cut(unit) for unit in needed}
-        new = list(set(chain.from_iterable(cuts.values())).difference(self.parts))
-        self.parts.update(zip(new, self.encoded(new)))
-        for unit, cut in cuts.items():
-            self.units[unit] = self.parts[cut[0]] if len(cut) == 1 else b"".join([self.parts[part] for part in cut])
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        chunk: list[list[str] | bytes] = []
-        held = 0
-        for text in texts:
-            text = text or ""
-            if any(a in text for a in self.added):
-                chunk.append(self.whole(text))
-            else:
-                chunk.append(self.split(text))
-            held += len(text)
-            if held >= CHUNK:
-                yield from self._known(chunk)
-                chunk, held = [], 0
-        yield from self._known(chunk)
-
-    def _known(self, chunk: list[list[str] | bytes]) -> Iterator[bytes]:
-        if len(self.units) > LIMIT or len(self.parts) > LIMIT:
+    def _batch(self, texts):
+        if self._full():
             self.forget()
-        flat = list(chain.from_iterable(x for x in chunk if isinstance(x, list)))
-        found = list(map(self.units.get, flat))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        if missing:
-            self.learn({flat[k] for k in missing})
-            for k in missing:
-                found[k] = self.units[flat[k]]
-        at = 0
-        for x in chunk:
-            if isinstance(x, bytes):
-                yield x
-            else:
-                yield b"".join(found[at : at + len(x)])
-                at += len(x)
+        added = self._added(texts)
+        plain = pc.if_else(pa.array(added), "", texts) if added.any() else texts
+        if pc.any(pc.match_substring_regex(plain, _ODD_OTHER.pattern)).as_py():
+            plain = pc.replace_substring_regex(plain, _ODD_OTHER.pattern, " ")
+        data, ends = _strings(plain)
+        cut, white = np.zeros(len(data) + 1, bool), _IS_WHITE[data]
+        cut[:-1] = white
+        cut[1:] |= white
+        cut[ends] = True
+        cut[_marks_after_letters(data)] = True
+        cuts = np.flatnonzero(cut)
+        words = ~white[cuts[:-1]]
+        edges = np.concatenate(([0], np.cumsum(words)))[np.searchsorted(cuts[:-1], ends)]
+        coded = _between_cuts(data, cuts).filter(pa.array(words)).dictionary_encode()
+        units = coded.dictionary
+        units = pc.if_else(pc.string_is_ascii(units), pc.ascii_lower(units), units)
+        numbered = self._known(units.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+        whole = np.flatnonzero(added)
+        if len(whole):
+            numbered = np.insert(numbered, edges[whole], self._wholes(texts, whole))
+            edges = edges + np.concatenate(([0], np.cumsum(added)))
+        return self._gathered(numbered, edges)
+
+    def learn(self, units):
+        ids, lengths = [], []
+        for k in range(0, len(units), LINES):
+            found = [x.ids for x in self.library.encode_batch_fast(units[k : k + LINES], add_special_tokens=False)]
+            ids.append(np.array([*chain.from_iterable(found)], "<u4"))
+            lengths.append(np.array([len(x) for x in found], np.int64))
+        self.units.update(zip(units, self._keep(np.concatenate(ids), np.concatenate(lengths)).tolist()))
 
 
 _MADE: dict[tuple[type, str], UnitIds] = {}

@@ -105,6 +105,48 @@ def test_units_in_small_batches_and_forgotten(monkeypatch):
     assert odd == [units.odd_spaces(t or "") for t in texts]
 
 
+def test_words_are_remembered_once(monkeypatch):
+    """Words were remembered as they stand and again in parts; now only parts are, whatever their case and marks."""
+    own = units.WordIds(WORDS)
+    texts = ["Word, word WORD! (word)", None, "caf\u00e9\u00a0word!\tCAF\u00c9, it's", "", "a <|endoftext|> b", "word,\nWord!"]
+    want = [np.frombuffer(own.whole(t or ""), "<u4").tolist() for t in texts]
+    for _ in range(2):
+        assert [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)] == want
+    assert set(own.units) == {"word", ",", "!", "(word", ")", "caf\u00e9", "CAF\u00c9", "it's"}
+    texts = random_texts() + ODD + ["".join(random.choice("aBc\u00e9\u00d7\u0338\u00a0 ,-'=.\n1") for _ in range(40)) for _ in range(300)]
+    want = [np.frombuffer(own.whole(t or ""), "<u4").tolist() for t in texts]
+    for batch, limit, kind in ((1, 1_000_000, pa.string()), (700, 40, pa.large_string()), (10**6, 0, pa.string())):
+        monkeypatch.setattr(units, "BATCH", batch)
+        monkeypatch.setattr(units, "LIMIT", limit)
+        own, found = units.WordIds(WORDS), []
+        for _ in range(2):
+            for ids, lengths in own.batches(pa.array(["before", *texts], kind).slice(1)):
+                found += [x.tolist() for x in np.split(ids, np.cumsum(lengths))[:-1]]
+        assert found == want * 2
+
+
+def test_memory_goes_back_after_each_batch(monkeypatch):
+    """Arrow's allocator kept what batches had freed, and no other stage could use it."""
+    released = []
+
+    class Pool:
+        def release_unused(self):
+            released.append(len(seen))
+
+    class Frame:
+        sparkSession = None
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    monkeypatch.setattr(common, "ship", lambda spark: None)
+    monkeypatch.setattr(common.pa, "default_memory_pool", Pool)
+    seen = []
+    for made in common.map_batches(Frame(), lambda batches: (2 * x for x in batches), "x int")(iter([1, 2, 3])):
+        seen.append(made)
+    assert seen == [2, 4, 6] and released == [1, 2, 3]
+
+
 def test_vocabulary_with_merges_over_the_mark(tmp_path):
     """Where another entry holds the character between joined words, or words are taken whole, words go to the library."""
     import json
